@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .joins import bounded_broadcast
 
 
@@ -28,13 +29,15 @@ def share_of_total(df: DataFrame, group: Sequence[str], value: str, out: str = "
     """``value / sum(value) over group * scale``; a zero or NULL total gives NULL.
 
     Instead of a window (which puts a whole group, e.g. a whole year, into one task) the
-    totals are aggregated (partial sums before the shuffle) and joined back; the totals
-    table has one row per group and is broadcast behind a size check.
+    totals are aggregated (partial sums before the shuffle), checkpointed (one row per
+    group, so the size check below does not recompute the input) and joined back,
+    broadcast when the check passes.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     gcols = [F.col(f"`{g}`") for g in group]
     totals = df.groupBy(*gcols).agg(F.sum(F.col(f"`{value}`")).alias("_total"))
     totals = totals.select(*[F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(group)], "_total")
-    totals = bounded_broadcast(totals, max_broadcast_rows)
+    totals = bounded_broadcast(totals.checkpoint(eager=True), max_broadcast_rows)
     cond = [F.col(f"`{g}`").eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
     joined = df.join(totals, cond, "left")
     share = F.try_divide(F.col(f"`{value}`"), F.col("_total")) * F.lit(scale)

@@ -15,6 +15,7 @@ from __future__ import annotations
 from itertools import accumulate
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,12 @@ def add_surrogate_key(df: DataFrame, order_by: Sequence[str], id_col: str, tie_b
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = _order_cols(df, order_by, tie_break)
-    ranged = df.repartitionByRange(num_ranges, *order) if num_ranges else df.repartitionByRange(*order)
+    # the range bounds are sampled by a job of their own; keep the input so that job and the
+    # checkpoint job do not both recompute its whole lineage (a lost block is recomputed)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = src.repartitionByRange(num_ranges, *order) if num_ranges else src.repartitionByRange(*order)
     ordered = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
+    src.unpersist()
 
     mid = F.monotonically_increasing_id()
     with_pos = ordered.select("*", F.shiftright(mid, _LOW_BITS).alias("_range"),

@@ -23,6 +23,7 @@ from ..operators.aggregates import drop_null_any, drop_null_subset, group_avg, g
 from ..operators.joins import label_join, outer_chain, union_distinct_keys
 from ..operators.keys import add_surrogate_key
 from ..operators.reshape import unpivot_then_pivot, unpivot_years
+from ..session import ensure_checkpoint_dir
 
 # Output column order and id names of the star contract.
 ECONOMICS_COUNTRY_COLUMNS = ["country_name", "year", "pss", "uwae", "uwbe", "uwie", "ut", "powp", "country_code"]
@@ -59,7 +60,16 @@ def population_share(population: DataFrame) -> DataFrame:
 
 
 def economics_country_no_labels(pss: DataFrame, unemployment: DataFrame, population: DataFrame,
-                                measures=("pss", "uwae", "uwbe", "uwie", "ut", "powp")) -> DataFrame:
+                                measures=("pss", "uwae", "uwbe", "uwie", "ut", "powp"),
+                                materialize: bool = True) -> DataFrame:
+    """Full outer chain of the three country-year parts from their distinct key set.
+
+    Each part feeds both the key set and its join; ``materialize`` checkpoints the parts
+    (country x year aggregates, small) so their sources are scanned once, not twice.
+    """
+    if materialize:
+        ensure_checkpoint_dir(pss.sparkSession)
+        pss, unemployment, population = (p.checkpoint(eager=True) for p in (pss, unemployment, population))
     keys = union_distinct_keys([pss, unemployment, population], ["country_name", "year"], ["u_name", "u_year"])
     chain = outer_chain(keys, ["u_name", "u_year"],
                         [(pss, ["country_name", "year"]), (unemployment, ["country_name", "year"]),
@@ -106,6 +116,33 @@ def _temperature_no_labels(readings: DataFrame, us: bool) -> DataFrame:
                       *[F.col(m) for m in TEMPERATURE_MEASURES]).distinct()
 
 
+def temperature_monthly(readings: DataFrame) -> DataFrame:
+    """Both temperature aggregates from one scan of the daily readings.
+
+    Rows of 'US' are grouped by state, all other non-NULL countries by country; the result
+    (kind, year, name, month, avg/min/max) is small, so it is checkpointed for the two
+    dimensions that read it.
+    """
+    us = F.col("Country") == "US"
+    typed = readings.filter(F.col("Country").isNotNull()).select(
+        lenient_int(F.col("Year")).alias("Year"), us.alias("is_us"),
+        F.when(us, F.col("State")).otherwise(F.col("Country")).alias("Place"),
+        lenient_int(F.col("Month")).alias("Month"),
+        lenient_float(F.col("AvgTemperature")).alias("AvgTemperature"))
+    agg = group_avg_min_max(typed, ["Year", "is_us", "Place", "Month"], "AvgTemperature", TEMPERATURE_MEASURES)
+    ensure_checkpoint_dir(readings.sparkSession)
+    return agg.checkpoint(eager=True)
+
+
+def split_temperature_monthly(monthly: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(country no-labels, US-state no-labels) from ``temperature_monthly``."""
+    def part(is_us: bool, name: str) -> DataFrame:
+        rows = monthly.filter(F.col("is_us") == F.lit(is_us))
+        return rows.select(F.col("Year").alias("year"), F.lower(F.col("Place")).alias(name),
+                           F.col("Month").alias("month"), *[F.col(m) for m in TEMPERATURE_MEASURES]).distinct()
+    return part(False, "country_name"), part(True, "state_name")
+
+
 def temperature_country_no_labels(readings: DataFrame) -> DataFrame:
     """Monthly avg/min/max per country over every row whose Country is not 'US' (NULL drops out)."""
     return _temperature_no_labels(readings, us=False)

@@ -50,14 +50,14 @@ def build_dimensions(inp: StarInputs) -> dict[str, DataFrame]:
     pss = D.political_stability_long(inp.political_stability)
     unemp = D.unemployment_long(inp.unemployment_country, inp.series)
     pop = D.population_share(inp.population)
+    # the daily temperature readings are scanned once for both temperature dimensions
+    temp_country, temp_state = D.split_temperature_monthly(D.temperature_monthly(inp.temperature))
     return {
         "economics_country": D.economics_country(D.economics_country_no_labels(pss, unemp, pop), country_labels),
         "economics_us_state": D.economics_us_state(D.economics_us_state_no_labels(inp.unemployment_us_state),
                                                    state_labels),
-        "temperature_country": D.temperature_country(D.temperature_country_no_labels(inp.temperature),
-                                                     country_labels),
-        "temperature_us_state": D.temperature_us_state(D.temperature_us_state_no_labels(inp.temperature),
-                                                       state_labels),
+        "temperature_country": D.temperature_country(temp_country, country_labels),
+        "temperature_us_state": D.temperature_us_state(temp_state, state_labels),
     }
 
 
