@@ -468,6 +468,36 @@ def q_star_coverage(spark, d):
     return Q.star_coverage(star["fact"], {name: (star[name], idc) for name, idc, _ in _COVERAGE})
 
 
+_MATCHED_IDS = ["id_temperature_us_state", "id_temperature_country", "id_economics_us_state"]
+
+
+@register("fully_matched_fact", with_ctes(["fact"], _FACT_SELECT + " WHERE " + " AND ".join(
+    f"{c} IS NOT NULL" for c in _MATCHED_IDS)))
+def q_fully_matched_fact(spark, d):
+    """Fact rows that found their state and country rows for their month (the id columns listed
+    twice in the original check collapse to one condition each)."""
+    fact = stored_star(spark, d)["fact"]
+    return A.drop_null_subset(fact, _MATCHED_IDS + ["id_temperature_us_state"]).select(*FACT_COLUMNS, *FACT_IDS)
+
+
+@register("stream_monthly_refresh", with_ctes(["fact"], _FACT_SELECT))
+def q_stream_monthly_refresh(spark, d):
+    """Two monthly deliveries (earlier years, then the latest year) through the streaming refresh."""
+    from ..streaming.refresh import run_monthly_refresh
+    star = stored_star(spark, d)
+    src = G.fact_source(spark, d)
+    base = scratch_path(spark, "stream")
+    last_year = T(spark, d, "orders").agg(F.max(F.year("o_orderdate")).alias("y")).first()["y"]
+    deliveries = [src.filter(F.col("I94YR") < F.lit(float(last_year))),
+                  src.filter(F.col("I94YR") >= F.lit(float(last_year)))]
+    for i, delivery in enumerate(deliveries):
+        delivery.write.parquet(f"{base}/incoming/delivery={i}")
+        run_monthly_refresh(spark, f"{base}/incoming", src.schema, star, f"{base}/I94s.parquet",
+                            f"{base}/_checkpoint")
+    out = spark.read.parquet(f"{base}/I94s.parquet")
+    return out.select(*FACT_COLUMNS, *FACT_IDS)
+
+
 def star_inputs_from_files(spark: SparkSession, d: str) -> StarInputs:
     """Write the analog sources as the files the builder reads (CSV, label text, fact source), then read them."""
     base = scratch_path(spark, "sources")

@@ -10,14 +10,15 @@ from pyspark.sql import types as T
 
 
 def read_header_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                    encoding: str = "UTF-8", sep: str = ",") -> DataFrame:
+                    encoding: str = "UTF-8", sep: str = ",", infer_schema: bool = False) -> DataFrame:
     """CSV with a header row.  Without ``schema`` every column is a string (no inference,
-    so no extra pass over the data); wide files keep their header-derived column set."""
+    so no extra pass over the data); wide files keep their header-derived column set.
+    ``infer_schema=True`` is for exploration (profiles) only: it costs a full extra pass."""
     reader = spark.read.option("header", True).option("encoding", encoding).option("sep", sep)
     if schema is not None:
         reader = reader.schema(schema)
     else:
-        reader = reader.option("inferSchema", False)
+        reader = reader.option("inferSchema", bool(infer_schema))
     return reader.csv(path)
 
 
