@@ -454,8 +454,8 @@ SELECT check_name, n_fact, n_matched, n_matched / n_fact AS matched_ratio FROM (
          count(tc.id_temperature_country) AS temperature_country,
          count(eus.id_economics_us_state) AS economics_us_state,
          count(ec.id_economics_country) AS economics_country,
-         count_if(tus.id_temperature_us_state IS NOT NULL AND tc.id_temperature_country IS NOT NULL
-                  AND eus.id_economics_us_state IS NOT NULL AND ec.id_economics_country IS NOT NULL) AS _all
+         CAST(count_if(tus.id_temperature_us_state IS NOT NULL AND tc.id_temperature_country IS NOT NULL
+                  AND eus.id_economics_us_state IS NOT NULL AND ec.id_economics_country IS NOT NULL) AS BIGINT) AS _all
   FROM fact f
   LEFT JOIN tus ON f.id_temperature_us_state = tus.id_temperature_us_state
   LEFT JOIN tc ON f.id_temperature_country = tc.id_temperature_country
