@@ -65,9 +65,17 @@ def q_lowercase_names(spark, d):
 
 @register("label_sections", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS label FROM customer")
 def q_label_sections(spark, d):
-    cust = T(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("label"))
+    """Every customer code gets a stale line first (the later line must win) and a three-part
+    line after its real one (it must be dropped); the parse keeps exactly the real names."""
+    cust = T(spark, d, "customer")
+    code = F.col("c_custkey").cast("string").alias("code")
+    lines = A.union_all([
+        cust.select(code, F.concat(F.lit("STALE "), "c_name").alias("label"), F.lit(0).alias("seq")),
+        cust.select(code, F.col("c_name").alias("label"), F.lit(1).alias("seq")),
+        cust.select(code, F.concat(F.col("c_name"), F.lit(" = JUNK")).alias("label"), F.lit(2).alias("seq")),
+    ])
     sections = dict(G.label_sections_raw(spark, d))
-    sections["i94cntyl"] = cust
+    sections["i94cntyl"] = lines
     path = write_label_file(sections, scratch_path(spark, "labels"))
     return parse_label_section(read_label_lines(spark, path), "i94cntyl")
 

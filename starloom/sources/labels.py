@@ -87,27 +87,31 @@ def label_table(lines: DataFrame, section: str, code_col: str, name_col: str) ->
 
 def write_label_file(sections: Mapping[str, DataFrame], path: str, comment: str = "labels",
                      num_files: int | None = None) -> str:
-    """Write code/label DataFrames (columns ``code``, ``label``) as one SAS-style label text.
+    """Write code/label DataFrames (columns ``code``, ``label``, optional ``seq``) as one SAS-style text.
 
-    Lines are globally ordered by (section, line kind, code) with a range repartition, so
-    the part files, read in name order, form one text in that order.
+    Lines are globally ordered by (section, line kind, code, seq) with a range repartition, so
+    the part files, read in name order, form one text in that order.  ``seq`` orders several
+    lines of one code (for example a stale line before its replacement).
     """
     frames = []
     for i, (name, df) in enumerate(sections.items()):
         spark = df.sparkSession
-        frames.append(spark.range(1).select(F.lit(i).alias("s"), F.lit(0).alias("k"), F.lit("").alias("c"),
-                                            F.lit(f"/* {name.upper()} - {comment} */").alias("line")))
-        frames.append(spark.range(1).select(F.lit(i).alias("s"), F.lit(1).alias("k"), F.lit("").alias("c"),
-                                            F.lit(f"value {name}").alias("line")))
+        seq = F.col("seq").cast("int") if "seq" in df.columns else F.lit(0)
+
+        def fixed(kind: int, text: str):
+            return spark.range(1).select(F.lit(i).alias("s"), F.lit(kind).alias("k"), F.lit("").alias("c"),
+                                         F.lit(0).alias("q"), F.lit(text).alias("line"))
+        frames.append(fixed(0, f"/* {name.upper()} - {comment} */"))
+        frames.append(fixed(1, f"value {name}"))
         frames.append(df.select(F.lit(i).alias("s"), F.lit(2).alias("k"), F.col("code").cast("string").alias("c"),
+                                seq.alias("q"),
                                 F.format_string("\t%s\t=\t'%s'", F.col("code").cast("string"),
                                                 F.col("label")).alias("line")))
-        frames.append(spark.range(1).select(F.lit(i).alias("s"), F.lit(3).alias("k"), F.lit("").alias("c"),
-                                            F.lit(";").alias("line")))
+        frames.append(fixed(3, ";"))
     lines = frames[0]
     for fr in frames[1:]:
         lines = lines.unionByName(fr)
-    keys = [F.col("s"), F.col("k"), F.col("c")]
+    keys = [F.col("s"), F.col("k"), F.col("c"), F.col("q")]
     if num_files:
         lines = lines.repartitionByRange(num_files, *keys)
     else:
