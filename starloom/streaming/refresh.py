@@ -6,7 +6,9 @@ checkpoint location), builds their fact rows against the dimensions already stor
 and overwrites only the (year, month) partitions present in the delivery.  Re-running
 a failed micro-batch rewrites the same partitions with the same rows, so the result is
 exactly-once.  Contract: one delivery holds complete months (the source is released
-monthly); a re-delivered month replaces the stored one.
+monthly); a re-delivered month replaces the stored one.  Deliveries are files placed
+directly in the source folder or in ``key=value`` sub-folders (for example
+``delivery=2016-04/``), which the file source discovers as partitions.
 """
 
 from __future__ import annotations
