@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Analog series -> measure column of the unemployment pivot.
 SERIES = {"1-URGENT": "uwae", "2-HIGH": "uwbe", "3-MEDIUM": "uwie", "4-NOT SPECIFIED": "ut"}
 # Region whose nations are left out of the country labels (unmatched names),
@@ -30,11 +32,18 @@ def orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(c, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def orders_customers_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shared_orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders joined with customer once, checkpointed, for builds that derive several sources from it."""
+    ensure_checkpoint_dir(spark)
+    return orders_customers(spark, sf_dir).checkpoint(eager=True)
+
+
+def orders_customers_nations(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
     # nation is a file-backed table: Catalyst broadcasts it from its file-size statistics, and AQE
     # re-checks the measured size at run time, so no extra counting job is needed here
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    return orders_customers(spark, sf_dir).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    oc = orders_customers(spark, sf_dir) if oc is None else oc
+    return oc.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 def state_code(segment) -> "F.Column":
@@ -88,20 +97,22 @@ def label_sections_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
 
 # ----------------------------------------------------------------------------- wide and long sources
 
-def political_stability_wide(spark: SparkSession, sf_dir: str, years: list[str] | None = None) -> DataFrame:
+def political_stability_wide(spark: SparkSession, sf_dir: str, years: list[str] | None = None,
+                             oc: DataFrame | None = None) -> DataFrame:
     """One row per country, one string column per year (order count), '..' where missing."""
     years = years or order_years(spark, sf_dir)
-    ocn = orders_customers_nations(spark, sf_dir).withColumn("y", F.year("o_orderdate").cast("string"))
+    ocn = orders_customers_nations(spark, sf_dir, oc).withColumn("y", F.year("o_orderdate").cast("string"))
     wide = ocn.groupBy("n_name", "n_nationkey").pivot("y", years).agg(F.count(F.lit(1)))
     return wide.select(F.col("n_name").alias("Country Name"), F.col("n_nationkey").cast("string").alias("Country Code"),
                        F.lit("Political Stability").alias("Series Name"), F.lit("PV.EST").alias("Series Code"),
                        *[F.coalesce(F.col(y).cast("string"), F.lit("..")).alias(y) for y in years])
 
 
-def unemployment_country_wide(spark: SparkSession, sf_dir: str, years: list[str] | None = None) -> DataFrame:
+def unemployment_country_wide(spark: SparkSession, sf_dir: str, years: list[str] | None = None,
+                              oc: DataFrame | None = None) -> DataFrame:
     """One row per (country, series), one string column per year."""
     years = years or order_years(spark, sf_dir)
-    ocn = orders_customers_nations(spark, sf_dir).withColumn("y", F.year("o_orderdate").cast("string"))
+    ocn = orders_customers_nations(spark, sf_dir, oc).withColumn("y", F.year("o_orderdate").cast("string"))
     wide = ocn.groupBy("n_name", "n_nationkey", "o_orderpriority").pivot("y", years).agg(F.count(F.lit(1)))
     return wide.select(F.col("n_name").alias("Country Name"), F.col("n_nationkey").cast("string").alias("Country Code"),
                        F.col("o_orderpriority").alias("Series Name"),
@@ -109,29 +120,29 @@ def unemployment_country_wide(spark: SparkSession, sf_dir: str, years: list[str]
                        *[F.coalesce(F.col(y).cast("string"), F.lit("..")).alias(y) for y in years])
 
 
-def population(spark: SparkSession, sf_dir: str) -> DataFrame:
+def population(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
     """(Country Name, Year, Count) strings: line items per country and year."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey")
-    ocn = orders_customers_nations(spark, sf_dir)
+    ocn = orders_customers_nations(spark, sf_dir, oc)
     j = li.join(ocn, F.col("l_orderkey") == F.col("o_orderkey"))
     agg = j.groupBy("n_name", F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     return agg.select(F.col("n_name").alias("Country Name"), F.col("y").cast("string").alias("Year"),
                       F.col("n").cast("string").alias("Count"))
 
 
-def unemployment_us_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unemployment_us_state(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
     """(Year, Month name, State, County, Rate) strings: one row per order."""
-    oc = orders_customers(spark, sf_dir)
+    oc = orders_customers(spark, sf_dir) if oc is None else oc
     return oc.select(F.year("o_orderdate").cast("string").alias("Year"),
                      F.date_format("o_orderdate", "MMMM").alias("Month"),
                      F.col("c_mktsegment").alias("State"), F.col("c_name").alias("County"),
                      F.col("o_totalprice").cast("string").alias("Rate"))
 
 
-def temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+def temperature(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
     """(Region, Country, State, City, Month, Day, Year, AvgTemperature) strings: one row per order;
     finished orders play the 'US' rows."""
-    ocn = orders_customers_nations(spark, sf_dir)
+    ocn = orders_customers_nations(spark, sf_dir, oc)
     return ocn.select(F.col("n_regionkey").cast("string").alias("Region"),
                       F.when(F.col("o_orderstatus") == "F", F.lit("US")).otherwise(F.col("n_name")).alias("Country"),
                       F.col("c_mktsegment").alias("State"), F.col("c_name").alias("City"),
@@ -141,9 +152,9 @@ def temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("o_totalprice").cast("string").alias("AvgTemperature"))
 
 
-def fact_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_source(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
     """28 upper-case columns, numeric codes as double, some text in numeric-looking columns."""
-    oc = orders_customers(spark, sf_dir)
+    oc = orders_customers(spark, sf_dir) if oc is None else oc
     d = F.to_date("o_orderdate")
     arr = F.datediff(d, F.lit("1960-01-01").cast("date"))
     key = F.col("o_orderkey")

@@ -297,11 +297,11 @@ def q_unpivot_then_pivot(spark, d):
 
 # ============================================================================ joins
 
-def _economics_parts(spark, d):
+def _economics_parts(spark, d, oc=None):
     years = G.order_years(spark, d)
-    pss = D.political_stability_long(G.political_stability_wide(spark, d, years))
-    un = D.unemployment_long(G.unemployment_country_wide(spark, d, years), G.SERIES)
-    pop = D.population_share(G.population(spark, d))
+    pss = D.political_stability_long(G.political_stability_wide(spark, d, years, oc))
+    un = D.unemployment_long(G.unemployment_country_wide(spark, d, years, oc), G.SERIES)
+    pop = D.population_share(G.population(spark, d, oc))
     return pss, un, pop
 
 
@@ -368,15 +368,20 @@ register("dim_country_month", with_ctes(["tc"], "SELECT * FROM tc"))(dim_tempera
 register("dim_country_year", with_ctes(["ec"], "SELECT * FROM ec"))(dim_economics_country)
 
 
-def _dims(spark, d) -> dict[str, DataFrame]:
-    return {"economics_country": dim_economics_country(spark, d),
-            "economics_us_state": dim_economics_us_state(spark, d),
-            "temperature_country": dim_temperature_country(spark, d),
-            "temperature_us_state": dim_temperature_us_state(spark, d)}
+def _dims(spark, d, oc=None) -> dict[str, DataFrame]:
+    """All four dimensions; with ``oc`` (orders x customer, materialised once) every source derives
+    from it, and both temperature dimensions come from one scan of the readings."""
+    temp_country, temp_state = D.split_temperature_monthly(D.temperature_monthly(G.temperature(spark, d, oc)))
+    return {"economics_country": D.economics_country(D.economics_country_no_labels(*_economics_parts(spark, d, oc)),
+                                                     G.country_labels(spark, d)),
+            "economics_us_state": D.economics_us_state(
+                D.economics_us_state_no_labels(G.unemployment_us_state(spark, d, oc)), G.state_labels(spark, d)),
+            "temperature_country": D.temperature_country(temp_country, G.country_labels(spark, d)),
+            "temperature_us_state": D.temperature_us_state(temp_state, G.state_labels(spark, d))}
 
 
-def _fact(spark, d, dims) -> DataFrame:
-    return i94_fact(G.fact_source(spark, d), dims["economics_country"], dims["economics_us_state"],
+def _fact(spark, d, dims, oc=None) -> DataFrame:
+    return i94_fact(G.fact_source(spark, d, oc), dims["economics_country"], dims["economics_us_state"],
                     dims["temperature_country"], dims["temperature_us_state"])
 
 
@@ -385,7 +390,8 @@ _FACT_SELECT = "SELECT " + ", ".join(FACT_COLUMNS + FACT_IDS) + " FROM fact"
 
 @register("fact_fk_lookup", with_ctes(["fact"], _FACT_SELECT))
 def q_fact_fk_lookup(spark, d):
-    return _fact(spark, d, _dims(spark, d))
+    oc = G.shared_orders_customers(spark, d)
+    return _fact(spark, d, _dims(spark, d, oc), oc)
 
 
 _PK_PARTS = [("economics_country", "ec", "id_economics_country"), ("economics_us_state", "eus", "id_economics_us_state"),
@@ -404,8 +410,9 @@ def stored_star(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """
     key = (spark.sparkContext.applicationId, d)
     if key not in _STORED:
-        dims = _dims(spark, d)
-        inputs_fact = G.fact_source(spark, d)
+        oc = G.shared_orders_customers(spark, d)
+        dims = _dims(spark, d, oc)
+        inputs_fact = G.fact_source(spark, d, oc)
         base = scratch_path(spark, "stored-star")
         from .star import PARTITIONS, _read_back
         stored = {}
@@ -510,16 +517,17 @@ def star_inputs_from_files(spark: SparkSession, d: str) -> StarInputs:
     """Write the analog sources as the files the builder reads (CSV, label text, fact source), then read them."""
     base = scratch_path(spark, "sources")
     years = G.order_years(spark, d)
-    csvs = {"political_stability_country.csv": G.political_stability_wide(spark, d, years),
-            "unemployment_country.csv": G.unemployment_country_wide(spark, d, years),
-            "population_country.csv": G.population(spark, d),
-            "unemployment_us_state.csv": G.unemployment_us_state(spark, d),
-            "temperature_country_us_state.csv": G.temperature(spark, d)}
+    oc = G.shared_orders_customers(spark, d)
+    csvs = {"political_stability_country.csv": G.political_stability_wide(spark, d, years, oc),
+            "unemployment_country.csv": G.unemployment_country_wide(spark, d, years, oc),
+            "population_country.csv": G.population(spark, d, oc),
+            "unemployment_us_state.csv": G.unemployment_us_state(spark, d, oc),
+            "temperature_country_us_state.csv": G.temperature(spark, d, oc)}
     read = {}
     for name, df in csvs.items():
         read[name] = read_header_csv(spark, write_header_csv(df, f"{base}/{name}"))
     labels = write_label_file(G.label_sections_raw(spark, d), f"{base}/labels.sas")
-    G.fact_source(spark, d).write.parquet(f"{base}/i94.parquet")
+    G.fact_source(spark, d, oc).write.parquet(f"{base}/i94.parquet")
     return StarInputs(political_stability=read["political_stability_country.csv"],
                       unemployment_country=read["unemployment_country.csv"],
                       population=read["population_country.csv"],
