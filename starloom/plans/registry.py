@@ -423,7 +423,7 @@ def stored_star(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         fact = i94_fact(inputs_fact, stored["economics_country"], stored["economics_us_state"],
                         stored["temperature_country"], stored["temperature_us_state"])
         path = f"{base}/I94s.parquet"
-        write_partitioned(fact, path, PARTITIONS["I94s"])
+        write_partitioned(fact, path, PARTITIONS["I94s"], rebalance=True)
         stored["fact"] = _read_back(spark, fact, path)
         _STORED[key] = stored
     return _STORED[key]

@@ -83,7 +83,8 @@ def build_star(spark: SparkSession, inp: StarInputs, base_path: str, mode: str =
     fact = i94_fact(inp.fact_source, stored["economics_country"], stored["economics_us_state"],
                     stored["temperature_country"], stored["temperature_us_state"], int_type=int_type)
     path = f"{base}/I94s.parquet"
-    write_partitioned(fact, path, PARTITIONS["I94s"], mode=mode, max_records_per_file=max_records_per_file)
+    write_partitioned(fact, path, PARTITIONS["I94s"], mode=mode, max_records_per_file=max_records_per_file,
+                      rebalance=True)
     stored["I94s"] = _read_back(spark, fact, path)
     return stored
 
@@ -95,7 +96,7 @@ def refresh_fact_month(spark: SparkSession, inp: StarInputs, base_path: str, int
     stored = {n: spark.read.parquet(f"{base}/{n}.parquet") for n in ID_COLUMNS}
     fact = i94_fact(inp.fact_source, stored["economics_country"], stored["economics_us_state"],
                     stored["temperature_country"], stored["temperature_us_state"], int_type=int_type)
-    refresh_partitions(fact, f"{base}/I94s.parquet", PARTITIONS["I94s"])
+    refresh_partitions(fact, f"{base}/I94s.parquet", PARTITIONS["I94s"], rebalance=True)
     return spark.read.parquet(f"{base}/I94s.parquet")
 
 

@@ -37,19 +37,29 @@ def read_fact_source(spark: SparkSession, path: str, fmt: str = "parquet", **opt
     return lowercase_names(spark.read.format(fmt).options(**options).load(path))
 
 
+def _layout(df: DataFrame, partition_by: Sequence[str], colocate: bool, rebalance: bool) -> DataFrame:
+    if colocate:
+        # small tables: one task per output directory
+        return df.repartition(*[F.col(c) for c in partition_by])
+    if rebalance:
+        # large tables: group rows by output directory, and let AQE split a directory that holds a
+        # large share of the rows into several tasks and merge small ones (no hot task, no flood of tiny files)
+        return df.hint("rebalance", *partition_by)
+    return df
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists",
-                      max_records_per_file: int | None = None, colocate: bool = False) -> str:
+                      max_records_per_file: int | None = None, colocate: bool = False,
+                      rebalance: bool = False) -> str:
     """Write ``df`` as Parquet partitioned by ``partition_by``.
 
     The default mode fails when the target exists.  ``colocate=True`` hash-repartitions by the
-    partition columns first so each directory is written by one task (use it for small
-    dimension tables only: for a large fact one month would land in one task).  Large
-    tables keep their task layout; Spark's writer sorts each task's rows by the partition
-    columns, and ``max_records_per_file`` bounds file sizes.
+    partition columns so each directory is written by one task (dimension tables).
+    ``rebalance=True`` (fact tables) uses the ``rebalance`` hint: rows are grouped by directory and
+    adaptive execution splits skewed directories across tasks.  ``max_records_per_file`` bounds
+    file sizes.
     """
-    if colocate:
-        df = df.repartition(*[F.col(c) for c in partition_by])
-    w = df.write.mode(mode).partitionBy(*partition_by)
+    w = _layout(df, partition_by, colocate, rebalance).write.mode(mode).partitionBy(*partition_by)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     w.parquet(path)
@@ -57,11 +67,11 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mod
 
 
 def refresh_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
-                       max_records_per_file: int | None = None) -> str:
+                       max_records_per_file: int | None = None, rebalance: bool = False) -> str:
     """Monthly refresh: overwrite only the partitions present in ``df`` (dynamic overwrite);
     every other partition already under ``path`` is left as it is."""
-    w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by))
+    w = (_layout(df, partition_by, False, rebalance).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     w.parquet(path)

@@ -34,7 +34,7 @@ def run_monthly_refresh(spark: SparkSession, source_dir: str, source_schema: T.S
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         fact = i94_fact(batch, dims["economics_country"], dims["economics_us_state"],
                         dims["temperature_country"], dims["temperature_us_state"], int_type=int_type)
-        refresh_partitions(fact, fact_path, FACT_PARTITIONS)
+        refresh_partitions(fact, fact_path, FACT_PARTITIONS, rebalance=True)
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_location)
