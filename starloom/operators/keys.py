@@ -40,8 +40,11 @@ def add_surrogate_key(df: DataFrame, order_by: Sequence[str], id_col: str, tie_b
     ensure_checkpoint_dir(spark)
     order = _order_cols(df, order_by, tie_break)
     # the range bounds are sampled by a job of their own; keep the input so that job and the
-    # checkpoint job do not both recompute its whole lineage (a lost block is recomputed)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # checkpoint job do not both recompute its whole lineage (a lost block is recomputed).
+    # "_row" breaks ties between exact copies, so many copies of one row can still be split
+    # across ranges; copies are interchangeable, so which copy gets which id does not matter.
+    src = df.withColumn("_row", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    order = order + [F.col("_row").asc()]
     ranged = src.repartitionByRange(num_ranges, *order) if num_ranges else src.repartitionByRange(*order)
     ordered = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     src.unpersist()

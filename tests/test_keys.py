@@ -35,3 +35,14 @@ def test_deterministic_between_runs(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k int")
     assert add_surrogate_key(df, ["k"], "id").count() == 0
+
+
+def test_many_exact_copies_are_split_across_ranges(spark):
+    # a third of the rows are copies of one row: they must not all sit in one range
+    hot = spark.range(0, 3000).select(F.lit(7).alias("k"), F.lit("x").alias("v"))
+    rest = spark.range(0, 6000).select((F.col("id") % 50).cast("int").alias("k"), F.col("id").cast("string").alias("v"))
+    df = hot.unionByName(rest)
+    got = add_surrogate_key(df, ["k"], "id", num_ranges=6)
+    assert sorted(r["id"] for r in got.collect()) == list(range(1, 9001))
+    exp = _brute(df, ["k", "v"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
