@@ -68,16 +68,23 @@ def label_join(df: DataFrame, labels: DataFrame, name_col: str, label_name_col:
     return out.withColumn(code_col, code).drop("_lcode")
 
 
-def fk_lookup(fact: DataFrame, dims: Sequence[Mapping], max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def fk_lookup(fact: DataFrame, dims: Sequence[Mapping], max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+              check_natural_keys: bool = False) -> DataFrame:
     """Left-join the fact to each dimension on natural keys and bring back only the dimension id.
 
     ``dims`` items: ``{"df": dim, "on": {fact_col: dim_col, ...}, "id": id_col}``.
     Each dimension is projected to (keys, id) and broadcast behind a size check, so the
-    fact is never shuffled for the lookups.
+    fact is never shuffled for the lookups.  A natural key held by two dimension rows would
+    multiply fact rows; ``check_natural_keys=True`` raises ``ValueError`` before that happens.
     """
     out = fact
     for i, d in enumerate(dims):
         on = dict(d["on"])
+        if check_natural_keys:
+            dup = (d["df"].groupBy(*[F.col(c) for c in on.values()]).count()
+                   .filter(F.col("count") > 1).limit(1).count())
+            if dup:
+                raise ValueError(f"dimension with id {d['id']} repeats a natural key {list(on.values())}")
         side = d["df"].select(*[F.col(dc).alias(f"_d{i}_{j}") for j, dc in enumerate(on.values())],
                               F.col(d["id"]))
         side = bounded_broadcast(side, max_broadcast_rows)

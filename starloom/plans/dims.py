@@ -61,12 +61,18 @@ def population_share(population: DataFrame) -> DataFrame:
 
 def economics_country_no_labels(pss: DataFrame, unemployment: DataFrame, population: DataFrame,
                                 measures=("pss", "uwae", "uwbe", "uwie", "ut", "powp"),
-                                materialize: bool = True) -> DataFrame:
+                                materialize: bool = True, normalize_keys: bool = False) -> DataFrame:
     """Full outer chain of the three country-year parts from their distinct key set.
 
     Each part feeds both the key set and its join; ``materialize`` checkpoints the parts
     (country x year aggregates, small) so their sources are scanned once, not twice.
+    Names match case-sensitively and are lower-cased afterwards, so two sources spelling a
+    country in different case give two rows; ``normalize_keys=True`` lower-cases the names
+    before the key set and the joins, merging them into one row.
     """
+    if normalize_keys:
+        pss, unemployment, population = (p.withColumn("country_name", F.lower(F.col("country_name")))
+                                         for p in (pss, unemployment, population))
     if materialize:
         ensure_checkpoint_dir(pss.sparkSession)
         pss, unemployment, population = (p.checkpoint(eager=True) for p in (pss, unemployment, population))

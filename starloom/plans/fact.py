@@ -31,7 +31,8 @@ def clean_fact(source: DataFrame, int_type: str = "int", dedup: bool = True) ->
 
 def i94_fact(source: DataFrame, economics_country: DataFrame, economics_us_state: DataFrame,
              temperature_country: DataFrame, temperature_us_state: DataFrame, int_type: str = "int",
-             dedup: bool = True, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+             dedup: bool = True, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+             check_natural_keys: bool = False) -> DataFrame:
     """Fact rows with the ids of their state/country rows for their year and month (NULL when absent).
 
     State dimensions match on (year, month, i94addr), country dimensions on i94res, the
@@ -48,5 +49,5 @@ def i94_fact(source: DataFrame, economics_country: DataFrame, economics_us_state
          "id": "id_economics_us_state"},
         {"df": economics_country, "on": {"i94yr": "year", "i94res": "country_code"},
          "id": "id_economics_country"},
-    ], max_broadcast_rows=max_broadcast_rows)
+    ], max_broadcast_rows=max_broadcast_rows, check_natural_keys=check_natural_keys)
     return f.select(*[F.col(c) for c in FACT_COLUMNS + FACT_IDS])

@@ -495,6 +495,29 @@ def q_fully_matched_fact(spark, d):
     return A.drop_null_subset(fact, _MATCHED_IDS + ["id_temperature_us_state"]).select(*FACT_COLUMNS, *FACT_IDS)
 
 
+_NATURAL_KEYS = [("economics_country", "ec", ["year", "country_code"]),
+                 ("economics_us_state", "eus", ["year", "month", "state_code"]),
+                 ("temperature_country", "tc", ["year", "month", "country_code"]),
+                 ("temperature_us_state", "tus", ["year", "month", "state_code"])]
+
+
+@register("natural_key_check", with_ctes([c for _, c, _ in _NATURAL_KEYS], "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, count(*) AS n_keys, CAST(coalesce(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END), 0)
+       AS BIGINT) AS n_repeated_keys
+FROM (SELECT {', '.join(k)}, count(*) AS n FROM {c} GROUP BY {', '.join(k)})""" for t, c, k in _NATURAL_KEYS)))
+def q_natural_key_check(spark, d):
+    """Per stored dimension: natural keys the fact looks up, and how many of them repeat (each
+    repeat would multiply fact rows in the lookup)."""
+    star = stored_star(spark, d)
+    parts = []
+    for t, _, keys in _NATURAL_KEYS:
+        per_key = star[t].groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_key.agg(F.count(F.lit(1)).alias("n_keys"),
+                                 F.count_if(F.col("n") > 1).alias("n_repeated_keys"))
+                     .select(F.lit(t).alias("table_name"), "n_keys", "n_repeated_keys"))
+    return A.union_all(parts)
+
+
 @register("stream_monthly_refresh", with_ctes(["fact"], _FACT_SELECT))
 def q_stream_monthly_refresh(spark, d):
     """Two monthly deliveries (earlier years, then the latest year) through the streaming refresh."""
@@ -550,6 +573,21 @@ def q_star_build(spark, d):
 
 # ============================================================================ profiles
 
+_CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+@register("profile_csv", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null,
+       (count(*) - count({c})) / count(*) AS null_ratio, count(DISTINCT {c}) AS n_distinct FROM customer"""
+    for c in _CUSTOMER_COLS))
+def q_profile_csv(spark, d):
+    """Exploration read: a CSV export of customer read back with schema inference and a Latin-1
+    decoder, then profiled column by column."""
+    path = write_header_csv(T(spark, d, "customer").select(*_CUSTOMER_COLS), scratch_path(spark, "explore"))
+    return P.profile_columns(read_header_csv(spark, path, infer_schema=True, encoding="ISO-8859-1"))
+
+
+
 _PROFILE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "urgent_flag", "source_tag"]
 
 

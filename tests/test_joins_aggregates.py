@@ -58,3 +58,29 @@ def test_drop_nulls_treat_nan_as_missing(spark):
     assert sorted(r["a"] for r in drop_null_any(df).collect()) == [2]
     assert drop_null_subset(df, ["a", "a"]).count() == 2
     assert drop_null_any(df).count() == df.na.drop(how="any").count()
+
+
+def test_shares_sum_to_100_per_group(spark):
+    df = spark.range(0, 500).select((F.col("id") % 7).alias("g"), (F.col("id") % 13 + 1).cast("int").alias("v"))
+    out = share_of_total(df, ["g"], "v", "share")
+    for r in out.groupBy("g").agg(F.sum("share").alias("s")).collect():
+        assert abs(r["s"] - 100.0) < 1e-9
+
+
+def test_fk_lookup_rejects_repeated_natural_keys(spark):
+    import pytest
+    fact = spark.createDataFrame([(1,)], "k int")
+    dim = spark.createDataFrame([(1, 10), (1, 11)], "k2 int, id int")
+    with pytest.raises(ValueError):
+        fk_lookup(fact, [{"df": dim, "on": {"k": "k2"}, "id": "id"}], check_natural_keys=True)
+
+
+def test_normalize_keys_merges_case_variants(spark):
+    from starloom.plans.dims import economics_country_no_labels
+    pss = spark.createDataFrame([("Chad", "TCD", 1.0, 2016)], "country_name string, country_code string, pss float, year int")
+    un = spark.createDataFrame([("CHAD", "TCD", 2016, 1.0, 2.0, 3.0, 4.0)],
+                               "country_name string, country_code string, year int, uwae double, uwbe double, uwie double, ut double")
+    pop = spark.createDataFrame([("chad", 2016, 5, 100.0)], "country_name string, year int, count int, powp double")
+    assert economics_country_no_labels(pss, un, pop, materialize=False).count() == 3
+    merged = economics_country_no_labels(pss, un, pop, materialize=False, normalize_keys=True)
+    assert [tuple(r) for r in merged.collect()] == [("chad", 2016, 1.0, 1.0, 2.0, 3.0, 4.0, 100.0)]
