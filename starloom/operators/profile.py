@@ -21,8 +21,27 @@ def _long(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     return typed.unpivot([], [F.col(f"`{c}`") for c in cols], "column_name", "value")
 
 
-def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: n_rows, n_null, null_ratio, n_distinct (distinct non-NULL values)."""
+def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False,
+                    rsd: float = 0.02) -> DataFrame:
+    """Per column: n_rows, n_null, null_ratio, n_distinct (distinct non-NULL values).
+
+    Exact (default): long form, one shuffle of the distinct (column, value) pairs.
+    ``approx=True``: one pass with ``approx_count_distinct`` (HyperLogLog++, relative standard
+    deviation ``rsd``) and null counts per column; no value is shuffled, which is the choice
+    for very large tables.
+    """
+    if approx:
+        cols = list(columns) if columns else list(df.columns)
+        aggs = [F.count(F.lit(1)).alias("_n")]
+        for i, c in enumerate(cols):
+            aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_z{i}"),
+                     F.approx_count_distinct(F.col(f"`{c}`"), rsd).alias(f"_d{i}")]
+        one = df.agg(*aggs)
+        per_col = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_z{i}").alias("n_null"),
+                                     F.col(f"_d{i}").alias("n_distinct")) for i, c in enumerate(cols)])
+        long = one.select(F.col("_n").alias("n_rows"), F.inline(per_col))
+        return long.select("column_name", "n_rows", "n_null",
+                           F.try_divide(F.col("n_null"), F.col("n_rows")).alias("null_ratio"), "n_distinct")
     counted = _long(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     prof = counted.groupBy("column_name").agg(
         F.sum("n").alias("n_rows"),

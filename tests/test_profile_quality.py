@@ -45,3 +45,14 @@ def test_star_coverage(spark):
     db = spark.createDataFrame([(1,)], "id_b int")
     got = {r["check_name"]: (r["n_fact"], r["n_matched"]) for r in star_coverage(fact, {"a": (da, "id_a"), "b": (db, "id_b")}).collect()}
     assert got == {"a": (3, 2), "b": (3, 2), "_all": (3, 1)}
+
+
+def test_profile_columns_approx_close_to_exact(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 20000).select((F.col("id") % 997).alias("a"),
+                                      F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 31).alias("b"))
+    exact = {r["column_name"]: r for r in profile_columns(df).collect()}
+    approx = {r["column_name"]: r for r in profile_columns(df, approx=True).collect()}
+    for c in ("a", "b"):
+        assert approx[c]["n_rows"] == exact[c]["n_rows"] and approx[c]["n_null"] == exact[c]["n_null"]
+        assert abs(approx[c]["n_distinct"] - exact[c]["n_distinct"]) <= 0.08 * exact[c]["n_distinct"]
