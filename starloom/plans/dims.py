@@ -44,8 +44,30 @@ def political_stability_long(wide: DataFrame) -> DataFrame:
                          id_aliases=["country_name", "country_code"])
 
 
-def unemployment_long(wide: DataFrame, series: Mapping[str, str]) -> DataFrame:
-    """(country_name, country_code, year, <one DOUBLE column per series alias>)."""
+# Unemployment measure columns, in the sorted order of their series names.
+UNEMPLOYMENT_MEASURES = ["uwae", "uwbe", "uwie", "ut"]
+
+
+def discover_series(wide: DataFrame, series_col: str = "Series Name",
+                    names: list[str] = UNEMPLOYMENT_MEASURES) -> dict[str, str]:
+    """Series names found in the data, sorted, mapped in order to ``names`` (one small distinct job).
+
+    This is the positional naming of a pivot whose columns are discovered from the data; it
+    requires exactly ``len(names)`` non-NULL series.
+    """
+    found = sorted(r[0] for r in wide.select(F.col(f"`{series_col}`")).distinct().collect() if r[0] is not None)
+    if len(found) != len(names):
+        raise ValueError(f"expected {len(names)} series, found {len(found)}: {found}")
+    return dict(zip(found, names))
+
+
+def unemployment_long(wide: DataFrame, series: Mapping[str, str] | None = None) -> DataFrame:
+    """(country_name, country_code, year, <one DOUBLE column per series alias>).
+
+    ``series`` maps series name -> column; without it the series are discovered and named
+    positionally (``discover_series``)."""
+    if not series:
+        series = discover_series(wide)
     w = wide.drop("Series Code")
     return unpivot_then_pivot(w, ["Country Name", "Country Code"], "Series Name", series,
                               id_aliases=["country_name", "country_code"])

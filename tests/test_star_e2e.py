@@ -182,3 +182,12 @@ def test_monthly_refresh_replaces_only_that_month(spark, tmp_path):
     fact = refresh_fact_month(spark, may, f"{d}/out")
     got = sorted((r["cicid"], r["i94mon"]) for r in fact.collect())
     assert got == [(1, 4), (2, 4), (3, 4), (7, 5)]
+
+
+def test_series_discovered_positionally_when_not_given(spark, star):
+    from starloom.plans.dims import discover_series, unemployment_long
+    _, inp, _ = star
+    assert discover_series(inp.unemployment_country) == SERIES
+    a = unemployment_long(inp.unemployment_country)
+    b = unemployment_long(inp.unemployment_country, SERIES)
+    assert rows(a, a.columns) == rows(b, b.columns)
