@@ -191,3 +191,15 @@ def test_series_discovered_positionally_when_not_given(spark, star):
     a = unemployment_long(inp.unemployment_country)
     b = unemployment_long(inp.unemployment_country, SERIES)
     assert rows(a, a.columns) == rows(b, b.columns)
+
+
+def test_command_line_build(spark, tmp_path):
+    from starloom.__main__ import main
+    d = str(tmp_path)
+    make_inputs(spark, d)
+    main(["--political-stability", f"{d}/pss.csv", "--unemployment-country", f"{d}/unemp.csv",
+          "--population", f"{d}/pop.csv", "--unemployment-us-state", f"{d}/state.csv",
+          "--temperature", f"{d}/temp.csv", "--labels", f"{d}/labels.sas", "--fact", f"{d}/i94.parquet",
+          "--out", f"{d}/cli"])
+    assert spark.read.parquet(f"{d}/cli/I94s.parquet").count() == 4
+    assert spark.read.parquet(f"{d}/cli/economics_country.parquet").count() == 4
