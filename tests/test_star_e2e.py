@@ -23,6 +23,7 @@ Chad,TCD,Unemployment with basic education,SB,6,7
 Chad,TCD,"Unemployment, total",ST,10,11
 Chad,TCD,"Unemployment, total",ST,1,1
 France,FRA,Unemployment with intermediate education,SI,3,4
+Chad,TCD,,SX,8,9
 """
 SERIES = {"Unemployment with advanced education": "uwae", "Unemployment with basic education": "uwbe",
           "Unemployment with intermediate education": "uwie", "Unemployment, total": "ut"}
@@ -32,6 +33,8 @@ France,2016,300
 France,2016,300
 Chad,2017,50
 France,2017,
+Chad,2018,3000000000
+France,2018,
 """
 STATE = """Year,Month,State,County,Rate
 2016,April,Alabama,A,4.0
@@ -52,6 +55,7 @@ North America,US,Alabama,Mobile,4,2,2016,22
 North America,US,Alaska,Juneau,4,1,2016,-3
 North America,,Nowhere,X,4,1,2016,50
 North America,us,Texas,Houston,4,1,2016,25
+Africa,Chad,,Ndjamena,5,1,2016,..
 """
 LABELS = """/* I94CIT & I94RES */
 value i94cntyl
@@ -127,6 +131,10 @@ def test_economics_country(star):
         (2, "france", 2016, 0.5, None, None, 3.0, None, 300 / 700 * 100, 111),
         (3, "chad", 2017, None, None, 7.0, None, 12.0, 100.0, 101),
         (4, "france", 2017, 0.75, None, None, 4.0, None, None, 111),
+        # 2018 only in the population file: the count above int range and the NULL count both
+        # become NULL, the yearly total is NULL, so the share is NULL
+        (5, "chad", 2018, None, None, None, None, None, None, 101),
+        (6, "france", 2018, None, None, None, None, None, None, 111),
     ]
     assert s["economics_country"].columns == ["country_name", "year", "pss", "uwae", "uwbe", "uwie", "ut", "powp",
                                               "country_code", "id_economics_country"]
@@ -202,4 +210,4 @@ def test_command_line_build(spark, tmp_path):
           "--temperature", f"{d}/temp.csv", "--labels", f"{d}/labels.sas", "--fact", f"{d}/i94.parquet",
           "--out", f"{d}/cli"])
     assert spark.read.parquet(f"{d}/cli/I94s.parquet").count() == 4
-    assert spark.read.parquet(f"{d}/cli/economics_country.parquet").count() == 4
+    assert spark.read.parquet(f"{d}/cli/economics_country.parquet").count() == 6
