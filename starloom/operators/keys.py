@@ -7,7 +7,8 @@ of a lost task reads the same checkpoint, so fact and dimension can never disagr
 A row's id is then the number of rows in earlier ranges plus its position in its own
 range; positions come from ``monotonically_increasing_id`` of the checkpointed scan
 (range index in the upper bits, row index in the lower 33 bits).  The only data that
-reaches the driver is one count per range.
+reaches the driver is one count per range.  Every value the exchange is keyed on is fixed
+before it (the input is checkpointed), so retried tasks route every row the same way.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from __future__ import annotations
 from itertools import accumulate
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,15 +39,15 @@ def add_surrogate_key(df: DataFrame, order_by: Sequence[str], id_col: str, tie_b
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = _order_cols(df, order_by, tie_break)
-    # the range bounds are sampled by a job of their own; keep the input so that job and the
-    # checkpoint job do not both recompute its whole lineage (a lost block is recomputed).
-    # "_row" breaks ties between exact copies, so many copies of one row can still be split
-    # across ranges; copies are interchangeable, so which copy gets which id does not matter.
-    src = df.withColumn("_row", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    # The input is checkpointed first: the range bounds are sampled by a job of their own, and
+    # "_row" (the file position of a row) must be the same on every recomputation of a lost
+    # task, or a range exchange keyed on it could drop or duplicate a row.  "_row" breaks ties
+    # between exact copies, so many copies of one row can still be split across ranges; copies
+    # are interchangeable, so which copy gets which id does not matter.
+    src = df.checkpoint(eager=True).withColumn("_row", F.monotonically_increasing_id())
     order = order + [F.col("_row").asc()]
     ranged = src.repartitionByRange(num_ranges, *order) if num_ranges else src.repartitionByRange(*order)
     ordered = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
-    src.unpersist()
 
     mid = F.monotonically_increasing_id()
     with_pos = ordered.select("*", F.shiftright(mid, _LOW_BITS).alias("_range"),
