@@ -100,6 +100,36 @@ def refresh_fact_month(spark: SparkSession, inp: StarInputs, base_path: str, int
     return spark.read.parquet(f"{base}/I94s.parquet")
 
 
+# Natural keys the fact looks each dimension up by.
+NATURAL_KEYS = {
+    "economics_country": ["year", "country_code"],
+    "economics_us_state": ["year", "month", "state_code"],
+    "temperature_country": ["year", "month", "country_code"],
+    "temperature_us_state": ["year", "month", "state_code"],
+}
+
+
+def star_quality(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The quality checks of a stored star, as DataFrames (nothing runs until they are used).
+
+    ``ids``: one row per dimension from ``pk_check``; ``repeated_natural_keys``: natural keys held
+    by more than one dimension row (expected empty); ``fact_rows``: the fact's row count;
+    ``coverage``: fact rows matched per dimension and in all four at once.
+    """
+    from ..operators.aggregates import row_count, union_all
+    from ..operators.quality import natural_key_duplicates, pk_check, star_coverage
+    dims = {n: stored[n] for n in ID_COLUMNS}
+    fact = stored["I94s"] if "I94s" in stored else stored["fact"]
+    repeated = union_all([natural_key_duplicates(df, NATURAL_KEYS[n]).select(F.lit(n).alias("table_name"), "n_rows")
+                          for n, df in dims.items()])
+    return {
+        "ids": union_all([pk_check(df, ID_COLUMNS[n], n) for n, df in dims.items()]),
+        "repeated_natural_keys": repeated,
+        "fact_rows": row_count(fact),
+        "coverage": star_coverage(fact, {n: (df, ID_COLUMNS[n]) for n, df in dims.items()}),
+    }
+
+
 def star_summary(stored: Mapping[str, DataFrame]) -> DataFrame:
     """One row per stored table: (table_name, n_rows, n_columns)."""
     rows = None

@@ -211,3 +211,14 @@ def test_command_line_build(spark, tmp_path):
           "--out", f"{d}/cli"])
     assert spark.read.parquet(f"{d}/cli/I94s.parquet").count() == 4
     assert spark.read.parquet(f"{d}/cli/economics_country.parquet").count() == 6
+
+
+def test_star_quality(star):
+    from starloom.plans.star import star_quality
+    _, _, s = star
+    q = star_quality(s)
+    assert all(r["is_dense"] for r in q["ids"].collect())
+    assert q["repeated_natural_keys"].count() == 0
+    assert q["fact_rows"].first()["n_rows"] == 4
+    cov = {r["check_name"]: r["n_matched"] for r in q["coverage"].collect()}
+    assert cov["_all"] == 2 and cov["economics_country"] == 3
