@@ -55,3 +55,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/starloom-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                 max_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of source data.
+
+    Shuffles start with enough partitions that each holds about ``target_partition_bytes``
+    (at least two per core), AQE then merges small ones and splits skewed ones, and file scans
+    read splits of ``max_partition_bytes``.  Apply with ``SparkSession.builder.config(k, v)`` or
+    ``spark.conf.set`` before the build.
+    """
+    shuffle = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+    }

@@ -35,3 +35,10 @@ def test_cast_columns_one_projection_by_source_type(spark):
     assert out.columns == ["a", "B", "c"]
     assert dict(out.dtypes) == {"a": "int", "B": "int", "c": "string"}
     assert tuple(out.first()) == (1, 3, "x")
+
+
+def test_cluster_conf_sizes_partitions():
+    from starloom.session import cluster_conf
+    c = cluster_conf(100 * 2**40, 8000)   # 100 TB on 1000 executors x 8 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"]) == 16
