@@ -52,8 +52,12 @@ def state_code(segment) -> "F.Column":
 
 def order_years(spark: SparkSession, sf_dir: str) -> list[str]:
     """Distinct order years (a handful of values) as the wide tables' year columns."""
-    rows = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y")).distinct().collect()
-    return [str(r["y"]) for r in sorted(rows, key=lambda r: r["y"]) if r["y"] is not None]
+    limit = 1000  # column count of the wide tables; at most limit + 1 values reach the driver
+    rows = (table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y")).filter(F.col("y").isNotNull())
+            .distinct().limit(limit + 1).collect())
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} order years: too many columns for a wide table")
+    return [str(r["y"]) for r in sorted(rows, key=lambda r: r["y"])]
 
 
 # ----------------------------------------------------------------------------- labels (code, label)

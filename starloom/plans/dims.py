@@ -55,7 +55,9 @@ def discover_series(wide: DataFrame, series_col: str = "Series Name",
     This is the positional naming of a pivot whose columns are discovered from the data; it
     requires exactly ``len(names)`` non-NULL series.
     """
-    found = sorted(r[0] for r in wide.select(F.col(f"`{series_col}`")).distinct().collect() if r[0] is not None)
+    col = F.col(f"`{series_col}`")
+    # at most len(names) + 1 values reach the driver
+    found = sorted(r[0] for r in wide.select(col).filter(col.isNotNull()).distinct().limit(len(names) + 1).collect())
     if len(found) != len(names):
         raise ValueError(f"expected {len(names)} series, found {len(found)}: {found}")
     return dict(zip(found, names))
