@@ -298,6 +298,8 @@ def q_unpivot_then_pivot(spark, d):
 # ============================================================================ joins
 
 def _economics_parts(spark, d, oc=None):
+    """The three country-year parts; they all derive from orders x customer, materialised once."""
+    oc = G.shared_orders_customers(spark, d) if oc is None else oc
     years = G.order_years(spark, d)
     pss = D.political_stability_long(G.political_stability_wide(spark, d, years, oc))
     un = D.unemployment_long(G.unemployment_country_wide(spark, d, years, oc), G.SERIES)
