@@ -1,0 +1,3 @@
+from .refresh import run_monthly_refresh
+
+__all__ = ["run_monthly_refresh"]
