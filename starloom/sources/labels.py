@@ -38,7 +38,7 @@ from ..functions.text import strip_ws
 def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a label file (or folder of part files) as (f, p, line), tabs already removed."""
     return (spark.read.text(path)
-            .select(F.input_file_name().alias("f"),
+            .select(F.col("_metadata.file_path").alias("f"),
                     F.monotonically_increasing_id().alias("p"),
                     F.translate(F.col("value"), "\t", "").alias("line")))
 
