@@ -1,14 +1,11 @@
 """The paths taken when a side is over the broadcast bound give the same rows as the broadcast paths."""
 
-
 from pyspark.sql import functions as F
 
 from starloom.operators.aggregates import share_of_total
 from starloom.operators.joins import fk_lookup, label_join
 
 
-
-
 def test_fk_lookup_without_broadcast(spark):
     fact = spark.range(0, 5000).select((F.col("id") % 12 + 1).cast("int").alias("mon"),
                                        (F.col("id") % 7).cast("string").alias("addr"), "id")
