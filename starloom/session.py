@@ -36,8 +36,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can reach;
-    it is read from the session and never replaced.  Only when it is unset (local
-    tests) a private folder under the system temp dir is created and registered.
+    it is read from the session and never replaced.  Only when it is unset in local mode
+    (tests) a private folder under the system temp dir is created and registered; on a
+    cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,8 +47,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.startswith("local"):
+        # local mode only (tests): driver and executors share this machine's temp folder
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                           "(checkpoints and written intermediate tables go there)")
     return sc.getCheckpointDir()
 
 
