@@ -20,9 +20,10 @@ DEFAULT_CONF = {
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "starloom") -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "starloom",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "8g"))
