@@ -40,15 +40,22 @@ def add_surrogate_key(df: DataFrame, order_by: Sequence[str], id_col: str, tie_b
     ensure_checkpoint_dir(spark)
     order = _order_cols(df, order_by, tie_break)
     # The input is checkpointed first: the range bounds are sampled by a job of their own, and
-    # "_row" (the file position of a row) must be the same on every recomputation of a lost
-    # task, or a range exchange keyed on it could drop or duplicate a row.  "_row" breaks ties
+    # every value the exchange routes on must be the same on every recomputation of a lost task
+    # (floating sums of a regrouped input can differ in their last bits, the "_row" position of a
+    # row can differ too), or the exchange could drop or duplicate a row.  "_row" breaks ties
     # between exact copies, so many copies of one row can still be split across ranges; copies
     # are interchangeable, so which copy gets which id does not matter.
     src = df.checkpoint(eager=True).withColumn("_row", F.monotonically_increasing_id())
-    order = order + [F.col("_row").asc()]
-    ranged = src.repartitionByRange(num_ranges, *order) if num_ranges else src.repartitionByRange(*order)
-    ordered = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
+    ordered = _ranged_checkpoint(src, order + [F.col("_row").asc()], num_ranges)
+    return _number(ordered, df.columns, id_col, id_type)
 
+
+def _ranged_checkpoint(df: DataFrame, order: list[Column], num_ranges: int | None) -> DataFrame:
+    ranged = df.repartitionByRange(num_ranges, *order) if num_ranges else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order).checkpoint(eager=True)
+
+
+def _number(ordered: DataFrame, columns: list[str], id_col: str, id_type: str) -> DataFrame:
     mid = F.monotonically_increasing_id()
     with_pos = ordered.select("*", F.shiftright(mid, _LOW_BITS).alias("_range"),
                               mid.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_pos"))
@@ -63,4 +70,4 @@ def add_surrogate_key(df: DataFrame, order_by: Sequence[str], id_col: str, tie_b
     else:
         offset = F.lit(0).cast("bigint")
     ids = (offset + F.col("_pos") + F.lit(1)).cast(id_type)
-    return with_pos.select(*[F.col(f"`{c}`") for c in df.columns], ids.alias(id_col))
+    return with_pos.select(*[F.col(f"`{c}`") for c in columns], ids.alias(id_col))
