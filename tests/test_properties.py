@@ -33,3 +33,29 @@ def test_lenient_int_matches_rule(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(lenient_int("x")).collect()]
     assert got == [expected(v) for v in values]
+
+
+_MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october",
+           "november", "december"]
+
+
+@st.composite
+def month_texts(draw):
+    if draw(st.integers(0, 4)) == 0:
+        return draw(st.text(alphabet="abcdefxyz ", max_size=6)), None
+    m = draw(st.integers(1, 12))
+    word = _MONTHS[m - 1] if draw(st.booleans()) else _MONTHS[m - 1][:3]
+    cased = "".join(c.upper() if draw(st.booleans()) else c for c in word)
+    return cased, m
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(month_texts(), min_size=100, max_size=100))
+def test_month_names_any_case(spark, pairs):
+    from starloom.functions.text import month_name_to_int
+    df = spark.createDataFrame([(t,) for t, _ in pairs], "m string")
+    got = [r[0] for r in df.select(month_name_to_int("m")).collect()]
+    # junk text that happens to spell a month (e.g. 'mar') is a month too
+    exp = [m if m is not None else (next((i + 1 for i, n in enumerate(_MONTHS) if t.lower() in (n, n[:3])), None))
+           for t, m in pairs]
+    assert got == exp
