@@ -27,7 +27,7 @@ from . import analog as G
 from . import dims as D
 from .fact import FACT_COLUMNS, FACT_IDS, i94_fact
 from .oracle import with_ctes
-from .star import StarInputs, build_star, star_summary
+from .star import StarInputs, build_star, star_summary, store_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -413,20 +413,8 @@ def stored_star(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, d)
     if key not in _STORED:
         oc = G.shared_orders_customers(spark, d)
-        dims = _dims(spark, d, oc)
-        inputs_fact = G.fact_source(spark, d, oc)
-        base = scratch_path(spark, "stored-star")
-        from .star import PARTITIONS, _read_back
-        stored = {}
-        for name, df in dims.items():
-            path = f"{base}/{name}.parquet"
-            write_partitioned(df, path, PARTITIONS[name], colocate=True)
-            stored[name] = _read_back(spark, df, path)
-        fact = i94_fact(inputs_fact, stored["economics_country"], stored["economics_us_state"],
-                        stored["temperature_country"], stored["temperature_us_state"])
-        path = f"{base}/I94s.parquet"
-        write_partitioned(fact, path, PARTITIONS["I94s"], rebalance=True)
-        stored["fact"] = _read_back(spark, fact, path)
+        stored = store_star(spark, _dims(spark, d, oc), G.fact_source(spark, d, oc), scratch_path(spark, "stored-star"))
+        stored["fact"] = stored.pop("I94s")
         _STORED[key] = stored
     return _STORED[key]
 

@@ -66,21 +66,22 @@ def _read_back(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return read_partitioned(spark, path, columns=df.columns, schema=df.schema)
 
 
-def build_star(spark: SparkSession, inp: StarInputs, base_path: str, mode: str = "errorifexists",
-               int_type: str = "int", max_records_per_file: int | None = None) -> dict[str, DataFrame]:
+def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source: DataFrame, base_path: str,
+               mode: str = "errorifexists", int_type: str = "int",
+               max_records_per_file: int | None = None) -> dict[str, DataFrame]:
     """Write the four dimensions, read them back, build the fact from the stored ids, write it.
 
     Writing the dimensions first means the ids the fact refers to are exactly the stored ones
-    (a lineage recomputation can never hand the fact different ids).  Returns the tables as
-    read back from ``base_path``.
+    (a lineage recomputation can never hand the fact different ids).  Returns the five tables
+    as read back from ``base_path`` (the fact under ``"I94s"``).
     """
     base = base_path.rstrip("/")
     stored: dict[str, DataFrame] = {}
-    for name, df in build_dimensions(inp).items():
+    for name, df in dims.items():
         path = f"{base}/{name}.parquet"
         write_partitioned(df, path, PARTITIONS[name], mode=mode, colocate=True)
         stored[name] = _read_back(spark, df, path)
-    fact = i94_fact(inp.fact_source, stored["economics_country"], stored["economics_us_state"],
+    fact = i94_fact(fact_source, stored["economics_country"], stored["economics_us_state"],
                     stored["temperature_country"], stored["temperature_us_state"], int_type=int_type)
     path = f"{base}/I94s.parquet"
     write_partitioned(fact, path, PARTITIONS["I94s"], mode=mode, max_records_per_file=max_records_per_file,
@@ -89,6 +90,13 @@ def build_star(spark: SparkSession, inp: StarInputs, base_path: str, mode: str =
     return stored
 
 
+def build_star(spark: SparkSession, inp: StarInputs, base_path: str, mode: str = "errorifexists",
+               int_type: str = "int", max_records_per_file: int | None = None) -> dict[str, DataFrame]:
+    """The whole build from source frames: dimensions, then the fact against the stored dimensions."""
+    return store_star(spark, build_dimensions(inp), inp.fact_source, base_path, mode=mode, int_type=int_type,
+                      max_records_per_file=max_records_per_file)
+
+
 def refresh_fact_month(spark: SparkSession, inp: StarInputs, base_path: str, int_type: str = "int") -> DataFrame:
     """Monthly refresh of the fact: rebuild from a new month's source and overwrite only that
     month's partitions, against the dimensions already stored under ``base_path``."""
