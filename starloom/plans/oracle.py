@@ -22,20 +22,21 @@ _CTES: list[tuple[str, str, tuple[str, ...]]] = [
                         FROM customer WHERE NOT starts_with(c_mktsegment, 'M')""", ()),
     ("pss_cnt", """SELECT n_name, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS cnt FROM ocn GROUP BY ALL""",
      ("ocn",)),
-    ("pss", """SELECT nat.n_name AS country_name, CAST(nat.n_nationkey AS VARCHAR) AS country_code,
-                      CAST(p.cnt AS REAL) AS pss, years.year
-               FROM nat JOIN years ON TRUE
-               LEFT JOIN pss_cnt p ON p.n_name = nat.n_name AND p.year = years.year""", ("nat", "years", "pss_cnt")),
+    # one row per nation and year column: each nation row unpivoted over the list of year columns
+    ("grid", """SELECT n_name, n_nationkey, unnest((SELECT list(year) FROM years)) AS year FROM nat""",
+     ("nat", "years")),
+    ("pss", """SELECT g.n_name AS country_name, CAST(g.n_nationkey AS VARCHAR) AS country_code,
+                      CAST(p.cnt AS REAL) AS pss, g.year
+               FROM grid g LEFT JOIN pss_cnt p ON p.n_name = g.n_name AND p.year = g.year""", ("grid", "pss_cnt")),
     ("un_cnt", """SELECT n_name, o_orderpriority AS prio, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS cnt
                   FROM ocn GROUP BY ALL""", ("ocn",)),
-    ("un", """SELECT nat.n_name AS country_name, CAST(nat.n_nationkey AS VARCHAR) AS country_code, years.year,
+    ("un", """SELECT g.n_name AS country_name, CAST(g.n_nationkey AS VARCHAR) AS country_code, g.year,
                      sum(CASE WHEN u.prio = '1-URGENT' THEN CAST(u.cnt AS REAL) END) AS uwae,
                      sum(CASE WHEN u.prio = '2-HIGH' THEN CAST(u.cnt AS REAL) END) AS uwbe,
                      sum(CASE WHEN u.prio = '3-MEDIUM' THEN CAST(u.cnt AS REAL) END) AS uwie,
                      sum(CASE WHEN u.prio = '4-NOT SPECIFIED' THEN CAST(u.cnt AS REAL) END) AS ut
-              FROM nat JOIN years ON TRUE
-              LEFT JOIN un_cnt u ON u.n_name = nat.n_name AND u.year = years.year
-              GROUP BY nat.n_name, nat.n_nationkey, years.year""", ("nat", "years", "un_cnt")),
+              FROM grid g LEFT JOIN un_cnt u ON u.n_name = g.n_name AND u.year = g.year
+              GROUP BY g.n_name, g.n_nationkey, g.year""", ("grid", "un_cnt")),
     ("pop_raw", """SELECT ocn.n_name AS country_name, CAST(year(ocn.o_orderdate) AS INTEGER) AS year,
                           CAST(count(*) AS INTEGER) AS count
                    FROM lineitem l JOIN ocn ON l.l_orderkey = ocn.o_orderkey GROUP BY ALL""", ("ocn",)),

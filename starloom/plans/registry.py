@@ -103,9 +103,9 @@ WITH latest AS (SELECT CAST(year(max(o_orderdate)) AS INTEGER) AS y, CAST(month(
                 FROM orders),
 first_load AS (""" + _MONTHLY_SQL.format(where="WHERE o_orderstatus <> 'P'") + """),
 refreshed AS (""" + _MONTHLY_SQL.format(where="") + """)
-SELECT f.* FROM first_load f, latest WHERE NOT (f.year = latest.y AND f.month = latest.m)
+SELECT * FROM first_load WHERE NOT (year = (SELECT y FROM latest) AND month = (SELECT m FROM latest))
 UNION ALL
-SELECT r.* FROM refreshed r, latest WHERE r.year = latest.y AND r.month = latest.m""")
+SELECT * FROM refreshed WHERE year = (SELECT y FROM latest) AND month = (SELECT m FROM latest)""")
 def q_monthly_refresh(spark, d):
     orders = T(spark, d, "orders")
     first = _monthly(orders.filter(F.col("o_orderstatus") != "P"))
