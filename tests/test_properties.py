@@ -59,3 +59,39 @@ def test_month_names_any_case(spark, pairs):
     exp = [m if m is not None else (next((i + 1 for i, n in enumerate(_MONTHS) if t.lower() in (n, n[:3])), None))
            for t, m in pairs]
     assert got == exp
+
+
+@st.composite
+def wide_tables(draw):
+    cell = st.one_of(st.none(), st.sampled_from(["..", "", "1", "2.5", "-3", "10.25", "0"]))
+    rows = draw(st.lists(st.tuples(st.sampled_from(["Chad", "Peru", None]), st.sampled_from(["s1", "s2", "s3", None]),
+                                   cell, cell), min_size=1, max_size=15))
+    return rows
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(wide_tables())
+def test_unpivot_then_pivot_matches_rules(spark, rows):
+    import numpy as np
+    from starloom.operators.reshape import unpivot_then_pivot
+    series = {"s1": "a", "s2": "b"}
+    df = spark.createDataFrame([(n, n and n[:2], s, y1, y2) for n, s, y1, y2 in rows],
+                               "`Country Name` string, code string, `Series Name` string, `2000` string, `2001` string")
+    got = sorted(map(tuple, unpivot_then_pivot(df, ["Country Name", "code"], "Series Name", series,
+                                               id_aliases=["name", "code"]).collect()), key=repr)
+
+    def num(t):
+        try:
+            return float(np.float32(float(t)))
+        except (TypeError, ValueError):
+            return None
+    cells = {}
+    for n, s, y1, y2 in rows:
+        for year, t in ((2000, y1), (2001, y2)):
+            key = (n, n and n[:2], year)
+            cells.setdefault(key, {"a": [], "b": []})
+            if s in series and num(t) is not None:
+                cells[key][series[s]].append(num(t))
+    exp = sorted({(k[0], k[1], k[2], sum(v["a"]) if v["a"] else None, sum(v["b"]) if v["b"] else None)
+                  for k, v in cells.items()}, key=repr)
+    assert got == exp
