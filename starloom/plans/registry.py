@@ -407,7 +407,7 @@ _STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 def stored_star(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The star built once per session and source folder, as read back from Parquet.
 
-    The quality checks run on the stored tables, like checks that follow a nightly build;
+    The quality checks run on the stored tables, like the checks that follow a monthly build;
     the build itself is timed by ``star_build`` and ``fact_fk_lookup``.
     """
     key = (spark.sparkContext.applicationId, d)
