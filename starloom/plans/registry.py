@@ -27,7 +27,7 @@ from . import analog as G
 from . import dims as D
 from .fact import FACT_COLUMNS, FACT_IDS, i94_fact
 from .oracle import with_ctes
-from .star import StarInputs, build_star, star_summary, store_star
+from .star import StarInputs, build_concurrently, build_star, star_summary, store_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -374,12 +374,13 @@ def _dims(spark, d, oc=None) -> dict[str, DataFrame]:
     """All four dimensions; with ``oc`` (orders x customer, materialised once) every source derives
     from it, and both temperature dimensions come from one scan of the readings."""
     temp_country, temp_state = D.split_temperature_monthly(D.temperature_monthly(G.temperature(spark, d, oc)))
-    return {"economics_country": D.economics_country(D.economics_country_no_labels(*_economics_parts(spark, d, oc)),
-                                                     G.country_labels(spark, d)),
-            "economics_us_state": D.economics_us_state(
-                D.economics_us_state_no_labels(G.unemployment_us_state(spark, d, oc)), G.state_labels(spark, d)),
-            "temperature_country": D.temperature_country(temp_country, G.country_labels(spark, d)),
-            "temperature_us_state": D.temperature_us_state(temp_state, G.state_labels(spark, d))}
+    return build_concurrently({
+        "economics_country": lambda: D.economics_country(
+            D.economics_country_no_labels(*_economics_parts(spark, d, oc)), G.country_labels(spark, d)),
+        "economics_us_state": lambda: D.economics_us_state(
+            D.economics_us_state_no_labels(G.unemployment_us_state(spark, d, oc)), G.state_labels(spark, d)),
+        "temperature_country": lambda: D.temperature_country(temp_country, G.country_labels(spark, d)),
+        "temperature_us_state": lambda: D.temperature_us_state(temp_state, G.state_labels(spark, d))})
 
 
 def _fact(spark, d, dims, oc=None) -> DataFrame:
