@@ -23,7 +23,7 @@ from ..operators.aggregates import drop_null_any, drop_null_subset, group_avg, g
 from ..operators.joins import label_join, outer_chain, union_distinct_keys
 from ..operators.keys import add_surrogate_key
 from ..operators.reshape import unpivot_then_pivot, unpivot_years
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, run_concurrently
 
 # Output column order and id names of the star contract.
 ECONOMICS_COUNTRY_COLUMNS = ["country_name", "year", "pss", "uwae", "uwbe", "uwie", "ut", "powp", "country_code"]
@@ -99,7 +99,10 @@ def economics_country_no_labels(pss: DataFrame, unemployment: DataFrame, populat
                                          for p in (pss, unemployment, population))
     if materialize:
         ensure_checkpoint_dir(pss.sparkSession)
-        pss, unemployment, population = (p.checkpoint(eager=True) for p in (pss, unemployment, population))
+        parts = run_concurrently({"pss": lambda: pss.checkpoint(eager=True),
+                                  "unemployment": lambda: unemployment.checkpoint(eager=True),
+                                  "population": lambda: population.checkpoint(eager=True)})
+        pss, unemployment, population = parts["pss"], parts["unemployment"], parts["population"]
     keys = union_distinct_keys([pss, unemployment, population], ["country_name", "year"], ["u_name", "u_year"])
     chain = outer_chain(keys, ["u_name", "u_year"],
                         [(pss, ["country_name", "year"]), (unemployment, ["country_name", "year"]),

@@ -19,7 +19,7 @@ from ..operators import quality as Q
 from ..operators.joins import label_join, union_distinct_keys
 from ..operators.keys import add_surrogate_key
 from ..operators.reshape import pivot_sum
-from ..session import scratch_path
+from ..session import run_concurrently, scratch_path
 from ..sources.files import (lowercase_names, read_fact_source, read_header_csv, read_partitioned,
                              refresh_partitions, write_header_csv, write_partitioned)
 from ..sources.labels import parse_label_section, read_label_lines, write_label_file
@@ -27,7 +27,7 @@ from . import analog as G
 from . import dims as D
 from .fact import FACT_COLUMNS, FACT_IDS, i94_fact
 from .oracle import with_ctes
-from .star import StarInputs, build_concurrently, build_star, star_summary, store_star
+from .star import StarInputs, build_star, star_summary, store_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -374,7 +374,7 @@ def _dims(spark, d, oc=None) -> dict[str, DataFrame]:
     """All four dimensions; with ``oc`` (orders x customer, materialised once) every source derives
     from it, and both temperature dimensions come from one scan of the readings."""
     temp_country, temp_state = D.split_temperature_monthly(D.temperature_monthly(G.temperature(spark, d, oc)))
-    return build_concurrently({
+    return run_concurrently({
         "economics_country": lambda: D.economics_country(
             D.economics_country_no_labels(*_economics_parts(spark, d, oc)), G.country_labels(spark, d)),
         "economics_us_state": lambda: D.economics_us_state(
@@ -537,11 +537,12 @@ def star_inputs_from_files(spark: SparkSession, d: str) -> StarInputs:
             "population_country.csv": G.population(spark, d, oc),
             "unemployment_us_state.csv": G.unemployment_us_state(spark, d, oc),
             "temperature_country_us_state.csv": G.temperature(spark, d, oc)}
-    read = {}
-    for name, df in csvs.items():
-        read[name] = read_header_csv(spark, write_header_csv(df, f"{base}/{name}"))
-    labels = write_label_file(G.label_sections_raw(spark, d), f"{base}/labels.sas")
-    G.fact_source(spark, d, oc).write.parquet(f"{base}/i94.parquet")
+    writes = {name: (lambda df=df, name=name: write_header_csv(df, f"{base}/{name}")) for name, df in csvs.items()}
+    writes["labels"] = lambda: write_label_file(G.label_sections_raw(spark, d), f"{base}/labels.sas")
+    writes["fact"] = lambda: G.fact_source(spark, d, oc).write.parquet(f"{base}/i94.parquet")
+    paths = run_concurrently(writes)
+    read = {name: read_header_csv(spark, paths[name]) for name in csvs}
+    labels = paths["labels"]
     return StarInputs(political_stability=read["political_stability_country.csv"],
                       unemployment_country=read["unemployment_country.csv"],
                       population=read["population_country.csv"],

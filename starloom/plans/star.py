@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Callable, Mapping
+from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import run_concurrently
 from ..sources.files import read_partitioned, refresh_partitions, write_partitioned
 from ..sources.labels import label_table
 from . import dims as D
@@ -45,24 +45,12 @@ class StarInputs:
     series: Mapping[str, str] = field(default_factory=dict)
 
 
-def build_concurrently(builders: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-    """Run independent builders from separate threads so their Spark jobs overlap.
-
-    Each dimension build runs a handful of small jobs (checkpoints, range sampling, size
-    checks) that use few tasks each; submitted together they share the executors instead of
-    waiting for each other.  Results are the same as building one after another.
-    """
-    with ThreadPoolExecutor(max_workers=max(1, len(builders))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in builders.items()}
-        return {name: f.result() for name, f in futures.items()}
-
-
 def build_dimensions(inp: StarInputs) -> dict[str, DataFrame]:
     country_labels = label_table(inp.label_lines, COUNTRY_SECTION, "country_code", "country_name")
     state_labels = label_table(inp.label_lines, STATE_SECTION, "state_code", "state_name")
     # the daily temperature readings are scanned once for both temperature dimensions
     temp_country, temp_state = D.split_temperature_monthly(D.temperature_monthly(inp.temperature))
-    return build_concurrently({
+    return run_concurrently({
         "economics_country": lambda: D.economics_country(D.economics_country_no_labels(
             D.political_stability_long(inp.political_stability), D.unemployment_long(inp.unemployment_country,
                                                                                      inp.series),
