@@ -7,6 +7,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.casts import lenient_cast
+
 # Largest side (rows) that is broadcast after its size has been checked.  Label tables and
 # (keys, id) projections of dimension tables stay far below it; anything larger goes through
 # a shuffle join that AQE can still convert or split at run time.
@@ -62,9 +64,7 @@ def label_join(df: DataFrame, labels: DataFrame, name_col: str, label_name_col:
     out = df.join(lab, F.col(name_col) == F.col("_lname"), how).drop("_lname")
     code = F.col("_lcode")
     if cast_code:
-        from ..functions.casts import lenient_int
-        code = lenient_int(code, from_text=True, int_type=cast_code) if cast_code in ("int", "bigint") \
-            else code.try_cast(cast_code)
+        code = lenient_cast(code, cast_code)
     return out.withColumn(code_col, code).drop("_lcode")
 
 
