@@ -46,8 +46,10 @@ class StarInputs:
 
 
 def build_dimensions(inp: StarInputs) -> dict[str, DataFrame]:
-    country_labels = label_table(inp.label_lines, COUNTRY_SECTION, "country_code", "country_name")
-    state_labels = label_table(inp.label_lines, STATE_SECTION, "state_code", "state_name")
+    labels = run_concurrently({
+        "country": lambda: label_table(inp.label_lines, COUNTRY_SECTION, "country_code", "country_name"),
+        "state": lambda: label_table(inp.label_lines, STATE_SECTION, "state_code", "state_name")})
+    country_labels, state_labels = labels["country"], labels["state"]
     # the daily temperature readings are scanned once for both temperature dimensions
     temp_country, temp_state = D.split_temperature_monthly(D.temperature_monthly(inp.temperature))
     return run_concurrently({
