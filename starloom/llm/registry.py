@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
 
-from . import chat_format, decontaminate, license_scan, quality_rules, source_mix, warc
+from . import chat_format, decontaminate, hmm_lm, license_scan, quality_rules, source_mix, toxicity, warc
 from ._tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,26 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "scan.*")
 
 
+def _crc(c: str = "doc_id"):
+    return F.crc32(F.col(c).cast("string"))
+
+
+@query("op4_hmm_lm")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return hmm_lm.score(docs.withColumn("held_out", F.coalesce(_crc() % 10 == 0, F.lit(False))))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(*toxicity.sample(docs, labels, usable=_crc() % 3 != 1))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(_crc() % 3 == 1, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"),
+        F.size("offending").cast("long").alias("n_offending"))
+
+
 @query("op6_source_mix")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
