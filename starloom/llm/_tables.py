@@ -25,6 +25,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_table(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """``store`` for large tables: zstd, and a folder per value of ``partition``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def n_groups(df: DataFrame, size: Column, per_group: int, least: int = 64) -> int:
     """Number of hash groups so that each holds about ``per_group`` units of ``size``."""
     total = df.agg(F.sum(size)).first()[0] or 0

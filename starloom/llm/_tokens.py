@@ -67,7 +67,7 @@ class Words:
 
     def __init__(self, arr: pa.Array, separators: np.ndarray = SPACE_BYTES, lower: bool = False):
         data, off = text_bytes(arr)
-        self.data = LOWER[data] if lower else data
+        self.data, self.offset = LOWER[data] if lower else data, off
         inside = ~separators[self.data]
         before, after = np.empty_like(inside), np.empty_like(inside)
         if len(inside):

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
 
-from . import chat_format, decontaminate, hmm_lm, license_scan, quality_rules, source_mix, toxicity, warc
+from . import chat_format, decontaminate, hmm_lm, license_scan, quality_rules, source_mix, substring_dedup, toxicity, warc
 from ._tables import table
+from ._tokens import Words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +30,30 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _digests(part: pa.Table, w: Words, removed: np.ndarray) -> pa.RecordBatch:
+    gone = np.add.reduceat(np.append(removed, 0), np.minimum(w.first[:-1], len(removed))) if part.num_rows else np.zeros(0)
+    gone = np.where(w.count > 0, gone, 0).astype(np.int64)
+    sha = [hashlib.sha256(x).hexdigest() for x in substring_dedup.kept_texts(w, removed)]
+    return pa.RecordBatch.from_arrays(
+        [part.column("doc_id").combine_chunks(), pa.array(w.count.astype(np.int64)), pa.array(gone), pa.array(sha, pa.string())],
+        names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+
+@query("op1_substring_dedup", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT rid, doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS g FROM
+         (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+least_doc AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 13)) AS p FROM win JOIN least_doc USING (g) WHERE m < doc_id),
+word AS (SELECT rid, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT rid, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"), _digests,
+                                 "doc_id long, n_words long, n_removed long, kept_sha256 string", width=13)
+
+
 @query("op3_license_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "scan.*")
