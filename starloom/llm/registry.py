@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
 
-from . import chat_format, decontaminate, hmm_lm, license_scan, quality_rules, source_mix, substring_dedup, toxicity, warc
+from . import chat_format, decontaminate, hmm_lm, jaccard_join, license_scan, quality_rules, source_mix, substring_dedup, toxicity, warc
 from ._tables import table
 from ._tokens import Words
 
@@ -54,6 +54,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "doc_id long, n_words long, n_removed long, kept_sha256 string", width=13)
 
 
+@query("op2_jaccard_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 @query("op3_license_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "scan.*")
