@@ -317,7 +317,8 @@ def _compare(rule_args: tuple[int, int, int]):
 
 
 def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+    """Rows (doc_id, n_shingles, component_id, text_hash) for every row of ``docs`` (doc_id, text); text_hash is
+    xxhash64(text), which tells rows of equal doc_id apart."""
     rule, args = Rule(k, num, den), (k, num, den)
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -329,10 +330,11 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
             for part in slices(batch, "text"):
                 d, t, n = shingle_sets(part.column("text"), k)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n), pa.array(_class(d, t, n)),
-                     pa.array(_prefixes(Rule(*args), counts.value, d, t, n), pa.binary())], names=["doc_id", "n", "cls", "prefix"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(n), pa.array(_class(d, t, n)),
+                     pa.array(_prefixes(Rule(*args), counts.value, d, t, n), pa.binary())], names=["doc_id", "text_hash", "n", "cls", "prefix"])
 
-    meta = scratch_table(slim.mapInArrow(describe, "doc_id long, n long, cls long, prefix binary"), "jac-docs")
+    meta = scratch_table(slim.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        describe, "doc_id long, text_hash long, n long, cls long, prefix binary"), "jac-docs")
     known = meta.filter("doc_id is not null and n > 0")
 
     # classes that share enough prefix tokens with others, and their groups
@@ -396,5 +398,23 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
                      .join(store(least_doc, "jac-least"), "label", "left")
                      .select("cls", F.coalesce("component", "doc").alias("component")), "jac-components")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
-    return meta.select("doc_id", "n", "cls").join(of_class, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return meta.select("doc_id", "text_hash", "n", "cls").join(of_class, "cls", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), "text_hash")
+
+
+def one_of_each(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """``docs``, all columns as they are, with one document of each component: that of the smallest doc_id.
+
+    Rows without a doc_id stay.  Of repeated rows (doc_id and text) one stays.
+    """
+    found = store(link_components(docs, k, num, den), "jac-found")
+    losers = found.filter("component_id <> doc_id").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    twice = store(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+                  .agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("__id", "__hash"), "jac-repeated")
+    on = lambda t: (F.col("doc_id").cast("long") == t["__id"]) & (F.xxhash64(F.col("text").cast("string")) == t["__hash"])
+    kept = docs.join(losers, on(losers), "left_anti")
+    if not twice.limit(1).count():
+        return kept
+    once = kept.join(twice, on(twice), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(twice, on(twice), "left_anti").unionByName(once)

@@ -1,8 +1,8 @@
 """Quality rules: a threshold table compiled into one projection, without user functions.
 
-``measures`` adds the counts, ``verdict`` turns the table ``RULES`` into one boolean column.
-Null texts count as empty.  The input's own columns are not read but for ``text``, so clashing
-names do no harm: the counts live in one struct column until the caller picks them.
+``measures`` is a struct of the counts, ``verdict`` turns the table ``RULES`` into one boolean column, and
+``keep_condition`` is both in one expression for filters.  Null texts count as empty.  Only ``text`` is read;
+``quality`` adds columns m, base_failed and kept (its input must not use these names, the condition has no such limit).
 """
 
 from __future__ import annotations
@@ -77,8 +77,8 @@ def _repeat_words(w: Column, n: Column) -> Column:
     return let(wins, lambda hs: F.when(F.size(F.array_distinct(hs)) == F.size(hs), F.lit(0)).otherwise(covered(hs)))
 
 
-def measures(df: DataFrame, text: str = "text", out: str = "m") -> DataFrame:
-    """Add struct column ``out`` with all counts of the table."""
+def measures(text: str = "text") -> Column:
+    """Struct of all counts of the table."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     stop = list(dict.fromkeys(v for x in STOP_WORDS for v in (x, x.capitalize())))
@@ -96,33 +96,39 @@ def measures(df: DataFrame, text: str = "text", out: str = "m") -> DataFrame:
             F.length(F.regexp_replace(t, "[^A-Z]+", "")).cast("long").alias("n_upper"),
         )
 
-    return df.withColumn(out, let(words(F.col(text)), lambda w: let(lines, lambda ls: counts(w, ls))))
+    return let(words(F.col(text)), lambda w: let(lines, lambda ls: counts(w, ls)))
 
 
-def passes(rule: Rule, m: str = "m") -> Column:
-    num = F.col(f"{m}.{rule.numerator}")
-    den = F.col(f"{m}.{rule.denominator}") if rule.denominator else F.lit(1)
+def passes(rule: Rule, m: Column) -> Column:
+    num = m[rule.numerator]
+    den = m[rule.denominator] if rule.denominator else F.lit(1)
     ok = F.lit(True)
     if rule.low is not None:
         ok = ok & (num >= F.lit(rule.low) * den)
     if rule.high is not None:
         ok = ok & (num <= F.lit(rule.high) * den)
-    return (F.col(f"{m}.n_words") < rule.from_words) | ok if rule.from_words else ok
+    return (m["n_words"] < rule.from_words) | ok if rule.from_words else ok
 
 
-def base_failed(m: str = "m") -> Column:
-    return (F.col(f"{m}.n_words") < 10) | (100 * F.col(f"{m}.n_repeat_words") > 20 * F.col(f"{m}.n_words"))
+def base_failed(m: Column) -> Column:
+    return (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
 
 
-def verdict(m: str = "m", rules: tuple[Rule, ...] = RULES) -> Column:
-    ok = F.lit(True)
+def verdict(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    ok = ~base_failed(m)
     for r in rules:
         if r.name not in BASE_RULES:
             ok = ok & passes(r, m)
-    return ~base_failed(m) & ok
+    return ok
 
 
 def quality(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``df`` with struct ``m`` (counts), ``base_failed`` and ``kept``."""
-    return (measures(df, text).withColumn("base_failed", base_failed())
-            .withColumn("kept", verdict(rules=rules)))
+    m = F.col("m")
+    return (df.withColumn("m", measures(text)).withColumn("base_failed", base_failed(m))
+            .withColumn("kept", verdict(m, rules)))
+
+
+def keep_condition(text: str = "text", rules: tuple[Rule, ...] = RULES) -> Column:
+    """The verdict as one condition on a text column, counts evaluated once."""
+    return let(measures(text), lambda m: verdict(m, rules))

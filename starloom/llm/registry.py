@@ -56,7 +56,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_jaccard_join")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.link_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100).drop("text_hash")
 
 
 @query("op3_license_scan")

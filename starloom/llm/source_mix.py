@@ -107,11 +107,11 @@ def mix(docs: DataFrame, keep: Sequence[str], text: str = "text", source: str =
     """Columns ``keep`` of ``docs`` with size, source_size, target and taken (words that the mix takes
     of each document).  Other columns, whatever their names, are not carried."""
     kept = list(keep)
-    sized = docs.select(*kept, F.size(words(F.col(text))).cast("long").alias("size"),
-                        F.xxhash64(*key, text, source).alias("key0"), F.col(source).alias("__src"))
-    # a row number of the stored row tells repeated rows apart from here on
-    base = store(sized.withColumn("row", F.monotonically_increasing_id()).select(
-        *[F.col(c).alias(f"d_{i}") for i, c in enumerate(kept)], "size", "key0", "row", "__src"), "mix-docs")
+    # the row number of the stored row tells repeated rows apart from here on
+    base = store(docs.select(
+        *[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(kept)], F.size(words(F.col(text))).cast("long").alias("size"),
+        F.xxhash64(*key, text, source).alias("key0"), F.monotonically_increasing_id().alias("row"),
+        F.col(source).alias("__src")), "mix-docs")
     per = (base.groupBy(F.col("__src").alias("source")).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")))
     src = store(targets(store(per, "mix-totals"), weights, most), "mix-targets")
     small = src.count() <= BROADCAST_SOURCES  # one row per source; beyond it a shuffle join that AQE splits
