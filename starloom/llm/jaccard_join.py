@@ -38,9 +38,10 @@ CELLS = 1 << 20
 CELL_BLOCK = 1 << 14
 BUCKET_BYTES = 8 << 20
 CHUNK = 1_000_000
-MEMBER_TOKENS, VISITOR_TOKENS = 100_000, 200_000  # of a block
-MEMBERS, VISITORS = 256, 512
-BUNDLE_TOKENS = 400_000
+MEMBER_TOKENS, VISITOR_TOKENS = 300_000, 600_000  # of a block
+MEMBERS, VISITORS = 768, 1536
+BUNDLE_TOKENS = 600_000
+MEMBER, VISITOR, BOTH = 0, 1, 2
 
 
 class Rule:
@@ -278,9 +279,9 @@ def _compare(rule_args: tuple[int, int, int]):
     """Exact comparison of the members and visitors of blocks."""
     rule = Rule(*rule_args)
 
-    def block(cls: np.ndarray, visitor: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    def block(cls: np.ndarray, role: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
         names, number = np.unique(cls, return_inverse=True)
-        m, v = np.flatnonzero(~visitor), np.flatnonzero(visitor)
+        m, v = np.flatnonzero(role != VISITOR), np.flatnonzero(role != MEMBER)
         if not len(m) or not len(v) or len(names) < 2:
             return []
         n = np.array([len(s) for s in sets])
@@ -302,14 +303,14 @@ def _compare(rule_args: tuple[int, int, int]):
 
     def run(t: pa.Table) -> pa.Table:
         key = [t.column(c).to_numpy() for c in ("grp", "mb", "vb")]
-        cls, visitor = t.column("cls").to_numpy(), t.column("visitor").to_numpy(zero_copy_only=False)
+        cls, role = t.column("cls").to_numpy(), t.column("role").to_numpy()
         tokens = t.column("tokens")
         order = np.lexsort(key)
         edge = np.append(np.flatnonzero(_new(*(k[order] for k in key))), len(order))
         out: list[tuple[int, int]] = []
         for a, b in zip(edge[:-1], edge[1:]):
             rows = order[a:b]
-            out += block(cls[rows], visitor[rows], [np.frombuffer(tokens[int(i)].as_buffer(), U) for i in rows])
+            out += block(cls[rows], role[rows], [np.frombuffer(tokens[int(i)].as_buffer(), U) for i in rows])
         pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
@@ -361,9 +362,12 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
                      pa.array([pack(t[edge[i]:edge[i] + n[i]]) for i in rows], pa.binary())],
                     names=["cls", "grp", "n", "prefix", "tokens"])
 
-    found = slim.join(live.withColumnRenamed("doc", "doc_id"), "doc_id").select("cls", "grp", "text")
-    full = scratch_table(found.mapInArrow(sets, "cls long, grp long, n long, prefix binary, tokens binary")
-                         .dropDuplicates(["cls"]), "jac-sets")
+    # always a sort-merge join: the same plan at every size
+    found = slim.join(live.withColumnRenamed("doc", "doc_id").hint("merge"), "doc_id").select("cls", "grp", "text")
+    full = found.mapInArrow(sets, "cls long, grp long, n long, prefix binary, tokens binary")
+    if known.groupBy("doc_id", "cls").count().filter("count > 1").limit(1).count():  # repeated rows
+        full = full.dropDuplicates(["cls"])
+    full = scratch_table(full, "jac-sets")
 
     # the matrix: which other groups' unions hold enough of a class's prefix
     run, schema = _send(("grp",), buckets)
@@ -373,19 +377,21 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     least = F.ceil(F.col("n") * rule.num / F.lit(rule.den))
     visits = store(store(common, "jac-common").join(full.select("cls", "n"), "cls")
                    .filter(F.col("common") >= 1 + F.floor(least / 50)).select("cls", "grp", "n"), "jac-visits")
-    everyone = visits.unionByName(full.select("cls", "grp", "n"))  # a class visits its own group too
+    everyone = (visits.withColumn("own", F.lit(False))
+                .unionByName(full.select("cls", "grp", "n", F.lit(True).alias("own"))))  # a class visits its own group too
     blocks = lambda rows, tokens, name: F.greatest(
         F.ceil(F.count(F.lit(1)) / rows), F.ceil(F.sum("n") / tokens)).cast("int").alias(name)
     members = full.groupBy("grp").agg(blocks(MEMBERS, MEMBER_TOKENS, "nm"))
     groups = store(everyone.groupBy("grp").agg(F.count(F.lit(1)).alias("c"), blocks(VISITORS, VISITOR_TOKENS, "nv"))
                    .filter("c > 1").join(members, "grp").select("grp", "nm", "nv"), "jac-groups")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    m = (full.select("cls", "grp", "n", "tokens").join(groups, "grp")
-         .select("cls", "grp", "n", "tokens", F.lit(False).alias("visitor"),
+    one = (F.col("nm") == 1) & (F.col("nv") == 1)  # a group of one block: its members' rows serve as visitors too
+    m = (full.select("cls", "grp", "n", "tokens").join(groups.hint("merge"), "grp")
+         .select("cls", "grp", "n", "tokens", F.when(one, BOTH).otherwise(MEMBER).alias("role"),
                  F.pmod(F.xxhash64("cls"), F.col("nm")).cast("int").alias("mb"), each("nv").alias("vb")))
-    v = (store(everyone.select("cls", "grp").join(groups, "grp"), "jac-visitors")
+    v = (store(everyone.select("cls", "grp", "own").join(groups, "grp").filter(~(F.col("own") & one)), "jac-visitors").hint("merge")
          .join(full.select("cls", "n", "tokens"), "cls")
-         .select("cls", "grp", "n", "tokens", F.lit(True).alias("visitor"), each("nm").alias("mb"),
+         .select("cls", "grp", "n", "tokens", F.lit(VISITOR).alias("role"), each("nm").alias("mb"),
                  F.pmod(F.xxhash64("cls", F.lit(1)), F.col("nv")).cast("int").alias("vb")))
     bundles = n_groups(everyone, F.col("n"), BUNDLE_TOKENS)
     work = m.unionByName(v).withColumn("bundle", F.pmod(F.xxhash64("grp", "mb", "vb"), F.lit(bundles)))
@@ -413,7 +419,7 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> Data
     twice = store(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
                   .agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("__id", "__hash"), "jac-repeated")
     on = lambda t: (F.col("doc_id").cast("long") == t["__id"]) & (F.xxhash64(F.col("text").cast("string")) == t["__hash"])
-    kept = docs.join(losers, on(losers), "left_anti")
+    kept = docs.join(losers.hint("merge"), on(losers), "left_anti")
     if not twice.limit(1).count():
         return kept
     once = kept.join(twice, on(twice), "left_semi").dropDuplicates(["doc_id", "text"])
