@@ -182,7 +182,7 @@ def dedup(docs: DataFrame, finish: Finish, schema: str, carry: Sequence[str] = (
         else:
             hit[:] = False
         near = np.zeros_like(hit)
-        for back in range(width - block + 1):  # windows that hold the hit
+        for back in range(min(width - block + 1, len(near))):  # windows that hold the hit
             near[:len(near) - back] |= hit[back:]
         near &= is_start
         edge = w.first
