@@ -11,7 +11,7 @@ Reading.  Archives are parsed record by record by Content-Length.  Segments are
 ordered by number; numbers must run from 1 and the length must equal the stated total.  The chunked framing is
 decoded and the payload compared with its digest.
 
-Null html counts as empty, a null url is left out, a null page_id stays null.  Repeated rows are records of
+Null html counts as empty, a null url is left out, a page without page_id is a response.  Repeated rows are records of
 their own (record identifiers come from the row).  Rows of equal payload and equal largest page_id are all responses.
 """
 
@@ -47,7 +47,7 @@ def plan(pages: DataFrame) -> DataFrame:
     first = store(base.filter(F.col("size") >= LEAST).groupBy("digest", "size")
                   .agg(F.max("page_id").alias("main"), F.count(F.lit(1)).alias("n"))
                   .filter("n > 1 and main is not null").select("digest", "size", "main"), "warc-payloads")
-    revisit = F.col("main").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("main"))
+    revisit = F.col("page_id") < F.col("main")  # null where either is: a response
     return (base.join(first, ["digest", "size"], "left")
             .select("page_id", "url", "html", "digest", "size", F.when(revisit, F.col("main")).alias("refers_to")))
 
