@@ -20,9 +20,10 @@ Parsing rules (kept exactly):
 A missing section, or a section without a closing ``;``, raises ``ValueError``.
 
 The file is read line by line (``spark.read.text``), so it is split across tasks like any
-other text source.  Line order is kept as (file name, position in file); positions come
-from ``monotonically_increasing_id`` on the scan, which grows with the byte offset inside
-a file.  Only two one-row aggregates (start and end of the section) reach the driver.
+other text source.  Line order is kept as (file name, position in file).  Positions depend on how
+files are cut into tasks, so the numbered lines are checkpointed once: all sections, and the
+bounds and the body of a section, are found in the same numbering, and the text is read once.
+Only two one-row aggregates (start and end of the section) reach the driver.
 """
 
 from __future__ import annotations
@@ -33,14 +34,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
+from ..session import ensure_checkpoint_dir
 
 
 def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a label file (or folder of part files) as (f, p, line), tabs already removed."""
+    """Lines of a label file (or folder of part files) as (f, p, line), tabs already removed.
+
+    The numbering is fixed here (checkpoint in the shared folder); later settings cannot move it.
+    """
+    ensure_checkpoint_dir(spark)
     return (spark.read.text(path)
             .select(F.col("_metadata.file_path").alias("f"),
                     F.monotonically_increasing_id().alias("p"),
-                    F.translate(F.col("value"), "\t", "").alias("line")))
+                    F.translate(F.col("value"), "\t", "").alias("line"))
+            .checkpoint(eager=True))
 
 
 def _order() -> "F.Column":

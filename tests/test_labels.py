@@ -85,3 +85,18 @@ def test_write_then_parse_round_trip_over_many_files(spark, tmp_dir):
     got = parse_label_section(read_label_lines(spark, path), "i94cntyl")
     assert got.count() == 500
     assert {r["code"]: r["label"] for r in got.collect()}["123"] == "NAME 123"
+
+
+def test_sections_do_not_depend_on_the_file_layout(spark, tmp_path):
+    """The layout of the scan may change between definition and run; no line may be lost."""
+    n = 3000
+    labels = spark.range(n).selectExpr("cast(id as string) code", "concat('NAME ', id) label")
+    path = write_label_file({"i94cntyl": labels}, f"{tmp_path}/labels", num_files=20)
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    try:
+        frame = parse_label_section(read_label_lines(spark, path), "i94cntyl")
+        spark.conf.set("spark.sql.files.minPartitionNum", "60")
+        got = {r["code"]: r["label"] for r in frame.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum") if before is None else spark.conf.set("spark.sql.files.minPartitionNum", before)
+    assert got == {str(i): f"NAME {i}" for i in range(n)}
