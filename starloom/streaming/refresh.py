@@ -6,33 +6,54 @@ checkpoint location), builds their fact rows against the dimensions already stor
 and overwrites only the (year, month) partitions present in the delivery.  Re-running
 a failed micro-batch rewrites the same partitions with the same rows, so the result is
 exactly-once.  Contract: one delivery holds complete months (the source is released
-monthly); a re-delivered month replaces the stored one.  Deliveries are files placed
-directly in the source folder or in ``key=value`` sub-folders (for example
-``delivery=2016-04/``), which the file source discovers as partitions.
+monthly); a re-delivered month replaces the stored one, also when several deliveries of a month are found in
+one run: per month only the rows of the latest delivery count.  Deliveries are ``key=value`` sub-folders (for
+example ``delivery=2016-04/``), ordered by that value, or single files placed directly in the source
+folder, ordered by modification time.  Columns that are not in the declared source schema never reach the fact.
 """
 
 from __future__ import annotations
 
-from typing import Mapping
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.fact import i94_fact
 from ..sources.files import refresh_partitions
 
 FACT_PARTITIONS = ["i94yr", "i94mon"]
+_DELIVERY = "_delivery"
+
+
+def latest_delivery(batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Of each (year, month) the rows of its latest delivery, reduced to the declared columns."""
+    names = {c.lower(): c for c in columns}
+    year, month = (F.col(f"`{names[c]}`") for c in FACT_PARTITIONS)
+    last = (batch.groupBy(year.alias("_year"), month.alias("_month"))
+            .agg(F.max(_DELIVERY).alias("_last")))  # one row per month of the batch
+    same = year.eqNullSafe(F.col("_year")) & month.eqNullSafe(F.col("_month")) & (F.col(_DELIVERY) == F.col("_last"))
+    return batch.join(last, same, "left_semi").select(*[f"`{c}`" for c in columns])
 
 
 def run_monthly_refresh(spark: SparkSession, source_dir: str, source_schema: T.StructType,
                         dims: Mapping[str, DataFrame], fact_path: str, checkpoint_location: str,
                         source_format: str = "parquet", int_type: str = "int",
                         timeout_sec: float | None = None) -> None:
-    """Process every delivery not yet seen under ``source_dir`` and stop (``availableNow``)."""
-    stream = spark.readStream.schema(source_schema).format(source_format).load(source_dir)
+    """Process every delivery not yet seen under ``source_dir`` and stop (``availableNow``).
+
+    Raises ``TimeoutError`` when ``timeout_sec`` passes before all is processed (the stream is stopped; the next
+    call goes on from its checkpoint).
+    """
+    files = spark.readStream.schema(source_schema).format(source_format).load(source_dir)
+    declared = {c.lower() for c in source_schema.fieldNames()}
+    folders = [c for c in files.columns if c.lower() not in declared]
+    delivery = F.struct(*folders) if folders else F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    stream = files.select(*source_schema.fieldNames(), delivery.alias(_DELIVERY))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        fact = i94_fact(batch, dims["economics_country"], dims["economics_us_state"],
+        fact = i94_fact(latest_delivery(batch, source_schema.fieldNames()), dims["economics_country"], dims["economics_us_state"],
                         dims["temperature_country"], dims["temperature_us_state"], int_type=int_type)
         refresh_partitions(fact, fact_path, FACT_PARTITIONS, rebalance=True)
 
@@ -40,6 +61,8 @@ def run_monthly_refresh(spark: SparkSession, source_dir: str, source_schema: T.S
              .option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True)
              .start())
-    query.awaitTermination(timeout_sec)
+    if not query.awaitTermination(timeout_sec) and timeout_sec is not None and query.isActive:
+        query.stop()
+        raise TimeoutError(f"the refresh did not end within {timeout_sec} s")
     if query.exception() is not None:
         raise query.exception()
