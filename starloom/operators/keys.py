@@ -6,17 +6,16 @@ written to the session's reliable checkpoint folder (this also fixes the ids: a
 of a lost task reads the same checkpoint, so fact and dimension can never disagree).
 A row's id is then the number of rows in earlier ranges plus its position in its own
 range; positions come from ``monotonically_increasing_id`` of the checkpointed scan
-(range index in the upper bits, row index in the lower 33 bits).  The only data that
-reaches the driver is one count per range.  Every value the exchange is keyed on is fixed
+(range index in the upper bits, row index in the lower 33 bits).  The counts per range stay a
+frame of one row per range, joined as a broadcast.  Every value the exchange is keyed on is fixed
 before it (the input is checkpointed), so retried tasks route every row the same way.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -59,15 +58,11 @@ def _number(ordered: DataFrame, columns: list[str], id_col: str, id_type: str) -
     mid = F.monotonically_increasing_id()
     with_pos = ordered.select("*", F.shiftright(mid, _LOW_BITS).alias("_range"),
                               mid.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_pos"))
-    counts = {r["_range"]: r["n"] for r in with_pos.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ranges = sorted(counts)
-    starts = [0] + list(accumulate(counts[r] for r in ranges))[:-1]
-    if ranges:
-        pairs = []
-        for r, s in zip(ranges, starts):
-            pairs += [F.lit(r), F.lit(s)]
-        offset = F.element_at(F.create_map(*pairs), F.col("_range"))
-    else:
-        offset = F.lit(0).cast("bigint")
-    ids = (offset + F.col("_pos") + F.lit(1)).cast(id_type)
+    # one row per range: a running sum of the counts gives each range's start; the plan's size does not
+    # depend on the number of ranges, and nothing reaches the driver
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (with_pos.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    with_pos = with_pos.join(F.broadcast(starts), "_range")  # as many rows as the exchange has partitions
+    ids = (F.col("_start") + F.col("_pos") + F.lit(1)).cast(id_type)
     return with_pos.select(*[F.col(f"`{c}`") for c in columns], ids.alias(id_col))

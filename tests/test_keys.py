@@ -46,3 +46,15 @@ def test_many_exact_copies_are_split_across_ranges(spark):
     assert sorted(r["id"] for r in got.collect()) == list(range(1, 9001))
     exp = _brute(df, ["k", "v"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_plan_does_not_grow_with_the_ranges(spark):
+    from starloom.operators.keys import add_surrogate_key
+    df = spark.range(3000).selectExpr("id * 7 % 3001 AS v")
+    size = []
+    for n in (4, 200):
+        out = add_surrogate_key(df, ["v"], "k", num_ranges=n)
+        size.append(len(out._jdf.queryExecution().optimizedPlan().toString()))
+        rows = sorted((r["v"], r["k"]) for r in out.collect())
+        assert [k for _, k in rows] == list(range(1, 3001))
+    assert abs(size[0] - size[1]) < 200
