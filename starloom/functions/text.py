@@ -15,9 +15,13 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every code point that counts as white space when a Python string is stripped.
+_SPACE = (r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+
+
 def strip_ws(c) -> Column:
-    """Strip leading and trailing whitespace of any kind (tabs, CR, form feeds, spaces)."""
-    return F.regexp_replace(_as_col(c), r"^\s+|\s+$", "")
+    """Strip leading and trailing whitespace of any kind, the Unicode spaces (such as NBSP) included."""
+    return F.regexp_replace(_as_col(c), rf"^{_SPACE}+|{_SPACE}+$", "")
 
 
 def lower_names(c) -> Column:

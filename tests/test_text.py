@@ -19,3 +19,10 @@ def test_code_map_lookup(spark):
     df = spark.createDataFrame([("1",), ("3",), ("4",), (None,)], "c string")
     got = [r[0] for r in df.select(code_map_lookup(F.col("c"))).collect()]
     assert got == ["Business", "Student", None, None]
+
+
+def test_strip_removes_what_python_strips(spark):
+    from starloom.functions.text import strip_ws
+    texts = [" AL ", "  x　y \x85", "\x1c\tAK\x0b", "plain", "", "   "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(strip_ws("t")).collect()] == [t.strip() for t in texts]
