@@ -62,7 +62,8 @@ def _number(ordered: DataFrame, columns: list[str], id_col: str, id_type: str) -
     # depend on the number of ranges, and nothing reaches the driver
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (with_pos.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-              .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+              .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+              .checkpoint(eager=True))
     with_pos = with_pos.join(F.broadcast(starts), "_range")  # as many rows as the exchange has partitions
     ids = (F.col("_start") + F.col("_pos") + F.lit(1)).cast(id_type)
     return with_pos.select(*[F.col(f"`{c}`") for c in columns], ids.alias(id_col))
