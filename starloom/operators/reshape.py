@@ -51,14 +51,30 @@ def pivot_sum(df: DataFrame, group_cols: Sequence[str], pivot_col: str, value_co
     return pivoted.withColumnsRenamed({k: v for k, v in mapping.items() if k != v})
 
 
+def check_series(df: DataFrame, series_col: str, expected: Sequence[str]) -> None:
+    """Raise unless the non-NULL values of ``series_col`` are exactly ``expected``."""
+    col = F.col(f"`{series_col}`")
+    # per expected name whether it occurs, and one example of another name: one row, whatever the data
+    known = col.isin(list(expected))
+    row = df.agg(F.max(F.when(col.isNotNull() & ~known, col)).alias("other"),
+                 *[F.max(F.coalesce(col == e, F.lit(False))).alias(f"e{i}") for i, e in enumerate(expected)]).first()
+    missing = [e for i, e in enumerate(expected) if not row[f"e{i}"]]
+    if row["other"] is not None or missing:
+        raise ValueError(f"series do not fit their mapping: not mapped {row['other']!r}, not in the data {missing}")
+
+
 def unpivot_then_pivot(df: DataFrame, id_cols: Sequence[str], series_col: str,
                        series: Mapping[str, str], year_cols: Sequence[str] | None = None,
                        id_aliases: Sequence[str] | None = None, year_name: str = "year",
-                       value_type: str = "float", dedup: bool = True) -> DataFrame:
+                       value_type: str = "float", dedup: bool = True, strict: bool = True) -> DataFrame:
     """Wide (ids x series rows, one column per year) -> long (ids, year) with one column per series.
 
     One unpivot and one grouped pivot: a single shuffle, instead of a pivot job per year.
+    ``strict`` raises ``ValueError`` when the data hold a series that ``series`` does not map, or lack
+    one that it maps (rows without a series have no column).
     """
+    if strict:
+        check_series(df, series_col, list(series))
     if year_cols is None:
         year_cols = value_columns(df, list(id_cols) + [series_col])
     long = unpivot_years(df, list(id_cols) + [series_col], year_cols, name_col=year_name,

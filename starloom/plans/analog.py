@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# Analog series -> measure column of the unemployment pivot.
+# Analog series -> measure column of the unemployment pivot.  The lowest priority is
+# delivered as a second row of the last series, so all orders are counted and cells with two rows add up.
 SERIES = {"1-URGENT": "uwae", "2-HIGH": "uwbe", "3-MEDIUM": "uwie", "4-NOT SPECIFIED": "ut"}
 # Region whose nations are left out of the country labels (unmatched names),
 # and segment prefix left out of the state labels.
@@ -119,7 +120,8 @@ def unemployment_country_wide(spark: SparkSession, sf_dir: str, years: list[str]
     ocn = orders_customers_nations(spark, sf_dir, oc).withColumn("y", F.year("o_orderdate").cast("string"))
     wide = ocn.groupBy("n_name", "n_nationkey", "o_orderpriority").pivot("y", years).agg(F.count(F.lit(1)))
     return wide.select(F.col("n_name").alias("Country Name"), F.col("n_nationkey").cast("string").alias("Country Code"),
-                       F.col("o_orderpriority").alias("Series Name"),
+                       F.when(F.col("o_orderpriority") == "5-LOW", "4-NOT SPECIFIED").otherwise(F.col("o_orderpriority"))
+                       .alias("Series Name"),
                        F.concat(F.lit("SL.UEM."), F.substring("o_orderpriority", 1, 1)).alias("Series Code"),
                        *[F.coalesce(F.col(y).cast("string"), F.lit("..")).alias(y) for y in years])
 

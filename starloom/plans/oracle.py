@@ -34,7 +34,7 @@ _CTES: list[tuple[str, str, tuple[str, ...]]] = [
                      sum(CASE WHEN u.prio = '1-URGENT' THEN CAST(u.cnt AS REAL) END) AS uwae,
                      sum(CASE WHEN u.prio = '2-HIGH' THEN CAST(u.cnt AS REAL) END) AS uwbe,
                      sum(CASE WHEN u.prio = '3-MEDIUM' THEN CAST(u.cnt AS REAL) END) AS uwie,
-                     sum(CASE WHEN u.prio = '4-NOT SPECIFIED' THEN CAST(u.cnt AS REAL) END) AS ut
+                     sum(CASE WHEN u.prio IN ('4-NOT SPECIFIED', '5-LOW') THEN CAST(u.cnt AS REAL) END) AS ut
               FROM grid g LEFT JOIN un_cnt u ON u.n_name = g.n_name AND u.year = g.year
               GROUP BY g.n_name, g.n_nationkey, g.year""", ("grid", "un_cnt")),
     ("pop_raw", """SELECT ocn.n_name AS country_name, CAST(year(ocn.o_orderdate) AS INTEGER) AS year,

@@ -76,7 +76,8 @@ def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source:
 
     Writing the dimensions first means the ids the fact refers to are exactly the stored ones
     (a lineage recomputation can never hand the fact different ids).  Returns the five tables
-    as read back from ``base_path`` (the fact under ``"I94s"``).
+    as read back from ``base_path`` (the fact under ``"I94s"``).  A natural key held by two rows of a
+    stored dimension would multiply fact rows: it raises ``ValueError`` before the fact is built.
     """
     base = base_path.rstrip("/")
     stored: dict[str, DataFrame] = {}
@@ -85,7 +86,8 @@ def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source:
         write_partitioned(df, path, PARTITIONS[name], mode=mode, colocate=True)
         stored[name] = _read_back(spark, df, path)
     fact = i94_fact(fact_source, stored["economics_country"], stored["economics_us_state"],
-                    stored["temperature_country"], stored["temperature_us_state"], int_type=int_type)
+                    stored["temperature_country"], stored["temperature_us_state"], int_type=int_type,
+                    check_natural_keys=True)
     path = f"{base}/I94s.parquet"
     write_partitioned(fact, path, PARTITIONS["I94s"], mode=mode, max_records_per_file=max_records_per_file,
                       rebalance=True)

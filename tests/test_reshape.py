@@ -1,3 +1,5 @@
+import pytest
+
 from starloom.operators.reshape import pivot_sum, unpivot_then_pivot, unpivot_years
 
 
@@ -41,3 +43,12 @@ def test_unpivot_then_pivot(spark):
     assert out.columns == ["country_name", "country_code", "year", "uwae", "ut"]
     rows = sorted(map(tuple, out.collect()))
     assert rows == [("Chad", "TCD", 2000, 1.0, 4.0), ("Chad", "TCD", 2001, None, 4.0)]
+
+
+def test_series_must_fit_their_mapping(spark):
+    df = spark.createDataFrame([("Chad", "Unemployment, total", "1"), ("Chad", None, "2")], "name string, series string, `2016` string")
+    out = unpivot_then_pivot(df, ["name"], "series", {"Unemployment, total": "ut"})
+    assert [tuple(r) for r in out.select("name", "year", "ut").collect()] == [("Chad", 2016, 1.0)]
+    for wrong in ({"Unemployment total": "ut"}, {"Unemployment, total": "ut", "absent": "x"}, {}):
+        with pytest.raises(ValueError):
+            unpivot_then_pivot(df, ["name"], "series", wrong)
