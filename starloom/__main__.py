@@ -11,7 +11,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from .plans.star import StarInputs, build_star, star_summary
+from .plans.star import StarInputs, build_star, star_quality, star_summary
 from .session import ensure_checkpoint_dir
 from .sources.files import read_fact_source, read_header_csv
 from .sources.labels import read_label_lines
@@ -53,6 +53,9 @@ def main(argv=None) -> None:
     stored = build_star(spark, inp, a.out, mode=a.mode, int_type="bigint" if a.bigint_ids else "int",
                         max_records_per_file=a.max_records_per_file)
     star_summary(stored).show(truncate=False)
+    for name, check in star_quality(stored).items():
+        print(name)
+        check.show(truncate=False)
 
 
 if __name__ == "__main__":
