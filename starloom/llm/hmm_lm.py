@@ -267,7 +267,16 @@ def score(docs: DataFrame) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     counts = count_words(docs.filter(~F.col("held_out")))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.col("c").desc(), "h").limit(KNOWN).collect()
+    # the counts that the most frequent words have at least, from a histogram of bounded size: no task sends more
+    # rows to the driver than are kept there
+    level = F.floor(F.log2("c") * 16)
+    levels = sorted((r["l"], r["n"]) for r in counts.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("n")).collect())
+    held, least = 0, None
+    for at, many in reversed(levels):
+        if held + many > KNOWN:
+            break
+        held, least = held + many, at
+    top = counts.filter(level >= least).orderBy(F.col("c").desc(), "h").collect() if least is not None else []
     voc = Vocabulary(np.array([r["h"] for r in top], np.int64).view(U), np.array([r["c"] for r in top], np.int64), int(n), int(v))
     encoded = encode(docs, sc.broadcast(voc))
     model = sc.broadcast(train(encoded, voc.start))
