@@ -27,7 +27,7 @@ from ._tokens import NON_ALNUM_BYTES, U, Words, slices, text_bytes
 
 FEATURES = 1 << 18
 PER_CLASS = 2000
-CLASS_BYTES = 16 << 20
+CLASS_BYTES = 8 << 20
 EPOCHS = 250
 PREFIXES = (5, 6, 7)  # bytes
 LEAST_Z = 4.0
@@ -65,8 +65,8 @@ class Sentences:
             features.append(w.hashes()[longer] ^ U(n))
             owner.append(longer)
         w.end = whole
-        self.of_word = self.of_word[np.concatenate(owner)]
-        self.feature = (np.concatenate(features) & U(FEATURES - 1)).astype(np.int64)
+        self.of_word = self.of_word[np.concatenate(owner)].astype(np.int32)
+        self.feature = (np.concatenate(features) & U(FEATURES - 1)).astype(np.int32)
         first = np.flatnonzero(new)
         self.start, self.end = w.start[first], w.end[np.append(first[1:], len(doc)) - 1] if len(doc) else w.end
         self.n_docs = len(texts)
@@ -93,11 +93,13 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS, rate: float =
     if not len(y) or y.min() == y.max():
         return Model(m.weights, -40.0)
     s = Sentences(pa.array(texts, pa.string()))
-    used, feature = np.unique(s.feature, return_inverse=True)
+    feature = s.feature
     # start at smoothed log odds of documents that hold the word
-    pair = np.unique(s.doc[s.of_word] * len(used) + feature)
-    label, word = y[pair // len(used)], pair % len(used)
-    pos, neg = (np.bincount(word, x, minlength=len(used)) for x in (label, 1 - label))
+    pair = np.unique(s.doc[s.of_word].astype(np.int64) * FEATURES + feature)
+    label, word = y[pair // FEATURES], pair % FEATURES
+    del pair
+    pos, neg = (np.bincount(word, x, minlength=FEATURES) for x in (label, 1 - label))
+    del label, word
     w = np.log((pos + 1) / (y.sum() + 2)) - np.log((neg + 1) / (len(y) - y.sum() + 2))
     # only words that tell the classes apart (a test of two shares) are learned; the rest would be noise
     share = (pos + neg) / len(y)
@@ -106,18 +108,20 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS, rate: float =
     kept = np.flatnonzero(use)
     mine = use[feature]
     of_word, feature, w = s.of_word[mine], np.searchsorted(kept, feature[mine]), w[kept]
+    n_sentences, doc = s.n, s.doc
+    del s, mine
     b, first, second = m.bias, np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, epochs + 1):
-        z = np.bincount(of_word, w[feature], minlength=s.n) + b
-        a = np.bincount(s.doc, _softplus(z), minlength=len(y)) + _softplus(np.array(b))
+        z = np.bincount(of_word, w[feature], minlength=n_sentences) + b
+        a = np.bincount(doc, _softplus(z), minlength=len(y)) + _softplus(np.array(b))
         g_doc = np.where(y > 0, 1 / np.expm1(np.clip(a, 1e-6, 500)), -1.0)
-        g = g_doc[s.doc] * _logistic(z)
+        g = g_doc[doc] * _logistic(z)
         grad = np.append(np.bincount(feature, g[of_word], minlength=len(w)), g.sum() + g_doc.sum() * _logistic(b))
         grad = grad / len(y) - l2 * np.append(w, 0) / 10
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         move = rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
         w, b = w + move[:-1], b + move[-1]
-    m.weights[used[kept]], m.bias = w, float(b)
+    m.weights[kept], m.bias = w, float(b)
     return m
 
 
