@@ -8,7 +8,7 @@ Documents are partitioned by the size of their shingle set.  In the partition of
 shingles, one-permutation MinHash with 4 * 2^c bins describes a set: a shingle is in the sketch when its hash is
 the least of its bin.  A contained shingle is the least in a document's bin with probability above
 0.88, so an item of q shingles, at least 0.8 q of them contained, shares no bin value with
-probability below 0.25 ** (0.8 q): 1e-8 at q = 16.  Items of fewer shingles have a bin per
+probability below 0.25 ** (0.8 q): 2e-8 at q = 16.  Items of fewer shingles have a bin per
 shingle (all are probed), so for them the search is exact.  Candidates are verified by counting.
 
 The documents are read once and never shuffled.  The items' hashes are broadcast in blocks of at most
