@@ -4,6 +4,10 @@ Analog roles: orders = arrivals (fact); nation (through customer) = country;
 ``c_mktsegment`` = US state; year/month of ``o_orderdate`` = time; ``o_orderpriority`` =
 unemployment series; order counts / prices = measures.  Every frame is computed from the
 given tables, so its work grows with them.
+
+The label tables are whole.  Names without a label, gaps between the sources, missing cells and repeated
+rows come from the sources themselves: region, world and territory totals beside the countries (each in one
+source only), orders at sea and offshore, and rows that are delivered twice.
 """
 
 from __future__ import annotations
@@ -11,15 +15,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 # Analog series -> measure column of the unemployment pivot.  The lowest priority is
 # delivered as a second row of the last series, so all orders are counted and cells with two rows add up.
 SERIES = {"1-URGENT": "uwae", "2-HIGH": "uwbe", "3-MEDIUM": "uwie", "4-NOT SPECIFIED": "ut"}
-# Region whose nations are left out of the country labels (unmatched names),
-# and segment prefix left out of the state labels.
-UNLABELLED_REGION = 4
-UNLABELLED_SEGMENT_PREFIX = "M"
+# Names that the label tables do not know, and a country code that no country has.
+WORLD = "WORLD"
+TERRITORY = "TERRITORY "
+AT_SEA = "AT SEA"
+OFFSHORE = "OFFSHORE"
+NO_COUNTRY = 99
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,9 +40,11 @@ def orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders joined with customer once, checkpointed, for builds that derive several sources from it."""
-    ensure_checkpoint_dir(spark)
-    return orders_customers(spark, sf_dir).checkpoint(eager=True)
+    """orders joined with customer once, stored as Parquet in the shared folder (readers prune its columns),
+    for builds that derive several sources from it."""
+    path = scratch_path(spark, "orders-customers")
+    orders_customers(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def orders_customers_nations(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
@@ -51,28 +59,33 @@ def state_code(segment) -> "F.Column":
     return F.upper(F.substring(segment, 1, 2))
 
 
+def country_place() -> "F.Column":
+    """Country of an order; pending orders are at sea, which no label names."""
+    return F.when(F.col("o_orderstatus") == "P", AT_SEA).otherwise(F.col("n_name"))
+
+
+def state_place() -> "F.Column":
+    """State of an order; those of the lowest priority are offshore, which no label names."""
+    return F.when(F.col("o_orderpriority") == "5-LOW", OFFSHORE).otherwise(F.col("c_mktsegment"))
+
+
 def order_years(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Distinct order years (a handful of values) as the wide tables' year columns."""
-    limit = 1000  # column count of the wide tables; at most limit + 1 values reach the driver
+    """Distinct order years as the wide tables' year columns (a calendar date has at most 9999 of them)."""
     rows = (table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y")).filter(F.col("y").isNotNull())
-            .distinct().limit(limit + 1).collect())
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} order years: too many columns for a wide table")
+            .distinct().collect())
     return [str(r["y"]) for r in sorted(rows, key=lambda r: r["y"])]
 
 
 # ----------------------------------------------------------------------------- labels (code, label)
 
 def country_labels_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    return n.filter(F.col("n_regionkey") != UNLABELLED_REGION).select(
-        F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("label"))
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("code"),
+                                                 F.col("n_name").alias("label"))
 
 
 def state_labels_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
-    return c.filter(~F.col("c_mktsegment").startswith(UNLABELLED_SEGMENT_PREFIX)).select(
-        state_code(F.col("c_mktsegment")).alias("code"), F.col("c_mktsegment").alias("label"))
+    return c.select(state_code(F.col("c_mktsegment")).alias("code"), F.col("c_mktsegment").alias("label"))
 
 
 def country_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,22 +117,33 @@ def label_sections_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
 
 def political_stability_wide(spark: SparkSession, sf_dir: str, years: list[str] | None = None,
                              oc: DataFrame | None = None) -> DataFrame:
-    """One row per country, one string column per year (order count), '..' where missing."""
+    """One row per country, one string column per year (order count), '..' where missing; beside them one
+    row per region that counts the orders of New Year's Day."""
     years = years or order_years(spark, sf_dir)
     ocn = orders_customers_nations(spark, sf_dir, oc).withColumn("y", F.year("o_orderdate").cast("string"))
-    wide = ocn.groupBy("n_name", "n_nationkey").pivot("y", years).agg(F.count(F.lit(1)))
-    return wide.select(F.col("n_name").alias("Country Name"), F.col("n_nationkey").cast("string").alias("Country Code"),
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    ocn = ocn.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    own = F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("code"))
+    whole = F.struct(F.col("r_name").alias("name"), F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("code"))
+    new_year = (F.month("o_orderdate") == 1) & (F.dayofmonth("o_orderdate") == 1) & F.col("r_name").isNotNull()
+    rows = ocn.select("y", F.inline(F.when(new_year, F.array(own, whole)).otherwise(F.array(own))))
+    wide = rows.groupBy("name", "code").pivot("y", years).agg(F.count(F.lit(1)))
+    return wide.select(F.col("name").alias("Country Name"), F.col("code").alias("Country Code"),
                        F.lit("Political Stability").alias("Series Name"), F.lit("PV.EST").alias("Series Code"),
                        *[F.coalesce(F.col(y).cast("string"), F.lit("..")).alias(y) for y in years])
 
 
 def unemployment_country_wide(spark: SparkSession, sf_dir: str, years: list[str] | None = None,
                               oc: DataFrame | None = None) -> DataFrame:
-    """One row per (country, series), one string column per year."""
+    """One row per (country, series), one string column per year; the world total has the last series only."""
     years = years or order_years(spark, sf_dir)
     ocn = orders_customers_nations(spark, sf_dir, oc).withColumn("y", F.year("o_orderdate").cast("string"))
-    wide = ocn.groupBy("n_name", "n_nationkey", "o_orderpriority").pivot("y", years).agg(F.count(F.lit(1)))
-    return wide.select(F.col("n_name").alias("Country Name"), F.col("n_nationkey").cast("string").alias("Country Code"),
+    own = F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").cast("string").alias("code"))
+    world = F.struct(F.lit(WORLD).alias("name"), F.lit("WLD").alias("code"))
+    last = F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW")
+    rows = ocn.select("y", "o_orderpriority", F.inline(F.when(last, F.array(own, world)).otherwise(F.array(own))))
+    wide = rows.groupBy("name", "code", "o_orderpriority").pivot("y", years).agg(F.count(F.lit(1)))
+    return wide.select(F.col("name").alias("Country Name"), F.col("code").alias("Country Code"),
                        F.when(F.col("o_orderpriority") == "5-LOW", "4-NOT SPECIFIED").otherwise(F.col("o_orderpriority"))
                        .alias("Series Name"),
                        F.concat(F.lit("SL.UEM."), F.substring("o_orderpriority", 1, 1)).alias("Series Code"),
@@ -127,13 +151,17 @@ def unemployment_country_wide(spark: SparkSession, sf_dir: str, years: list[str]
 
 
 def population(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
-    """(Country Name, Year, Count) strings: line items per country and year."""
+    """(Country Name, Year, Count) strings: line items per country and year, and per territory (delivered twice)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey")
     ocn = orders_customers_nations(spark, sf_dir, oc)
     j = li.join(ocn, F.col("l_orderkey") == F.col("o_orderkey"))
-    agg = j.groupBy("n_name", F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
-    return agg.select(F.col("n_name").alias("Country Name"), F.col("y").cast("string").alias("Year"),
-                      F.col("n").cast("string").alias("Count"))
+    own = F.struct(F.col("n_name").alias("name"), F.lit(1).alias("copies"))
+    territory = F.struct(F.concat(F.lit(TERRITORY), F.col("c_mktsegment")).alias("name"), F.lit(2).alias("copies"))
+    rows = j.select(F.year("o_orderdate").alias("y"), F.inline(F.array(own, territory)))
+    agg = rows.groupBy("name", "copies", "y").agg(F.count(F.lit(1)).alias("n"))
+    return agg.select(F.col("name").alias("Country Name"), F.col("y").cast("string").alias("Year"),
+                      F.col("n").cast("string").alias("Count"), "copies").withColumn(
+        "copies", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).drop("copies")
 
 
 def unemployment_us_state(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
@@ -141,7 +169,7 @@ def unemployment_us_state(spark: SparkSession, sf_dir: str, oc: DataFrame | None
     oc = orders_customers(spark, sf_dir) if oc is None else oc
     return oc.select(F.year("o_orderdate").cast("string").alias("Year"),
                      F.date_format("o_orderdate", "MMMM").alias("Month"),
-                     F.col("c_mktsegment").alias("State"), F.col("c_name").alias("County"),
+                     state_place().alias("State"), F.col("c_name").alias("County"),
                      F.col("o_totalprice").cast("string").alias("Rate"))
 
 
@@ -150,8 +178,8 @@ def temperature(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -
     finished orders play the 'US' rows."""
     ocn = orders_customers_nations(spark, sf_dir, oc)
     return ocn.select(F.col("n_regionkey").cast("string").alias("Region"),
-                      F.when(F.col("o_orderstatus") == "F", F.lit("US")).otherwise(F.col("n_name")).alias("Country"),
-                      F.col("c_mktsegment").alias("State"), F.col("c_name").alias("City"),
+                      F.when(F.col("o_orderstatus") == "F", F.lit("US")).otherwise(country_place()).alias("Country"),
+                      state_place().alias("State"), F.col("c_name").alias("City"),
                       F.month("o_orderdate").cast("string").alias("Month"),
                       F.dayofmonth("o_orderdate").cast("string").alias("Day"),
                       F.year("o_orderdate").cast("string").alias("Year"),
@@ -159,8 +187,12 @@ def temperature(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -
 
 
 def fact_source(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -> DataFrame:
-    """28 upper-case columns, numeric codes as double, some text in numeric-looking columns."""
+    """28 upper-case columns, numeric codes as double, some text in numeric-looking columns; pending orders
+    are delivered twice."""
     oc = orders_customers(spark, sf_dir) if oc is None else oc
+    pending = F.col("o_orderstatus") == "P"
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(pending, 2).otherwise(1)))
+    oc = oc.withColumn("_copy", copies)
     d = F.to_date("o_orderdate")
     arr = F.datediff(d, F.lit("1960-01-01").cast("date"))
     key = F.col("o_orderkey")
@@ -168,9 +200,9 @@ def fact_source(spark: SparkSession, sf_dir: str, oc: DataFrame | None = None) -
     dbl = lambda c: c.cast("double")
     return oc.select(
         dbl(key).alias("CICID"), dbl(F.year(d)).alias("I94YR"), dbl(F.month(d)).alias("I94MON"),
-        dbl(F.col("c_nationkey")).alias("I94CIT"), dbl(F.col("c_nationkey")).alias("I94RES"),
+        dbl(F.col("c_nationkey")).alias("I94CIT"), F.when(pending, float(NO_COUNTRY)).otherwise(dbl(F.col("c_nationkey"))).alias("I94RES"),
         F.col("o_orderstatus").alias("I94PORT"), dbl(arr).alias("ARRDATE"), dbl(key % 3 + 1).alias("I94MODE"),
-        state_code(F.col("c_mktsegment")).alias("I94ADDR"), dbl(arr + key % 20).alias("DEPDATE"),
+        state_code(state_place()).alias("I94ADDR"), dbl(arr + key % 20).alias("DEPDATE"),
         dbl(bir).alias("I94BIR"), dbl(F.substring("o_orderpriority", 1, 1)).alias("I94VISA"),
         F.lit(1.0).alias("COUNT"), F.date_format(d, "yyyyMMdd").alias("DTADFILE"),
         F.lit("SEO").alias("VISAPOST"), F.lit(None).cast("string").alias("OCCUP"),

@@ -11,37 +11,58 @@ from __future__ import annotations
 # (name, body, dependencies) in definition order
 _CTES: list[tuple[str, str, tuple[str, ...]]] = [
     ("oc", """SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority,
-                     c.c_name, c.c_nationkey, c.c_mktsegment
+                     c.c_name, c.c_nationkey, c.c_mktsegment,
+                     CASE WHEN o.o_orderpriority = '5-LOW' THEN 'OFFSHORE' ELSE c.c_mktsegment END AS state_place
               FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""", ()),
-    ("ocn", """SELECT oc.*, n.n_nationkey, n.n_name, n.n_regionkey FROM oc JOIN nation n ON oc.c_nationkey = n.n_nationkey""", ("oc",)),
+    ("ocn", """SELECT oc.*, n.n_nationkey, n.n_name, n.n_regionkey,
+                      CASE WHEN oc.o_orderstatus = 'P' THEN 'AT SEA' ELSE n.n_name END AS country_place
+               FROM oc JOIN nation n ON oc.c_nationkey = n.n_nationkey""", ("oc",)),
     ("years", """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""", ()),
-    ("nat", """SELECT DISTINCT n_name, n_nationkey FROM ocn""", ("ocn",)),
     ("country_labels", """SELECT CAST(n_nationkey AS INTEGER) AS country_code, lower(n_name) AS country_name
-                          FROM nation WHERE n_regionkey <> 4""", ()),
+                          FROM nation""", ()),
     ("state_labels", """SELECT DISTINCT upper(substr(c_mktsegment, 1, 2)) AS state_code, lower(c_mktsegment) AS state_name
-                        FROM customer WHERE NOT starts_with(c_mktsegment, 'M')""", ()),
-    ("pss_cnt", """SELECT n_name, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS cnt FROM ocn GROUP BY ALL""",
-     ("ocn",)),
-    # one row per nation and year column: each nation row unpivoted over the list of year columns
-    ("grid", """SELECT n_name, n_nationkey, unnest((SELECT list(year) FROM years)) AS year FROM nat""",
-     ("nat", "years")),
-    ("pss", """SELECT g.n_name AS country_name, CAST(g.n_nationkey AS VARCHAR) AS country_code,
-                      CAST(p.cnt AS REAL) AS pss, g.year
-               FROM grid g LEFT JOIN pss_cnt p ON p.n_name = g.n_name AND p.year = g.year""", ("grid", "pss_cnt")),
-    ("un_cnt", """SELECT n_name, o_orderpriority AS prio, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS cnt
-                  FROM ocn GROUP BY ALL""", ("ocn",)),
-    ("un", """SELECT g.n_name AS country_name, CAST(g.n_nationkey AS VARCHAR) AS country_code, g.year,
+                        FROM customer""", ()),
+    # countries, and beside them the orders of New Year's Day per region
+    ("pss_cnt", """SELECT name, code, year, count(*) AS cnt FROM (
+                     SELECT n_name AS name, CAST(n_nationkey AS VARCHAR) AS code,
+                            CAST(year(o_orderdate) AS INTEGER) AS year FROM ocn
+                     UNION ALL
+                     SELECT r_name, 'R' || CAST(r_regionkey AS VARCHAR), CAST(year(o_orderdate) AS INTEGER)
+                     FROM ocn JOIN region ON n_regionkey = r_regionkey
+                     WHERE month(o_orderdate) = 1 AND day(o_orderdate) = 1) GROUP BY ALL""", ("ocn",)),
+    # one row per name and year column: each name unpivoted over the list of year columns
+    ("pss", """SELECT g.name AS country_name, g.code AS country_code, CAST(p.cnt AS REAL) AS pss, g.year
+               FROM (SELECT name, code, unnest((SELECT list(year) FROM years)) AS year
+                     FROM (SELECT DISTINCT name, code FROM pss_cnt)) g
+               LEFT JOIN pss_cnt p ON p.name = g.name AND p.code = g.code AND p.year = g.year""", ("pss_cnt", "years")),
+    # countries, and the world total of the last series
+    ("un_cnt", """SELECT name, code, prio, year, count(*) AS cnt FROM (
+                    SELECT n_name AS name, CAST(n_nationkey AS VARCHAR) AS code, o_orderpriority AS prio,
+                           CAST(year(o_orderdate) AS INTEGER) AS year FROM ocn
+                    UNION ALL
+                    SELECT 'WORLD', 'WLD', o_orderpriority, CAST(year(o_orderdate) AS INTEGER) FROM ocn
+                    WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')) GROUP BY ALL""", ("ocn",)),
+    ("un", """SELECT g.name AS country_name, g.code AS country_code, g.year,
                      sum(CASE WHEN u.prio = '1-URGENT' THEN CAST(u.cnt AS REAL) END) AS uwae,
                      sum(CASE WHEN u.prio = '2-HIGH' THEN CAST(u.cnt AS REAL) END) AS uwbe,
                      sum(CASE WHEN u.prio = '3-MEDIUM' THEN CAST(u.cnt AS REAL) END) AS uwie,
                      sum(CASE WHEN u.prio IN ('4-NOT SPECIFIED', '5-LOW') THEN CAST(u.cnt AS REAL) END) AS ut
-              FROM grid g LEFT JOIN un_cnt u ON u.n_name = g.n_name AND u.year = g.year
-              GROUP BY g.n_name, g.n_nationkey, g.year""", ("grid", "un_cnt")),
-    ("pop_raw", """SELECT ocn.n_name AS country_name, CAST(year(ocn.o_orderdate) AS INTEGER) AS year,
-                          CAST(count(*) AS INTEGER) AS count
-                   FROM lineitem l JOIN ocn ON l.l_orderkey = ocn.o_orderkey GROUP BY ALL""", ("ocn",)),
-    ("pop", """SELECT country_name, year, count, count / nullif(sum(count) OVER (PARTITION BY year), 0) * 100 AS powp
-               FROM pop_raw""", ("pop_raw",)),
+              FROM (SELECT name, code, unnest((SELECT list(year) FROM years)) AS year
+                    FROM (SELECT DISTINCT name, code FROM un_cnt)) g
+              LEFT JOIN un_cnt u ON u.name = g.name AND u.code = g.code AND u.year = g.year
+              GROUP BY g.name, g.code, g.year""", ("un_cnt", "years")),
+    ("pop_lines", """SELECT ocn.n_name, ocn.c_mktsegment, CAST(year(ocn.o_orderdate) AS INTEGER) AS year
+                     FROM lineitem l JOIN ocn ON l.l_orderkey = ocn.o_orderkey""", ("ocn",)),
+    # territories are delivered twice: repeated rows count in the yearly total and are removed after it
+    ("pop_raw", """SELECT n_name AS country_name, year, CAST(count(*) AS INTEGER) AS count FROM pop_lines GROUP BY ALL
+                   UNION ALL
+                   SELECT 'TERRITORY ' || c_mktsegment, year, unnest([n, n]) FROM (
+                     SELECT c_mktsegment, year, CAST(count(*) AS INTEGER) AS n FROM pop_lines GROUP BY ALL)""",
+     ("pop_lines",)),
+    ("pop", """SELECT DISTINCT country_name, year, count, powp FROM (
+                 SELECT country_name, year, count,
+                        count / nullif(sum(count) OVER (PARTITION BY year), 0) * 100 AS powp FROM pop_raw)""",
+     ("pop_raw",)),
     ("keys", """SELECT country_name AS u_name, year AS u_year FROM pss
                 UNION SELECT country_name, year FROM un
                 UNION SELECT country_name, year FROM pop""", ("pss", "un", "pop")),
@@ -58,22 +79,22 @@ _CTES: list[tuple[str, str, tuple[str, ...]]] = [
               FROM ec_nl n LEFT JOIN country_labels l ON n.country_name = l.country_name
               WHERE l.country_code IS NOT NULL AND n.year IS NOT NULL""", ("ec_nl", "country_labels")),
     ("eus_nl", """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
-                         lower(c_mktsegment) AS state_name,
+                         lower(state_place) AS state_name,
                          avg(CAST(CAST(o_totalprice AS VARCHAR) AS REAL)) AS ut
-                  FROM oc GROUP BY year(o_orderdate), month(o_orderdate), c_mktsegment""", ("oc",)),
+                  FROM oc GROUP BY year(o_orderdate), month(o_orderdate), state_place""", ("oc",)),
     ("eus", """SELECT n.year, n.month, n.state_name, n.ut, l.state_code,
                       CAST(row_number() OVER (ORDER BY n.year NULLS FIRST, n.state_name NULLS FIRST, n.month NULLS FIRST,
                            n.ut NULLS FIRST, l.state_code NULLS FIRST) AS INTEGER) AS id_economics_us_state
                FROM eus_nl n JOIN state_labels l ON n.state_name = l.state_name
                WHERE n.year IS NOT NULL AND n.month IS NOT NULL AND n.ut IS NOT NULL AND NOT isnan(n.ut)""",
      ("eus_nl", "state_labels")),
-    ("tc_nl", """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, lower(n_name) AS country_name,
+    ("tc_nl", """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, lower(country_place) AS country_name,
                         CAST(month(o_orderdate) AS INTEGER) AS month,
                         avg(CAST(CAST(o_totalprice AS VARCHAR) AS REAL)) AS temperature,
                         min(CAST(CAST(o_totalprice AS VARCHAR) AS REAL)) AS min_temperature,
                         max(CAST(CAST(o_totalprice AS VARCHAR) AS REAL)) AS max_temperature
                  FROM ocn WHERE o_orderstatus <> 'F'
-                 GROUP BY year(o_orderdate), n_name, month(o_orderdate)""", ("ocn",)),
+                 GROUP BY year(o_orderdate), country_place, month(o_orderdate)""", ("ocn",)),
     ("tc", """SELECT n.year, n.country_name, n.month, n.temperature, n.min_temperature, n.max_temperature, l.country_code,
                      CAST(row_number() OVER (ORDER BY n.year NULLS FIRST, n.country_name NULLS FIRST, n.month NULLS FIRST,
                           n.temperature NULLS FIRST, n.min_temperature NULLS FIRST, n.max_temperature NULLS FIRST,
@@ -81,13 +102,13 @@ _CTES: list[tuple[str, str, tuple[str, ...]]] = [
               FROM tc_nl n JOIN country_labels l ON n.country_name = l.country_name
               WHERE n.year IS NOT NULL AND n.month IS NOT NULL AND n.temperature IS NOT NULL""",
      ("tc_nl", "country_labels")),
-    ("tus_nl", """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, lower(c_mktsegment) AS state_name,
+    ("tus_nl", """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, lower(state_place) AS state_name,
                          CAST(month(o_orderdate) AS INTEGER) AS month,
                          avg(CAST(CAST(o_totalprice AS VARCHAR) AS REAL)) AS temperature,
                          min(CAST(CAST(o_totalprice AS VARCHAR) AS REAL)) AS min_temperature,
                          max(CAST(CAST(o_totalprice AS VARCHAR) AS REAL)) AS max_temperature
                   FROM oc WHERE o_orderstatus = 'F'
-                  GROUP BY year(o_orderdate), c_mktsegment, month(o_orderdate)""", ("oc",)),
+                  GROUP BY year(o_orderdate), state_place, month(o_orderdate)""", ("oc",)),
     ("tus", """SELECT n.year, n.state_name, n.month, n.temperature, n.min_temperature, n.max_temperature, l.state_code,
                       CAST(row_number() OVER (ORDER BY n.year NULLS FIRST, n.state_name NULLS FIRST, n.month NULLS FIRST,
                            n.temperature NULLS FIRST, n.min_temperature NULLS FIRST, n.max_temperature NULLS FIRST,
@@ -96,10 +117,11 @@ _CTES: list[tuple[str, str, tuple[str, ...]]] = [
                WHERE n.year IS NOT NULL AND n.month IS NOT NULL AND n.temperature IS NOT NULL""",
      ("tus_nl", "state_labels")),
     ("fact_src", """SELECT CAST(o_orderkey AS INTEGER) AS cicid, CAST(year(o_orderdate) AS INTEGER) AS i94yr,
-                           CAST(month(o_orderdate) AS INTEGER) AS i94mon, c_nationkey AS i94cit, c_nationkey AS i94res,
+                           CAST(month(o_orderdate) AS INTEGER) AS i94mon, c_nationkey AS i94cit,
+                           CASE WHEN o_orderstatus = 'P' THEN CAST(99 AS INTEGER) ELSE c_nationkey END AS i94res,
                            o_orderstatus AS i94port,
                            CAST(datediff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS arrdate,
-                           CAST(o_orderkey % 3 + 1 AS INTEGER) AS i94mode, upper(substr(c_mktsegment, 1, 2)) AS i94addr,
+                           CAST(o_orderkey % 3 + 1 AS INTEGER) AS i94mode, upper(substr(state_place, 1, 2)) AS i94addr,
                            CAST(datediff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) + o_orderkey % 20 AS INTEGER)
                                AS depdate,
                            CAST(o_custkey % 80 AS INTEGER) AS i94bir,

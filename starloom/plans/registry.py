@@ -313,12 +313,13 @@ def q_full_outer_chain(spark, d):
 
 
 def _orders_per_country(spark, d) -> DataFrame:
-    return (G.orders_customers_nations(spark, d).groupBy(F.lower("n_name").alias("country_name"))
+    return (G.orders_customers_nations(spark, d).groupBy(F.lower(G.country_place()).alias("country_name"))
             .agg(F.count(F.lit(1)).alias("n_orders")))
 
 
-_LABEL_JOIN_SQL = """SELECT lower(n_name) AS country_name, count(*) AS n_orders, any_value(l.country_code) AS country_code
-FROM ocn LEFT JOIN country_labels l ON lower(ocn.n_name) = l.country_name GROUP BY lower(n_name)"""
+_LABEL_JOIN_SQL = """SELECT lower(country_place) AS country_name, count(*) AS n_orders,
+       any_value(l.country_code) AS country_code
+FROM ocn LEFT JOIN country_labels l ON lower(ocn.country_place) = l.country_name GROUP BY lower(country_place)"""
 
 
 @register("label_left_join", with_ctes(["ocn", "country_labels"], _LABEL_JOIN_SQL))
@@ -344,7 +345,8 @@ FROM orders""")
 def q_surrogate_key(spark, d):
     o = T(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"),
                                      F.month("o_orderdate").alias("month"), "o_orderstatus")
-    return add_surrogate_key(o, ["year", "month", "o_orderkey"], "order_id")
+    # the order has ties: the remaining columns break them in their order
+    return add_surrogate_key(o, ["year", "month"], "order_id")
 
 
 def dim_economics_us_state(spark, d) -> DataFrame:
@@ -611,8 +613,14 @@ def q_profile_examples(spark, d):
     return P.profile_examples(_sparse_orders(spark, d), k=10)
 
 
-@register("drop_sparse_columns", with_ctes(["sparse_orders"],
+@register("sparse_columns", with_ctes(["sparse_orders"],
           "SELECT column_name, null_ratio > 0.4 AS too_sparse, n_distinct <= 1 AS single_valued FROM ("
           + _profile_sql() + ") WHERE null_ratio > 0.4 OR n_distinct <= 1"))
-def q_drop_sparse_columns(spark, d):
+def q_sparse_columns(spark, d):
     return P.sparse_columns(P.profile_columns(_sparse_orders(spark, d)))
+
+
+@register("drop_sparse_columns", with_ctes(["sparse_orders"], "SELECT o_orderkey, o_custkey, o_orderstatus FROM sparse_orders"))
+def q_drop_sparse_columns(spark, d):
+    """The table without its sparse and its single-valued column."""
+    return P.drop_sparse_columns(_sparse_orders(spark, d))
