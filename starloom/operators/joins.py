@@ -6,19 +6,54 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.casts import lenient_cast
+from ..session import ensure_checkpoint_dir, run_concurrently
 
-# Largest side (rows) that is broadcast after its size has been checked.  Label tables and
-# (keys, id) projections of dimension tables stay far below it; anything larger goes through
-# a shuffle join that AQE can still convert or split at run time.
+# Largest sides that are broadcast after their size has been measured: rows of one side, and bytes of all
+# sides of one chain of joins together.  Label tables and (keys, id) projections of dimension tables stay far
+# below; anything larger goes through a shuffle join that AQE can still convert or split at run time.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
+_ROW_BYTES = 32  # what a row costs beside its values (row header, hash entry)
+
+
+def side_size(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and the bytes they take in memory, by one partially aggregated job (one row per task is
+    shuffled)."""
+    width = F.lit(_ROW_BYTES + 8 * len(df.columns))
+    for f in df.schema.fields:
+        if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            value = F.col(f"`{f.name}`")
+            if not isinstance(f.dataType, (T.StringType, T.BinaryType)):
+                value = value.cast("string")
+            width = width + F.coalesce(F.octet_length(value), F.lit(0))
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+    return r["n"], r["b"] or 0
+
+
+def bounded_broadcasts(frames: Sequence[DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> list[DataFrame]:
+    """Mark the sides of one chain of joins for broadcast, in their order, while each has at most ``max_rows``
+    rows and all marked ones together at most ``max_bytes`` bytes; the others are returned as they are.
+
+    Pass frames that are stored or checkpointed: each is read once to measure it and once to join it.
+    """
+    sizes = run_concurrently({str(i): (lambda f=f: side_size(f)) for i, f in enumerate(frames)})
+    out, left = [], max_bytes
+    for i, f in enumerate(frames):
+        n, size = sizes[str(i)]
+        small = n <= max_rows and size <= left
+        left -= size if small else 0
+        out.append(F.broadcast(f) if small else f)
+    return out
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows (checked with a bounded count)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``bounded_broadcasts`` for a single side."""
+    return bounded_broadcasts([df], max_rows, max_bytes)[0]
 
 
 def union_distinct_keys(frames: Sequence[DataFrame], cols: Sequence[str],
@@ -57,10 +92,12 @@ def label_join(df: DataFrame, labels: DataFrame, name_col: str, label_name_col:
     """Attach the code of each name from a label table (``how`` = "left" keeps unmatched names).
 
     A left join followed by a null drop is written as an inner join, which Catalyst then
-    plans as such.  The label side is broadcast behind a row-count check.
+    plans as such.  The label side is checkpointed, so measuring it does not compute it twice, and broadcast
+    behind that measure.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     lab = labels.select(F.col(label_name_col).alias("_lname"), F.col(code_col).alias("_lcode"))
-    lab = bounded_broadcast(lab, max_broadcast_rows)
+    lab = bounded_broadcast(lab.checkpoint(eager=True), max_broadcast_rows)
     out = df.join(lab, F.col(name_col) == F.col("_lname"), how).drop("_lname")
     code = F.col("_lcode")
     if cast_code:
@@ -73,11 +110,11 @@ def fk_lookup(fact: DataFrame, dims: Sequence[Mapping], max_broadcast_rows: int
     """Left-join the fact to each dimension on natural keys and bring back only the dimension id.
 
     ``dims`` items: ``{"df": dim, "on": {fact_col: dim_col, ...}, "id": id_col}``.
-    Each dimension is projected to (keys, id) and broadcast behind a size check, so the
-    fact is never shuffled for the lookups.  A natural key held by two dimension rows would
+    Each dimension (stored or checkpointed) is projected to (keys, id) and broadcast behind a size check that
+    bounds all of them together, so the fact is never shuffled for the lookups.  A natural key held by two dimension rows would
     multiply fact rows; ``check_natural_keys=True`` raises ``ValueError`` before that happens.
     """
-    out = fact
+    sides = []
     for i, d in enumerate(dims):
         on = dict(d["on"])
         if check_natural_keys:
@@ -85,9 +122,11 @@ def fk_lookup(fact: DataFrame, dims: Sequence[Mapping], max_broadcast_rows: int
                    .filter(F.col("count") > 1).limit(1).count())
             if dup:
                 raise ValueError(f"dimension with id {d['id']} repeats a natural key {list(on.values())}")
-        side = d["df"].select(*[F.col(dc).alias(f"_d{i}_{j}") for j, dc in enumerate(on.values())],
-                              F.col(d["id"]))
-        side = bounded_broadcast(side, max_broadcast_rows)
+        sides.append(d["df"].select(*[F.col(dc).alias(f"_d{i}_{j}") for j, dc in enumerate(on.values())],
+                                    F.col(d["id"])))
+    out = fact
+    for i, (d, side) in enumerate(zip(dims, bounded_broadcasts(sides, max_broadcast_rows))):
+        on = dict(d["on"])
         cond = [F.col(fc) == F.col(f"_d{i}_{j}") for j, fc in enumerate(on.keys())]
         out = out.join(side, cond, "left").drop(*[f"_d{i}_{j}" for j in range(len(on))])
     return out

@@ -7,7 +7,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
+from ..session import ensure_checkpoint_dir, run_concurrently
+from .joins import bounded_broadcasts
 
 
 def pk_check(dim: DataFrame, id_col: str, table_name: str | None = None) -> DataFrame:
@@ -38,13 +39,18 @@ def star_coverage(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) ->
     """How many fact rows find their row in each dimension, and in all of them at once.
 
     ``dims`` maps a name to (dimension, id column); the fact holds the same id column.
-    One pass over the fact: each dimension's id set is broadcast (size-checked) with a flag.
+    One pass over the fact: each dimension's id set (checkpointed) is broadcast behind a size check with a flag.
     Output rows: (check_name, n_fact, n_matched, matched_ratio).
     """
     f = fact
     flags = []
-    for i, (name, (dim, id_col)) in enumerate(dims.items()):
-        side = bounded_broadcast(dim.select(F.col(id_col).alias(f"_id{i}"), F.lit(True).alias(f"_m{i}")).distinct())
+    ensure_checkpoint_dir(fact.sparkSession)
+
+    def ids(i: int, dim: DataFrame, id_col: str) -> DataFrame:
+        return dim.select(F.col(id_col).alias(f"_id{i}"), F.lit(True).alias(f"_m{i}")).distinct().checkpoint(eager=True)
+
+    sets = run_concurrently({name: (lambda i=i, d=d, c=c: ids(i, d, c)) for i, (name, (d, c)) in enumerate(dims.items())})
+    for i, ((name, (_, id_col)), side) in enumerate(zip(dims.items(), bounded_broadcasts([sets[n] for n in dims]))):
         f = f.join(side, F.col(id_col) == F.col(f"_id{i}"), "left")
         flags.append((name, F.coalesce(F.col(f"_m{i}"), F.lit(False))))
     all_flag = F.lit(True)

@@ -80,6 +80,9 @@ def population_share(population: DataFrame) -> DataFrame:
     count in the yearly total and are removed afterwards."""
     p = population.withColumnsRenamed({"Country Name": "country_name", "Year": "year", "Count": "count"})
     p = cast_columns(p, {"year": "int", "count": "int"})
+    # one row per country and year: materialised, as the totals and the shares both read it
+    ensure_checkpoint_dir(p.sparkSession)
+    p = p.checkpoint(eager=True)
     return share_of_total(p, ["year"], "count", "powp").distinct()
 
 
@@ -115,8 +118,8 @@ def economics_country_no_labels(pss: DataFrame, unemployment: DataFrame, populat
 
 def economics_country(no_labels: DataFrame, country_labels: DataFrame) -> DataFrame:
     j = label_join(no_labels, country_labels, "country_name", "country_name", "country_code",
-                   how="left", cast_code="int")
-    j = drop_null_subset(j, ["country_code", "year"])
+                   how="inner", cast_code="int")
+    j = drop_null_subset(j, ["country_code", "year"])  # codes that are no number, rows without a year
     return add_surrogate_key(j.select(*ECONOMICS_COUNTRY_COLUMNS), ["year", "country_name"], "id_economics_country")
 
 

@@ -25,9 +25,9 @@ from ..sources.files import (lowercase_names, read_fact_source, read_header_csv,
 from ..sources.labels import parse_label_section, read_label_lines, write_label_file
 from . import analog as G
 from . import dims as D
-from .fact import FACT_COLUMNS, FACT_IDS, i94_fact
+from .fact import FACT_COLUMNS, FACT_IDS, FACT_INT_COLUMNS, i94_fact
 from .oracle import with_ctes
-from .star import StarInputs, build_star, star_summary, store_star
+from .star import StarInputs, build_star, star_sums
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -404,22 +404,16 @@ _PK_PARTS = [("economics_country", "ec", "id_economics_country"), ("economics_us
              ("temperature_us_state", "tus", "id_temperature_us_state")]
 
 
-_STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
+def _star(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The star of the folder, built anew by each query that checks it: dimensions with checkpointed ids, and
+    the fact against them."""
+    oc = G.shared_orders_customers(spark, d)
+    dims = _dims(spark, d, oc)
+    return {**dims, "fact": _fact(spark, d, dims, oc)}
 
-def stored_star(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The star built once per session and source folder, as read back from Parquet.
 
-    The quality checks run on the stored tables, like the checks that follow a monthly build;
-    the build itself is timed by ``star_build`` and ``fact_fk_lookup``.
-    """
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _STORED:
-        oc = G.shared_orders_customers(spark, d)
-        stored = store_star(spark, _dims(spark, d, oc), G.fact_source(spark, d, oc), scratch_path(spark, "stored-star"))
-        stored["fact"] = stored.pop("I94s")
-        _STORED[key] = stored
-    return _STORED[key]
+def _star_dims(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return _dims(spark, d, G.shared_orders_customers(spark, d))
 
 
 @register("pk_check", with_ctes([c for _, c, _ in _PK_PARTS], "\nUNION ALL\n".join(
@@ -429,13 +423,13 @@ def stored_star(spark: SparkSession, d: str) -> dict[str, DataFrame]:
            AS is_dense
 FROM {c}""" for t, c, i in _PK_PARTS)))
 def q_pk_check(spark, d):
-    star = stored_star(spark, d)
+    star = _star_dims(spark, d)
     return A.union_all([Q.pk_check(star[t], i, t) for t, _, i in _PK_PARTS])
 
 
 def _register_views(spark, d) -> dict[str, str]:
     views = {}
-    for name, df in stored_star(spark, d).items():
+    for name, df in _star(spark, d).items():
         view = f"starloom_{name}"
         df.createOrReplaceTempView(view)
         views[name] = view
@@ -472,7 +466,7 @@ SELECT check_name, n_fact, n_matched, n_matched / n_fact AS matched_ratio FROM (
 ) UNPIVOT (n_matched FOR check_name IN (temperature_us_state, temperature_country, economics_us_state,
                                          economics_country, _all))"""))
 def q_star_coverage(spark, d):
-    star = stored_star(spark, d)
+    star = _star(spark, d)
     return Q.star_coverage(star["fact"], {name: (star[name], idc) for name, idc, _ in _COVERAGE})
 
 
@@ -484,7 +478,7 @@ _MATCHED_IDS = ["id_temperature_us_state", "id_temperature_country", "id_economi
 def q_fully_matched_fact(spark, d):
     """Fact rows that found their state and country rows for their month (the id columns listed
     twice in the original check collapse to one condition each)."""
-    fact = stored_star(spark, d)["fact"]
+    fact = _star(spark, d)["fact"]
     return A.drop_null_subset(fact, _MATCHED_IDS + ["id_temperature_us_state"]).select(*FACT_COLUMNS, *FACT_IDS)
 
 
@@ -499,9 +493,9 @@ _NATURAL_KEYS = [("economics_country", "ec", ["year", "country_code"]),
        AS BIGINT) AS n_repeated_keys
 FROM (SELECT {', '.join(k)}, count(*) AS n FROM {c} GROUP BY {', '.join(k)})""" for t, c, k in _NATURAL_KEYS)))
 def q_natural_key_check(spark, d):
-    """Per stored dimension: natural keys the fact looks up, and how many of them repeat (each
+    """Per dimension: natural keys the fact looks up, and how many of them repeat (each
     repeat would multiply fact rows in the lookup)."""
-    star = stored_star(spark, d)
+    star = _star_dims(spark, d)
     parts = []
     for t, _, keys in _NATURAL_KEYS:
         per_key = star[t].groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -515,7 +509,7 @@ def q_natural_key_check(spark, d):
 def q_stream_monthly_refresh(spark, d):
     """Two monthly deliveries (earlier years, then the latest year) through the streaming refresh."""
     from ..streaming.refresh import run_monthly_refresh
-    star = stored_star(spark, d)
+    star = _star_dims(spark, d)
     src = G.fact_source(spark, d)
     base = scratch_path(spark, "stream")
     last_year = T(spark, d, "orders").agg(F.max(F.year("o_orderdate")).alias("y")).first()["y"]
@@ -554,15 +548,27 @@ def star_inputs_from_files(spark: SparkSession, d: str) -> StarInputs:
                       label_lines=read_label_lines(spark, labels), series=G.SERIES)
 
 
-@register("star_build", with_ctes(["fact"], """
-SELECT 'economics_country' AS table_name, count(*) AS n_rows, 10 AS n_columns FROM ec
-UNION ALL SELECT 'economics_us_state', count(*), 6 FROM eus
-UNION ALL SELECT 'temperature_country', count(*), 8 FROM tc
-UNION ALL SELECT 'temperature_us_state', count(*), 8 FROM tus
-UNION ALL SELECT 'I94s', count(*), 27 FROM fact"""))
+# numbers of each table of the star beside its ids
+_STAR_NUMBERS = [("economics_country", "ec", 10, ["year", "pss", "uwae", "uwbe", "uwie", "ut", "powp", "country_code"]),
+                 ("economics_us_state", "eus", 6, ["year", "month", "ut"]),
+                 ("temperature_country", "tc", 8, ["year", "month", *D.TEMPERATURE_MEASURES, "country_code"]),
+                 ("temperature_us_state", "tus", 8, ["year", "month", *D.TEMPERATURE_MEASURES]),
+                 ("I94s", "fact", 27, FACT_INT_COLUMNS)]
+
+
+def _sums_sql(table: str, cte: str, n_columns: int, numbers: list[str]) -> str:
+    ids = FACT_IDS if cte == "fact" else [f"id_{table}"]
+    id_sum = " + ".join(f"coalesce(CAST({c} AS HUGEINT), 0)" for c in ids)
+    value_sum = " + ".join(f"coalesce(CAST(floor(CAST({c} AS DOUBLE) * 1000) AS HUGEINT), 0)" for c in numbers)
+    return (f"SELECT '{table}' AS table_name, count(*) AS n_rows, {n_columns} AS n_columns, "
+            f"CAST(coalesce(sum({id_sum}), 0) AS VARCHAR) AS id_sum, "
+            f"CAST(coalesce(sum({value_sum}), 0) AS VARCHAR) AS value_sum FROM {cte}")
+
+
+@register("star_build", with_ctes(["fact"], "\nUNION ALL\n".join(_sums_sql(*t) for t in _STAR_NUMBERS)))
 def q_star_build(spark, d):
     stored = build_star(spark, star_inputs_from_files(spark, d), scratch_path(spark, "star"))
-    return star_summary(stored)
+    return star_sums(stored)
 
 
 # ============================================================================ profiles

@@ -7,7 +7,9 @@ from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators.aggregates import union_all
 from ..session import run_concurrently
 from ..sources.files import read_partitioned, refresh_partitions, write_partitioned
 from ..sources.labels import label_table
@@ -80,11 +82,13 @@ def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source:
     stored dimension would multiply fact rows: it raises ``ValueError`` before the fact is built.
     """
     base = base_path.rstrip("/")
-    stored: dict[str, DataFrame] = {}
-    for name, df in dims.items():
+
+    def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/{name}.parquet"
         write_partitioned(df, path, PARTITIONS[name], mode=mode, colocate=True)
-        stored[name] = _read_back(spark, df, path)
+        return _read_back(spark, df, path)
+
+    stored = run_concurrently({name: (lambda name=name, df=df: store(name, df)) for name, df in dims.items()})
     fact = i94_fact(fact_source, stored["economics_country"], stored["economics_us_state"],
                     stored["temperature_country"], stored["temperature_us_state"], int_type=int_type,
                     check_natural_keys=True)
@@ -104,13 +108,15 @@ def build_star(spark: SparkSession, inp: StarInputs, base_path: str, mode: str =
 
 def refresh_fact_month(spark: SparkSession, inp: StarInputs, base_path: str, int_type: str = "int") -> DataFrame:
     """Monthly refresh of the fact: rebuild from a new month's source and overwrite only that
-    month's partitions, against the dimensions already stored under ``base_path``."""
+    month's partitions, against the dimensions already stored under ``base_path``.  Returns the whole fact with
+    the columns and types of the build."""
     base = base_path.rstrip("/")
     stored = {n: spark.read.parquet(f"{base}/{n}.parquet") for n in ID_COLUMNS}
     fact = i94_fact(inp.fact_source, stored["economics_country"], stored["economics_us_state"],
-                    stored["temperature_country"], stored["temperature_us_state"], int_type=int_type)
+                    stored["temperature_country"], stored["temperature_us_state"], int_type=int_type,
+                    check_natural_keys=True)
     refresh_partitions(fact, f"{base}/I94s.parquet", PARTITIONS["I94s"], rebalance=True)
-    return spark.read.parquet(f"{base}/I94s.parquet")
+    return _read_back(spark, fact, f"{base}/I94s.parquet")
 
 
 # Natural keys the fact looks each dimension up by.
@@ -129,7 +135,7 @@ def star_quality(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     by more than one dimension row (expected empty); ``fact_rows``: the fact's row count;
     ``coverage``: fact rows matched per dimension and in all four at once.
     """
-    from ..operators.aggregates import row_count, union_all
+    from ..operators.aggregates import row_count
     from ..operators.quality import natural_key_duplicates, pk_check, star_coverage
     dims = {n: stored[n] for n in ID_COLUMNS}
     fact = stored["I94s"] if "I94s" in stored else stored["fact"]
@@ -151,3 +157,24 @@ def star_summary(stored: Mapping[str, DataFrame]) -> DataFrame:
             F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"))
         rows = part if rows is None else rows.unionByName(part)
     return rows
+
+
+def star_sums(stored: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per stored table: rows, columns, the sum of its ids, and the sum of all its other numbers in whole
+    thousandths (exact sums, as text), so that two builds can be compared by value."""
+    parts = []
+    for name, df in stored.items():
+        ids, others = F.lit(0).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)")
+        for f in df.schema.fields:
+            if not isinstance(f.dataType, T.NumericType):
+                continue
+            v = F.col(f"`{f.name}`")
+            if f.name.startswith("id_"):
+                ids = ids + F.coalesce(v.cast("decimal(20,0)"), F.lit(0))
+            else:
+                others = others + F.coalesce(F.floor(v.cast("double") * 1000).cast("decimal(20,0)"), F.lit(0))
+        total = lambda c: F.coalesce(F.sum(c.cast("decimal(28,0)")), F.lit(0)).cast("string")
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"), total(ids).alias("id_sum"), total(others).alias("value_sum"))
+                     .select(F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"),
+                             "id_sum", "value_sum"))
+    return union_all(parts)
