@@ -185,11 +185,12 @@ def test_rebuild_gives_identical_ids(spark, star):
 def test_monthly_refresh_replaces_only_that_month(spark, tmp_path):
     d = str(tmp_path)
     inp = make_inputs(spark, d)
-    build_star(spark, inp, f"{d}/out")
+    built = build_star(spark, inp, f"{d}/out")
     may = make_inputs(spark, d, [fact_row(7, 2016, 5, 111, "AK")], fact_name="may.parquet")
     fact = refresh_fact_month(spark, may, f"{d}/out")
     got = sorted((r["cicid"], r["i94mon"]) for r in fact.collect())
     assert got == [(1, 4), (2, 4), (3, 4), (7, 5)]
+    assert fact.dtypes == built["I94s"].dtypes
 
 
 def test_series_discovered_positionally_when_not_given(spark, star):
