@@ -1,8 +1,9 @@
 """License scans with DataFrame functions only: ordered signature rules behind keyword gates.
 
 A text is lower-cased (A-Z) and cut into words of digits, letters and non-ASCII code points, which
-makes punctuation and line breaks irrelevant.  Texts that hold a gate word are matched with the
-signature rules whose own keyword occurs.  Every match is an interval of the normalised text; an
+makes punctuation and line breaks irrelevant.  Every signature rule has a keyword that whatever it matches
+must hold, and a text is matched with the rules whose keyword occurs; a text without any of them cannot match
+a rule or a base phrase and only has its words counted.  Every match is an interval of the normalised text; an
 interval that lies inside another is suppressed (of equal ones the rule of lower ``order`` wins),
 so "apache license version 2 0" silences the bare "apache license" inside it.
 
@@ -21,10 +22,8 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The contract's phrases and labels (fixed values).
 BASE = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
 
-#: Words of which a text must hold one to be matched at all.
-GATES = ("licens", "copyright", "public domain", "warrant", "redistribut", "creative commons", "copyleft")
-
-#: Families: keyword, written names (as a pattern over normalised words), label, versions.
+#: Families: keyword (whole words that each written name holds), written names (as a pattern over normalised words),
+#: label, versions.
 FAMILIES = (
     ("mit", "mit(?: x11)?(?: expat)?", "mit", ()),
     ("apache", "apache(?: software)?", "apache", ("1.0", "1.1", "2.0")),
@@ -35,21 +34,21 @@ FAMILIES = (
     ("affero", "(?:gnu )?affero general public", "agpl", ("1", "3")),
     ("agpl", "(?:gnu )?agpl", "agpl", ("1", "3")),
     ("bsd", "(?:modified |simplified |new |revised )?bsd", "bsd", ("0", "1", "2", "3", "4")),
-    ("mozilla", "mozilla public", "mpl", ("1.0", "1.1", "2.0")),
-    ("eclipse", "eclipse public", "epl", ("1.0", "2.0")),
-    ("creative commons", "creative commons attribution", "cc-by", ("2.0", "3.0", "4.0")),
-    ("sharealike", "creative commons attribution sharealike", "cc-by-sa", ("2.0", "3.0", "4.0")),
-    ("noncommercial", "creative commons attribution noncommercial", "cc-by-nc", ("2.0", "3.0", "4.0")),
-    ("noderivatives", "creative commons attribution noderivatives", "cc-by-nd", ("2.0", "3.0", "4.0")),
+    ("mozilla public", "mozilla public", "mpl", ("1.0", "1.1", "2.0")),
+    ("eclipse public", "eclipse public", "epl", ("1.0", "2.0")),
+    ("creative commons attribution", "creative commons attribution", "cc-by", ("2.0", "3.0", "4.0")),
+    ("attribution sharealike", "creative commons attribution sharealike", "cc-by-sa", ("2.0", "3.0", "4.0")),
+    ("attribution noncommercial", "creative commons attribution noncommercial", "cc-by-nc", ("2.0", "3.0", "4.0")),
+    ("attribution noderivatives", "creative commons attribution noderivatives", "cc-by-nd", ("2.0", "3.0", "4.0")),
     ("free documentation", "(?:gnu )?free documentation", "gfdl", ("1.1", "1.2", "1.3")),
     ("isc", "isc", "isc", ()),
     ("zlib", "zlib(?: libpng)?", "zlib", ()),
-    ("boost", "boost software", "bsl", ("1.0",)),
+    ("boost software", "boost software", "bsl", ("1.0",)),
     ("artistic", "artistic", "artistic", ("1.0", "2.0")),
-    ("european union", "european union public", "eupl", ("1.0", "1.1", "1.2")),
+    ("european union public", "european union public", "eupl", ("1.0", "1.1", "1.2")),
     ("open software", "open software", "osl", ("1.0", "2.0", "3.0")),
     ("academic free", "academic free", "afl", ("2.0", "2.1", "3.0")),
-    ("common development", "common development and distribution", "cddl", ("1.0", "1.1")),
+    ("common development and distribution", "common development and distribution", "cddl", ("1.0", "1.1")),
     ("python", "python(?: software foundation)?", "psf", ("2",)),
     ("w3c", "w3c(?: software)?", "w3c", ()),
     ("postgresql", "postgresql", "postgresql", ()),
@@ -74,36 +73,43 @@ PLAIN = (
     ("{name} licen[cs]e", 0.7),
 )
 
-#: Sentences of license texts (fixed values): keyword, pattern, label.
+#: Sentences of license texts (fixed values): keyword (words that the pattern holds), pattern, label.
 CLAUSES = (
-    ("hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", "mit"),
+    ("permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", "mit"),
     ("noninfringement", "fitness for a particular purpose and noninfringement", "mit"),
-    ("hereby granted", "permission to use copy modify and or distribute this software for any purpose", "isc"),
-    ("redistribut", "redistributions of source code must retain the above copyright notice", "bsd"),
-    ("redistribut", "redistributions in binary form must reproduce the above copyright notice", "bsd"),
-    ("endorse", "neither the name of .{1,80} may be used to endorse or promote products", "bsd-3"),
-    ("compliance", "you may not use this file except in compliance with the license", "apache-2.0"),
-    ("as is", "distributed on an as is basis without warranties or conditions of any kind", "apache-2.0"),
-    ("redistribut", "you can redistribute it and or modify it under the terms of the gnu", "gpl"),
-    ("merchantability", "without even the implied warranty of merchantability or fitness", "gpl"),
-    ("public domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain", "public-domain"),
-    ("unlicense", "free and unencumbered software released into the public domain", "unlicense"),
-    ("all rights", "all rights reserved", "proprietary"),
+    ("permission to use copy modify", "permission to use copy modify and or distribute this software for any purpose", "isc"),
+    ("redistributions of source code", "redistributions of source code must retain the above copyright notice", "bsd"),
+    ("redistributions in binary form", "redistributions in binary form must reproduce the above copyright notice", "bsd"),
+    ("endorse or promote", "neither the name of .{1,80} may be used to endorse or promote products", "bsd-3"),
+    ("in compliance with the license", "you may not use this file except in compliance with the license", "apache-2.0"),
+    ("on an as is basis", "distributed on an as is basis without warranties or conditions of any kind", "apache-2.0"),
+    ("you can redistribute", "you can redistribute it and or modify it under the terms of the gnu", "gpl"),
+    ("warranty of merchantability", "without even the implied warranty of merchantability or fitness", "gpl"),
+    ("the public domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain", "public-domain"),
+    ("free and unencumbered", "free and unencumbered software released into the public domain", "unlicense"),
+    ("all rights reserved", "all rights reserved", "proprietary"),
     ("source code form", "this source code form is subject to the terms of the mozilla public", "mpl"),
     ("altered source", "altered source versions must be plainly marked as such", "zlib"),
 )
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
-    """(order, keyword, pattern, label, confidence), most specific first."""
+    """(order, keyword, pattern, label, confidence), most specific first; whatever a pattern matches holds its keyword."""
     out = [(kw, f" {p} ", label, 0.8) for kw, p, label in CLAUSES]
     for kw, name, label, versions in FAMILIES:
         spdx = label.replace("-", " ")
         for v in versions:
             digits = v.replace(".", " ") if not v.endswith(".0") else v[:-2] + "(?: 0)?"
-            out += [(kw, " " + f.format(name=name, spdx=spdx, v=digits) + " ", f"{label}-{v}", c) for f, c in VERSIONED]
-        out += [(kw, " " + f.format(name=name, spdx=spdx) + " ", label, c) for f, c in PLAIN]
-    return [(i, f" {kw}" if " " not in kw else kw, p, label, c) for i, (kw, p, label, c) in enumerate(out)]
+            out += [(kw if "{name}" in f else spdx, " " + f.format(name=name, spdx=spdx, v=digits) + " ", f"{label}-{v}", c)
+                    for f, c in VERSIONED]
+        out += [(kw if "{name}" in f else spdx, " " + f.format(name=name, spdx=spdx) + " ", label, c) for f, c in PLAIN]
+    return [(i, f" {kw} ", p, label, c) for i, (kw, p, label, c) in enumerate(out)]
+
+
+def gates() -> list[str]:
+    """Keywords of which a text must hold one for a rule or a base phrase to match: those that hold no other one."""
+    every = {kw for _, kw, _, _, _ in rules()} | {f" {' '.join(phrase)} " for phrase, _ in BASE}
+    return sorted(kw for kw in every if not any(g != kw and g in kw for g in every))
 
 
 def _rule_array() -> Column:
@@ -161,34 +167,33 @@ def _base(ws: Column) -> Column:
 
 def scan(df: DataFrame, text: str = "text", out: str = "scan") -> DataFrame:
     """Add struct ``out``: n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
+    # words parted and enclosed by single spaces
+    norm = F.regexp_replace(F.concat(F.lit(" "), ascii_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(" ")), SEPARATORS, " ")
     gate = F.lit(False)
-    for g in GATES:
-        # a gate phrase of two words may be parted by any punctuation: its first word decides
-        gate = gate | F.contains(F.col("__low"), F.lit(g.split()[0]))
+    for g in gates():
+        gate = gate | F.contains(F.col("__norm"), F.lit(g))
     none = F.array().cast("array<string>")
 
     def full(ws: Column) -> Column:
-        norm = F.concat(F.lit(" "), F.concat_ws(" ", ws), F.lit(" "))
-        return let(norm, lambda t: let(_base(ws), lambda b: let(detections(t), lambda d: F.struct(
+        return let(_base(ws), lambda b: let(detections(F.col("__norm")), lambda d: F.struct(
             F.size(ws).cast("long").alias("n_words"),
             F.size(b).cast("long").alias("n_base"),
             F.array_min(F.transform(b, lambda x: x["i"])).cast("long").alias("first_word"),
             F.array_max(F.transform(b, lambda x: x["i"])).cast("long").alias("last_word"),
             F.array_sort(F.array_distinct(F.transform(b, lambda x: x["l"]))).alias("base"),
             F.array_sort(F.array_distinct(F.concat(F.transform(b, lambda x: x["l"]), d["labels"]))).alias("all"),
-            F.greatest(d["score"], F.when(F.size(b) > 0, F.lit(0.5)).otherwise(F.lit(0.0))).alias("score")))))
+            F.greatest(d["score"], F.when(F.size(b) > 0, F.lit(0.5)).otherwise(F.lit(0.0))).alias("score"))))
 
     short = F.struct(
-        F.expr(f"regexp_count(__low, '{SEPARATORS.replace('[', '[^').replace(chr(92), chr(92) * 2)}')").cast("long").alias("n_words"),
+        (F.octet_length("__norm") - F.octet_length(F.replace(F.col("__norm"), F.lit(" "), F.lit(""))) - 1).cast("long").alias("n_words"),
         F.lit(0).cast("long").alias("n_base"), F.lit(None).cast("long").alias("first_word"),
         F.lit(None).cast("long").alias("last_word"), none.alias("base"), none.alias("all"), F.lit(0.0).alias("score"))
-    ws = F.filter(F.split(F.col("__low"), SEPARATORS), lambda w: w != "")
+    ws = F.filter(F.split(F.col("__norm"), " "), lambda w: w != "")
     s = F.col("__s")
-    return (df.withColumn("__low", low)
+    return (df.withColumn("__norm", norm)
             .withColumn("__s", F.when(gate, let(ws, full)).otherwise(short))
             .withColumn(out, F.struct(
                 s["n_words"].alias("n_words"), s["n_base"].alias("n_base"), s["first_word"].alias("first_word"),
                 s["last_word"].alias("last_word"), F.concat_ws(",", s["base"]).alias("base_labels"),
                 F.concat_ws(",", s["all"]).alias("labels"), s["score"].alias("score")))
-            .drop("__low", "__s"))
+            .drop("__norm", "__s"))
