@@ -8,8 +8,11 @@ a failed micro-batch rewrites the same partitions with the same rows, so the res
 exactly-once.  Contract: one delivery holds complete months (the source is released
 monthly); a re-delivered month replaces the stored one, also when several deliveries of a month are found in
 one run: per month only the rows of the latest delivery count.  Deliveries are ``key=value`` sub-folders (for
-example ``delivery=2016-04/``), ordered by that value, or single files placed directly in the source
-folder, ordered by modification time.  Columns that are not in the declared source schema never reach the fact.
+example ``delivery=2016-04/``), ordered by that value, of any number of files each.  A file placed outside
+such a folder is a delivery by itself; whether two of them that hold the same month are parts of one delivery or
+deliveries that replace each other cannot be told, so a run that finds such a file beside any other delivery of its
+month raises before it writes anything.  Then the files belong into ``key=value`` folders, and the next run needs a new
+checkpoint location (the refused files stay in the old one's log).  Columns that are not in the declared source schema never reach the fact.
 """
 
 from __future__ import annotations
@@ -25,6 +28,18 @@ from ..sources.files import refresh_partitions
 
 FACT_PARTITIONS = ["i94yr", "i94mon"]
 _DELIVERY = "_delivery"
+_LOOSE = "_loose"  # path of a file outside a delivery folder
+
+
+def check_loose_files(batch: DataFrame, columns: Sequence[str]) -> None:
+    """Raise if a file outside a delivery folder is not the only delivery of its months in ``batch``."""
+    names = {c.lower(): c for c in columns}
+    months = batch.groupBy(*[F.col(f"`{names[c]}`") for c in FACT_PARTITIONS]).agg(
+        F.max(f"{_DELIVERY}.{_LOOSE}").alias("loose"), F.min(_DELIVERY).alias("a"), F.max(_DELIVERY).alias("b"))
+    bad = months.filter(F.col("loose").isNotNull() & ~F.col("a").eqNullSafe(F.col("b"))).first()
+    if bad is not None:
+        raise ValueError(f"month {bad[0]}-{bad[1]}: {bad['loose']} lies outside a key=value delivery folder and is not the only "
+                         "delivery of this month; put the files of one delivery into one such folder")
 
 
 def latest_delivery(batch: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -33,7 +48,7 @@ def latest_delivery(batch: DataFrame, columns: Sequence[str]) -> DataFrame:
     year, month = (F.col(f"`{names[c]}`") for c in FACT_PARTITIONS)
     last = (batch.groupBy(year.alias("_year"), month.alias("_month"))
             .agg(F.max(_DELIVERY).alias("_last")))  # one row per month of the batch
-    same = year.eqNullSafe(F.col("_year")) & month.eqNullSafe(F.col("_month")) & (F.col(_DELIVERY) == F.col("_last"))
+    same = year.eqNullSafe(F.col("_year")) & month.eqNullSafe(F.col("_month")) & F.col(_DELIVERY).eqNullSafe(F.col("_last"))
     return batch.join(last, same, "left_semi").select(*[f"`{c}`" for c in columns])
 
 
@@ -49,10 +64,14 @@ def run_monthly_refresh(spark: SparkSession, source_dir: str, source_schema: T.S
     files = spark.readStream.schema(source_schema).format(source_format).load(source_dir)
     declared = {c.lower() for c in source_schema.fieldNames()}
     folders = [c for c in files.columns if c.lower() not in declared]
-    delivery = F.struct(*folders) if folders else F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    inside = F.lit(False)
+    for c in folders:
+        inside = inside | F.col(f"`{c}`").isNotNull()
+    delivery = F.struct(*[f"`{c}`" for c in folders], F.when(~inside, F.col("_metadata.file_path")).alias(_LOOSE))
     stream = files.select(*source_schema.fieldNames(), delivery.alias(_DELIVERY))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        check_loose_files(batch, source_schema.fieldNames())
         fact = i94_fact(latest_delivery(batch, source_schema.fieldNames()), dims["economics_country"], dims["economics_us_state"],
                         dims["temperature_country"], dims["temperature_us_state"], int_type=int_type)
         refresh_partitions(fact, fact_path, FACT_PARTITIONS, rebalance=True)
