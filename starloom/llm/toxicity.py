@@ -5,8 +5,9 @@ when at least one sentence is (noisy-or: 1 - product of 1 - p).  The weights are
 gradient ascent on the documents' likelihood, so sentences need no labels; afterwards the sentence
 probabilities locate the offending sentences.
 
-Fitting uses a bounded sample of labelled documents: per class at most ``PER_CLASS`` documents of together at most
-``CLASS_BYTES`` bytes, chosen by a hash of doc_id.  Scoring covers every document, whole texts, without a shuffle.
+Fitting uses a bounded sample of labelled documents with a text: ``PER_CLASS`` documents of each class (all, if there
+are fewer), chosen by a hash of doc_id, of together at most ``CLASS_BYTES`` bytes.  Where whole texts would be more, the
+longest ones, and only they, are represented by some of their whole sentences, so that no document is left out.  Scoring covers every document, whole texts, without a shuffle.
 
 Null and empty texts have no sentence and get the probability of an empty sentence.  Labels that repeat count as
 their largest value; null labels and null doc_ids are not learned from.  Of documents with equal doc_id the
@@ -15,6 +16,8 @@ sample holds one.  Without labels of both classes every score is 0.
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +30,7 @@ from ._tokens import NON_ALNUM_BYTES, U, Words, slices, text_bytes
 
 FEATURES = 1 << 18
 PER_CLASS = 2000
-CLASS_BYTES = 8 << 20
+CLASS_BYTES = 16 << 20
 EPOCHS = 250
 PREFIXES = (5, 6, 7)  # bytes
 LEAST_Z = 4.0
@@ -125,25 +128,51 @@ def fit(texts: list[str], toxic: list[int], epochs: int = EPOCHS, rate: float =
     return m
 
 
+def longest_whole(sizes: list[int], room: int) -> int:
+    """The greatest L for which texts of these sizes, each cut to L bytes, fit into ``room``."""
+    for k, n in enumerate(sorted(sizes)):
+        if n * (len(sizes) - k) > room:
+            return room // (len(sizes) - k)
+        room -= n
+    return max(sizes, default=0)
+
+
+def some_sentences(text: str, room: int) -> str:
+    """Whole sentences of at most ``room`` bytes, chosen by hash; the beginning of the first if none fits."""
+    if len(text.encode()) <= room:
+        return text
+    parts = re.findall(r"[^.!?\n]*[.!?\n]|[^.!?\n]+", text)
+    kept = set()
+    for k in sorted(range(len(parts)), key=lambda k: (zlib.crc32(f"{k} {parts[k]}".encode()), k)):
+        n = len(parts[k].encode())
+        if n <= room:
+            kept.add(k)
+            room -= n
+    return "".join(parts[k] for k in sorted(kept)) or parts[0].encode()[:room].decode(errors="ignore")
+
+
 def sample(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = PER_CLASS,
            class_bytes: int = CLASS_BYTES) -> tuple[list[str], list[int]]:
-    """At most ``per_class`` whole documents of each class."""
+    """``per_class`` documents of each class, the longest ones shortened to ``class_bytes`` of a class."""
     ids = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).filter(usable)
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("o", F.xxhash64("doc_id")))
-    texts: list[str] = []
-    toxic: list[int] = []
+    with_text = docs.select("doc_id", "text").filter("text is not null")
+    # only ids and sizes are shuffled
+    sizes = with_text.select("doc_id", F.octet_length("text").alias("n")).join(ids, "doc_id").groupBy("doc_id", "toxic", "o").agg(F.max("n").alias("n"))
+    chosen: list[tuple[int, int, int, int]] = []
     for y in (0, 1):
-        one = ids.filter(F.col("toxic") == y).orderBy("o", "doc_id").limit(per_class).select("doc_id", "o")
-        # at most per_class ids: a broadcast of bounded size
-        mine = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(one), "doc_id")
-        size = mine.groupBy("doc_id", "o").agg(F.max(F.octet_length("text")).alias("n")).orderBy("o", "doc_id").collect()
-        fits = np.cumsum([r["n"] for r in size]) <= class_bytes if size else []
-        chosen = [r["doc_id"] for r, ok in zip(size, fits) if ok]
-        got = (mine.filter(F.col("doc_id").isin(chosen)).groupBy("doc_id", "o").agg(F.max("text").alias("text"))
-               .orderBy("o", "doc_id").collect()) if chosen else []
-        texts += [r["text"] for r in got]
-        toxic += [y] * len(got)
-    return texts, toxic
+        got = sizes.filter(F.col("toxic") == y).orderBy("o", "doc_id").limit(per_class).collect()
+        least = longest_whole([r["n"] for r in got], class_bytes)
+        chosen += [(r["doc_id"], y, k, least) for k, r in enumerate(got)]
+    if not chosen:
+        return [], []
+    take = docs.sparkSession.createDataFrame(chosen, "doc_id long, y int, k int, room long")
+    # at most 2 * per_class ids: a broadcast of bounded size; texts are cut before they are sent anywhere
+    cut = F.udf(some_sentences, "string")
+    short = F.when(F.octet_length("text") <= F.col("room"), F.col("text")).otherwise(cut("text", "room"))
+    got = (with_text.join(F.broadcast(take), "doc_id").select("y", "k", short.alias("text"))
+           .groupBy("y", "k").agg(F.max("text").alias("text")).orderBy("y", "k").collect())
+    return [r["text"] for r in got], [r["y"] for r in got]
 
 
 def score(docs: DataFrame, model: Model, locate_from: float = 0.5) -> DataFrame:
