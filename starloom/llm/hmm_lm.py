@@ -8,7 +8,8 @@ Hidden Markov model: ``STATES`` latent states emit one of ``SYMBOLS`` symbols: t
 the end, or "other word", which stands for any other word w with probability (c(w) + 0.1) / (mass of
 all others, one slot for unseen words included), so a text's probability is proper.  Baum-Welch: tasks add
 up expected counts over their texts, Spark adds the tasks', and the driver gets STATES * (STATES + SYMBOLS + 1)
-numbers.  For training, texts are cut into pieces of ``PIECE`` tokens; the scaled forward recursion that scores a text
+numbers.  For training, texts are cut into pieces of ``PIECE`` tokens; only a text's first piece counts as a start, the others
+begin with the states' distribution after ``PIECE`` moves.  The scaled forward recursion that scores a text
 runs over the whole of it.
 
 The ``KNOWN`` most frequent words' counts are broadcast (16 bytes each); all other tokens meet their counts in one
@@ -104,6 +105,32 @@ class Vocabulary:
         return at, self.h[at] == h if len(self.h) else np.zeros(len(h), bool)
 
 
+def frequent(counts: DataFrame, known: int) -> list:
+    """At most ``known`` rows (h, c) of the most frequent words, by count, to a 16th of an octave; of the last level by hash.
+
+    The bounds come from histograms of bounded size: no task sends more rows to the driver than are kept there.
+    """
+    def whole(bins: DataFrame, room: int) -> tuple[int | None, int | None, int]:
+        """Last bin up to which all fit, the bin after it, and the room left."""
+        last = None
+        for r in bins.collect():
+            if r["n"] > room:
+                return last, r["b"], room
+            last, room = r["b"], room - r["n"]
+        return last, None, room
+
+    level, part = F.floor(F.log2("c") * 16), F.pmod("h", F.lit(16_384))
+    levels = counts.groupBy(level.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("b").desc())
+    least, cut, room = whole(levels, known)
+    take = level >= least if least is not None else F.lit(False)
+    if cut is not None:
+        parts = counts.filter(level == cut).groupBy(part.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("b")
+        upto, _, _ = whole(parts, room)
+        if upto is not None:
+            take = take | ((level == cut) & (part <= upto))
+    return counts.filter(take).orderBy(F.col("c").desc(), "h").collect()
+
+
 def encode(docs: DataFrame, vocab) -> DataFrame:
     """Stored table: a row per document with its symbols, the sums of its known words, and its other words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,14 +194,17 @@ class Hmm:
         move = np.full((states, states), 0.1) + np.eye(states) + draw.uniform(0, 0.05, (states, states))
         return cls(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
-    def expect(self, pieces: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Expected counts over pieces (rows, padded to equal length), flattened: starts, moves, emissions."""
+    def expect(self, pieces: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Expected counts over pieces (rows, padded to equal length), flattened: starts, moves, emissions.
+        ``first`` tells the pieces that begin a text."""
         n, t_max, k = len(pieces), pieces.shape[1], len(self.start)
         inside = np.arange(t_max) < length[:, None]
         b = np.where(inside.T[:, :, None], self.emit[pieces.T], 1.0)  # (t, n, k); padding emits with certainty
+        later = self.start @ np.linalg.matrix_power(self.move, PIECE)
+        begin = np.where(first[:, None], self.start, later / later.sum())
         alpha, scale = np.empty((t_max, n, k)), np.empty((t_max, n))
         for t in range(t_max):
-            a = (self.start if t == 0 else alpha[t - 1] @ self.move) * b[t]
+            a = (begin if t == 0 else alpha[t - 1] @ self.move) * b[t]
             scale[t] = a.sum(1)
             alpha[t] = a / scale[t][:, None]
         beta = np.ones((n, k))
@@ -190,7 +220,7 @@ class Hmm:
         ok = inside.T
         symbol, g = pieces.T[ok], gamma[ok]
         emits = np.stack([np.bincount(symbol, g[:, i], minlength=len(self.emit)) for i in range(k)], 1)
-        return np.concatenate([gamma[0].sum(0), moves.ravel(), emits.ravel()])
+        return np.concatenate([gamma[0][first].sum(0), moves.ravel(), emits.ravel()])
 
     def updated(self, counts: np.ndarray) -> Hmm:
         k = len(self.start)
@@ -217,8 +247,8 @@ class Hmm:
         return back
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The batch's symbols in pieces, ``2048`` at a time."""
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The batch's symbols in pieces (symbols, length, begins a text), ``2048`` at a time."""
     rows, size = [], 0
     for x in batch.column("symbols"):
         s = np.frombuffer(x.as_buffer(), np.uint16)
@@ -227,13 +257,13 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         padded[:len(s)] = s
         length = np.full(n, PIECE)
         length[-1] = len(s) - (n - 1) * PIECE
-        rows.append((padded.reshape(n, PIECE), length))
+        rows.append((padded.reshape(n, PIECE), length, np.arange(n) == 0))
         size += n
         if size >= 2048:
-            yield np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+            yield tuple(map(np.concatenate, zip(*rows)))
             rows, size = [], 0
     if rows:
-        yield np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+        yield tuple(map(np.concatenate, zip(*rows)))
 
 
 def train(encoded: DataFrame, unigram: np.ndarray, turns: int = TURNS) -> Hmm:
@@ -246,9 +276,9 @@ def train(encoded: DataFrame, unigram: np.ndarray, turns: int = TURNS) -> Hmm:
         def expect(batches: Iterator[pa.RecordBatch], share=share) -> Iterator[pa.RecordBatch]:
             total = 0.0
             for batch in batches:
-                for pieces, length in _pieces(batch):
+                for pieces, length, first in _pieces(batch):
                     for a in range(0, len(pieces), 2048):
-                        total = total + share.value.expect(pieces[a:a + 2048], length[a:a + 2048])
+                        total = total + share.value.expect(pieces[a:a + 2048], length[a:a + 2048], first[a:a + 2048])
             if not np.isscalar(total):
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "x"])
 
@@ -267,16 +297,7 @@ def score(docs: DataFrame) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     counts = count_words(docs.filter(~F.col("held_out")))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    # the counts that the most frequent words have at least, from a histogram of bounded size: no task sends more
-    # rows to the driver than are kept there
-    level = F.floor(F.log2("c") * 16)
-    levels = sorted((r["l"], r["n"]) for r in counts.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("n")).collect())
-    held, least = 0, None
-    for at, many in reversed(levels):
-        if held + many > KNOWN:
-            break
-        held, least = held + many, at
-    top = counts.filter(level >= least).orderBy(F.col("c").desc(), "h").collect() if least is not None else []
+    top = frequent(counts, KNOWN)
     voc = Vocabulary(np.array([r["h"] for r in top], np.int64).view(U), np.array([r["c"] for r in top], np.int64), int(n), int(v))
     encoded = encode(docs, sc.broadcast(voc))
     model = sc.broadcast(train(encoded, voc.start))
