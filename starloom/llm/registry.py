@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
 
-from . import chat_format, decontaminate, hmm_lm, jaccard_join, license_scan, quality_rules, source_mix, substring_dedup, toxicity, warc
-from ._tables import table
+from . import chat_format, decontaminate, hmm_lm, jaccard_join, license_scan, quality_rules, source_mix, spelling, substring_dedup, toxicity, turn_repair, warc
+from ._tables import store, table
 from ._tokens import Words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +180,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op12_spelling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = store(spelling.vocabulary(table(spark, sf_dir, "documents")), "vocabulary")
+    return spelling.forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op13_turn_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
