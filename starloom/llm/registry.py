@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
 
-from . import chat_format, decontaminate, hmm_lm, jaccard_join, license_scan, quality_rules, source_mix, spelling, substring_dedup, toxicity, turn_repair, warc
+from . import chat_format, decontaminate, hmm_lm, jaccard_join, license_scan, packing, quality_rules, source_mix, spelling, substring_dedup, toxicity, turn_repair, warc
 from ._tables import store, table
 from ._tokens import Words
 
@@ -182,6 +182,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op11_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), _tokenizer())
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query("op12_spelling")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = store(spelling.vocabulary(table(spark, sf_dir, "documents")), "vocabulary")
