@@ -304,7 +304,7 @@ def pack(docs: DataFrame, tokenizer: str, width: int = WIDTH, end: int = END) ->
                 if ln not in places:
                     a, b = np.searchsorted(rows[:, 0], [ln, ln + 1])
                     places[ln] = Places(rows[a:b])
-                raw = ids[i].as_buffer()
+                raw = ids[i].as_py()
                 for s, z, sequence, offset in places[ln].find(r):
                     for c, v in zip(out, (doc, start + s, z, raw[4 * s:4 * (s + z)], n, sequence, offset)):
                         c.append(v)

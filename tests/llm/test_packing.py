@@ -65,7 +65,7 @@ def test_plan_shapes():
 
 def test_longest_first_shortest_pack():
     """7 and 6 open packs, 3 goes to the emptier one, 2 to the pack of room left."""
-    plan = packing.Plan({7: 1, 6: 1, 3: 1, 2: 1, 1: 1}, 10)
+    plan = packing.Plan({7: 1, 6: 1, 3: 1, 2: 1, 1: 2}, 10)
     where = {r[0]: r[5] for r in plan.rows if r[0] in (7, 6, 3, 2)}
     assert where[3] == where[6] and where[2] == where[7]
 
