@@ -35,18 +35,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-def _byte_table(seed: int) -> np.ndarray:
-    return mix((np.arange(256, dtype=U) + U(1)) * U(0x9E3779B97F4A7C15) + U(seed))
-
-
-_TABLES = [_byte_table(s) for s in (11, 97)]
-_BASES = [U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)]
-
-
-def powers(base: U, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_SEEDS = [U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)]
+_PLACE, _LENGTH = U(0x9E3779B97F4A7C15), U(0xE7037ED1A0B428DB)
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 
 
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -82,20 +73,24 @@ class Words:
         self.count = np.diff(self.first)
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        """A 64-bit hash of each word; ``which`` chooses one of two independent families."""
-        table, base, n = _TABLES[which], _BASES[which], len(self.start)
-        out = np.empty(n, U)
-        length = self.end - self.start
-        pw = powers(base, int(length.max()) if n else 1)
-        step = np.searchsorted(self.start, np.arange(0, len(self.data) + SLICE_BYTES, SLICE_BYTES))
-        for a, b in zip(step[:-1], step[1:]):
-            if a < b:
-                ln = length[a:b]
-                edge = np.concatenate(([0], np.cumsum(ln)))
-                place = np.arange(edge[-1]) - np.repeat(edge[:-1], ln)
-                chars = self.data[np.repeat(self.start[a:b], ln) + place]
-                out[a:b] = np.add.reduceat(table[chars] * pw[place], edge[:-1])
-        return mix(out + length.astype(U) * U(0x9E3779B97F4A7C15))
+        """A 64-bit hash of each word; ``which`` chooses one of two independent families.
+
+        Each 8 bytes are scrambled together with their place before they are added, so the hash is not linear in the bytes;
+        words of at most 8 bytes and equal length never share one.
+        """
+        seed, length = _SEEDS[which], self.end - self.start
+        lanes = np.ndarray((len(self.data) + 1,), "<u8", np.concatenate((self.data, np.zeros(8, np.uint8))), strides=(1,))
+        out = mix((lanes[self.start] & _MASK[np.minimum(length, 8)]) ^ seed)
+        long = np.flatnonzero(length > 8)
+        if len(long):
+            more = (length[long] - 1) // 8
+            edge = np.cumsum(more) - more
+            place = np.arange(int(more.sum())) - np.repeat(edge, more) + 1
+            at = np.repeat(self.start[long], more) + 8 * place
+            left = np.repeat(self.end[long], more) - at
+            lane = lanes[at] & _MASK[np.minimum(left, 8)]
+            out[long] += np.add.reduceat(mix(lane ^ mix(place.astype(U) * _PLACE + seed)), edge)
+        return mix(out + length.astype(U) * _LENGTH)
 
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.count)), self.count)
@@ -106,11 +101,14 @@ class Words:
 
 
 def grams(h: np.ndarray, k: int, which: int = 0) -> np.ndarray:
-    """Hash of the k words from each place on (the last k-1 places hold less and are no window)."""
+    """Hash of the k words from each place on (the last k-1 places hold less and are no window).
+
+    The weights of the places are unrelated odd numbers, no powers of one base.
+    """
     out = np.zeros(len(h), U)
-    pw = powers(_BASES[1 - which], k)
+    weight = mix(np.arange(1, k + 1, dtype=U) * _PLACE + _SEEDS[1 - which]) | U(1)
     for j in range(min(k, len(h))):
-        out[:len(h) - j] += h[j:] * pw[j]
+        out[:len(h) - j] += h[j:] * weight[j]
     return mix(out)
 
 
