@@ -33,8 +33,8 @@ def _order_cols(df: DataFrame, order_by: Sequence[str], tie_break: bool) -> list
 
 
 def add_surrogate_key(df: DataFrame, order_by: Sequence[str], id_col: str, tie_break: bool = True,
-                      num_ranges: int | None = None, id_type: str = "int") -> DataFrame:
-    """Append ``id_col`` = row number (1-based) of each row in ascending ``order_by`` order (NULLs first)."""
+                      num_ranges: int | None = None, id_type: str = "int", start: int = 0) -> DataFrame:
+    """Append ``id_col`` = ``start`` + row number (1-based) of each row in ascending ``order_by`` order (NULLs first)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = _order_cols(df, order_by, tie_break)
@@ -46,7 +46,7 @@ def add_surrogate_key(df: DataFrame, order_by: Sequence[str], id_col: str, tie_b
     # are interchangeable, so which copy gets which id does not matter.
     src = df.checkpoint(eager=True).withColumn("_row", F.monotonically_increasing_id())
     ordered = _ranged_checkpoint(src, order + [F.col("_row").asc()], num_ranges)
-    return _number(ordered, df.columns, id_col, id_type)
+    return _number(ordered, df.columns, id_col, id_type, start)
 
 
 def _ranged_checkpoint(df: DataFrame, order: list[Column], num_ranges: int | None) -> DataFrame:
@@ -54,7 +54,7 @@ def _ranged_checkpoint(df: DataFrame, order: list[Column], num_ranges: int | Non
     return ranged.sortWithinPartitions(*order).checkpoint(eager=True)
 
 
-def _number(ordered: DataFrame, columns: list[str], id_col: str, id_type: str) -> DataFrame:
+def _number(ordered: DataFrame, columns: list[str], id_col: str, id_type: str, start: int) -> DataFrame:
     mid = F.monotonically_increasing_id()
     with_pos = ordered.select("*", F.shiftright(mid, _LOW_BITS).alias("_range"),
                               mid.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_pos"))
@@ -65,5 +65,5 @@ def _number(ordered: DataFrame, columns: list[str], id_col: str, id_type: str) -
               .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
               .checkpoint(eager=True))
     with_pos = with_pos.join(F.broadcast(starts), "_range")  # as many rows as the exchange has partitions
-    ids = (F.col("_start") + F.col("_pos") + F.lit(1)).cast(id_type)
+    ids = (F.col("_start") + F.col("_pos") + F.lit(1 + start)).cast(id_type)
     return with_pos.select(*[F.col(f"`{c}`") for c in columns], ids.alias(id_col))

@@ -32,6 +32,13 @@ TEMPERATURE_COUNTRY_COLUMNS = ["year", "country_name", "month", "temperature", "
                                "max_temperature", "country_code"]
 TEMPERATURE_US_STATE_COLUMNS = ["year", "state_name", "month", "temperature", "min_temperature",
                                 "max_temperature", "state_code"]
+# The order in which the rows of each dimension are numbered.
+KEY_ORDER = {
+    "economics_country": ["year", "country_name"],
+    "economics_us_state": ["year", "state_name", "month"],
+    "temperature_country": ["year", "country_name", "month"],
+    "temperature_us_state": ["year", "state_name", "month"],
+}
 TEMPERATURE_MEASURES = ["temperature", "min_temperature", "max_temperature"]
 
 
@@ -116,11 +123,16 @@ def economics_country_no_labels(pss: DataFrame, unemployment: DataFrame, populat
             .distinct())
 
 
-def economics_country(no_labels: DataFrame, country_labels: DataFrame) -> DataFrame:
+def economics_country_rows(no_labels: DataFrame, country_labels: DataFrame) -> DataFrame:
     j = label_join(no_labels, country_labels, "country_name", "country_name", "country_code",
                    how="inner", cast_code="int")
     j = drop_null_subset(j, ["country_code", "year"])  # codes that are no number, rows without a year
-    return add_surrogate_key(j.select(*ECONOMICS_COUNTRY_COLUMNS), ["year", "country_name"], "id_economics_country")
+    return j.select(*ECONOMICS_COUNTRY_COLUMNS)
+
+
+def economics_country(no_labels: DataFrame, country_labels: DataFrame) -> DataFrame:
+    rows = economics_country_rows(no_labels, country_labels)
+    return add_surrogate_key(rows, KEY_ORDER["economics_country"], "id_economics_country")
 
 
 # ----------------------------------------------------------------------------- economics by US state
@@ -133,10 +145,15 @@ def economics_us_state_no_labels(readings: DataFrame) -> DataFrame:
                       F.lower(F.col("State")).alias("state_name"), F.col("ut")).distinct()
 
 
-def economics_us_state(no_labels: DataFrame, state_labels: DataFrame) -> DataFrame:
+def economics_us_state_rows(no_labels: DataFrame, state_labels: DataFrame) -> DataFrame:
     j = label_join(no_labels, state_labels, "state_name", "state_name", "state_code", how="inner")
     j = drop_null_any(j.select(*ECONOMICS_US_STATE_COLUMNS))
-    return add_surrogate_key(j, ["year", "state_name", "month"], "id_economics_us_state")
+    return j
+
+
+def economics_us_state(no_labels: DataFrame, state_labels: DataFrame) -> DataFrame:
+    rows = economics_us_state_rows(no_labels, state_labels)
+    return add_surrogate_key(rows, KEY_ORDER["economics_us_state"], "id_economics_us_state")
 
 
 # ----------------------------------------------------------------------------- temperature
@@ -189,14 +206,24 @@ def temperature_us_state_no_labels(readings: DataFrame) -> DataFrame:
     return _temperature_no_labels(readings, us=True)
 
 
-def temperature_country(no_labels: DataFrame, country_labels: DataFrame) -> DataFrame:
+def temperature_country_rows(no_labels: DataFrame, country_labels: DataFrame) -> DataFrame:
     j = label_join(no_labels, country_labels, "country_name", "country_name", "country_code",
                    how="inner", cast_code="int")
     j = drop_null_any(j.select(*TEMPERATURE_COUNTRY_COLUMNS))
-    return add_surrogate_key(j, ["year", "country_name", "month"], "id_temperature_country")
+    return j
 
 
-def temperature_us_state(no_labels: DataFrame, state_labels: DataFrame) -> DataFrame:
+def temperature_country(no_labels: DataFrame, country_labels: DataFrame) -> DataFrame:
+    rows = temperature_country_rows(no_labels, country_labels)
+    return add_surrogate_key(rows, KEY_ORDER["temperature_country"], "id_temperature_country")
+
+
+def temperature_us_state_rows(no_labels: DataFrame, state_labels: DataFrame) -> DataFrame:
     j = label_join(no_labels, state_labels, "state_name", "state_name", "state_code", how="inner")
     j = drop_null_any(j.select(*TEMPERATURE_US_STATE_COLUMNS))
-    return add_surrogate_key(j, ["year", "state_name", "month"], "id_temperature_us_state")
+    return j
+
+
+def temperature_us_state(no_labels: DataFrame, state_labels: DataFrame) -> DataFrame:
+    rows = temperature_us_state_rows(no_labels, state_labels)
+    return add_surrogate_key(rows, KEY_ORDER["temperature_us_state"], "id_temperature_us_state")

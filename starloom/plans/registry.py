@@ -27,7 +27,7 @@ from . import analog as G
 from . import dims as D
 from .fact import FACT_COLUMNS, FACT_IDS, FACT_INT_COLUMNS, i94_fact
 from .oracle import with_ctes
-from .star import StarInputs, build_star, star_sums
+from .star import StarInputs, build_star, registry_of, star_sums
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -372,6 +372,44 @@ register("dim_country_month", with_ctes(["tc"], "SELECT * FROM tc"))(dim_tempera
 register("dim_country_year", with_ctes(["ec"], "SELECT * FROM ec"))(dim_economics_country)
 
 
+# the two dimensions of the refresh query: table, CTE, id column, name column, code column
+_REFRESHED = [("economics_us_state", "eus", "id_economics_us_state", "state_name", "state_code"),
+              ("temperature_country", "tc", "id_temperature_country", "country_name", "country_code")]
+
+
+@register("dim_refresh_stable_keys", with_ctes(["eus", "tc"], """,
+rows AS (""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, year, month, {name} AS name, CAST({code} AS VARCHAR) AS code FROM {c}"
+    for t, c, _, name, code in _REFRESHED) + """),
+known AS (SELECT *, year > (SELECT min(year(o_orderdate)) FROM orders) AS first_delivery FROM rows)
+SELECT table_name, year, month, name, code,
+       CAST(row_number() OVER (PARTITION BY table_name, first_delivery ORDER BY year, name, month)
+            + CASE WHEN first_delivery THEN 0
+                   ELSE (SELECT count(*) FROM known k WHERE k.table_name = known.table_name AND k.first_delivery) END AS INTEGER)
+           AS id FROM known""").replace("\n,\nrows AS", ",\nrows AS"))
+def q_dim_refresh_stable_keys(spark, d):
+    """Two deliveries of two dimensions: all but the earliest year, then everything.  The rows of the earliest year sort
+    first but get the last ids, and all others keep theirs."""
+    oc = G.shared_orders_customers(spark, d)
+    first_year = oc.agg(F.min(F.year("o_orderdate")).alias("y")).first()["y"]
+    late = oc.filter(F.year("o_orderdate") > F.lit(first_year))
+    base = scratch_path(spark, "refresh")
+    build = {"economics_us_state": lambda oc: D.economics_us_state_rows(
+                 D.economics_us_state_no_labels(G.unemployment_us_state(spark, d, oc)), G.state_labels(spark, d)),
+             "temperature_country": lambda oc: D.temperature_country_rows(
+                 D.temperature_country_no_labels(G.temperature(spark, d, oc)), G.country_labels(spark, d))}
+
+    def refresh(t: str, idc: str, name: str, code: str) -> DataFrame:
+        registry = registry_of(spark, base, t)
+        registry.assign(build[t](late), D.KEY_ORDER[t])
+        now = registry.assign(build[t](oc), D.KEY_ORDER[t])
+        return now.select(F.lit(t).alias("table_name"), "year", "month", F.col(name).alias("name"),
+                          F.col(code).cast("string").alias("code"), F.col(idc).alias("id"))
+
+    done = run_concurrently({t: (lambda t=t, i=i, n=n, c=c: refresh(t, i, n, c)) for t, _, i, n, c in _REFRESHED})
+    return A.union_all(list(done.values()))
+
+
 def _dims(spark, d, oc=None) -> dict[str, DataFrame]:
     """All four dimensions; with ``oc`` (orders x customer, materialised once) every source derives
     from it, and both temperature dimensions come from one scan of the readings."""
@@ -523,6 +561,44 @@ def q_stream_monthly_refresh(spark, d):
     return out.select(*FACT_COLUMNS, *FACT_IDS)
 
 
+@register("stream_delivery_ledger", with_ctes(["fact"], """,
+months AS (SELECT i94yr, i94mon, i94yr > (SELECT min(i94yr) FROM fact_src) AS late, bool_or(cicid % 2 = 0) AS half
+           FROM fact_src GROUP BY ALL),
+held AS (SELECT i94yr, i94mon, count(*) AS n, CAST(sum(CAST(cicid AS HUGEINT)) AS VARCHAR) AS cicid_sum,
+                count(id_economics_us_state) AS n_state FROM fact GROUP BY ALL)
+SELECT i94yr, i94mon, n AS n_rows, cicid_sum, n_state, CASE WHEN late THEN '10' ELSE '9' END AS delivery,
+       CASE WHEN late AND half THEN 1 ELSE 0 END::BIGINT AS n_ignored
+FROM months JOIN held USING (i94yr, i94mon)""").replace("\n,\nmonths AS", ",\nmonths AS"))
+def q_stream_delivery_ledger(spark, d):
+    """Deliveries out of order over three runs: 10 (all years but the first), then the older 9 (every year, the later ones with
+    half of their rows only), then 10 again from a lost checkpoint.  Per month: what the fact holds, and what the ledger says."""
+    from ..streaming.ledger import APPLIED, IGNORED
+    from ..streaming.refresh import run_monthly_refresh
+    star = _star_dims(spark, d)
+    src = G.fact_source(spark, d)
+    base = scratch_path(spark, "ledger")
+    first = T(spark, d, "orders").agg(F.min(F.year("o_orderdate")).alias("y")).first()["y"]
+    late = F.col("I94YR") > F.lit(float(first))
+
+    def run(name: str) -> None:
+        run_monthly_refresh(spark, f"{base}/incoming", src.schema, star, f"{base}/I94s.parquet", f"{base}/{name}",
+                            ledger_path=f"{base}/ledger")
+
+    src.filter(late).write.parquet(f"{base}/incoming/delivery=10")
+    run("checkpoint")
+    src.filter(~late | (F.col("CICID") % 2 == 0)).write.parquet(f"{base}/incoming/delivery=9")
+    run("checkpoint")
+    run("new-checkpoint")
+    fact = spark.read.parquet(f"{base}/I94s.parquet").groupBy("i94yr", "i94mon").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("cicid").cast("decimal(38,0)")).cast("string").alias("cicid_sum"),
+        F.count("id_economics_us_state").alias("n_state"))
+    ledger = spark.read.parquet(f"{base}/ledger").groupBy("ledger_year", "ledger_month").agg(
+        F.max(F.when(F.col("status") == APPLIED, F.col("delivery"))).alias("delivery"),
+        F.countDistinct(F.when(F.col("status") == IGNORED, F.col("delivery"))).alias("n_ignored"))
+    return (fact.join(ledger, (F.col("i94yr") == F.col("ledger_year")) & (F.col("i94mon") == F.col("ledger_month")))
+            .select("i94yr", "i94mon", "n_rows", "cicid_sum", "n_state", "delivery", "n_ignored"))
+
+
 def star_inputs_from_files(spark: SparkSession, d: str) -> StarInputs:
     """Write the analog sources as the files the builder reads (CSV, label text, fact source), then read them."""
     base = scratch_path(spark, "sources")

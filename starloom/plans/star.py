@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregates import union_all
+from ..operators.key_registry import KeyRegistry, upsert
+from ..operators.keys import add_surrogate_key
 from ..session import run_concurrently
 from ..sources.files import read_partitioned, refresh_partitions, write_partitioned
 from ..sources.labels import label_table
@@ -30,6 +32,13 @@ ID_COLUMNS = {
     "temperature_country": "id_temperature_country",
     "temperature_us_state": "id_temperature_us_state",
 }
+# Natural keys the fact looks each dimension up by.
+NATURAL_KEYS = {
+    "economics_country": ["year", "country_code"],
+    "economics_us_state": ["year", "month", "state_code"],
+    "temperature_country": ["year", "month", "country_code"],
+    "temperature_us_state": ["year", "month", "state_code"],
+}
 # Label sections of the label file used for countries and for US states.
 COUNTRY_SECTION = "i94cntyl"
 STATE_SECTION = "i94addrl"
@@ -47,7 +56,8 @@ class StarInputs:
     series: Mapping[str, str] = field(default_factory=dict)
 
 
-def build_dimensions(inp: StarInputs) -> dict[str, DataFrame]:
+def build_dimension_rows(inp: StarInputs) -> dict[str, DataFrame]:
+    """The rows of the four dimensions, before they have ids (nothing but the shared parts runs)."""
     labels = run_concurrently({
         "country": lambda: label_table(inp.label_lines, COUNTRY_SECTION, "country_code", "country_name"),
         "state": lambda: label_table(inp.label_lines, STATE_SECTION, "state_code", "state_name")})
@@ -55,17 +65,22 @@ def build_dimensions(inp: StarInputs) -> dict[str, DataFrame]:
     # the daily temperature readings are scanned once for both temperature dimensions
     temp_country, temp_state = D.split_temperature_monthly(D.temperature_monthly(inp.temperature))
     return run_concurrently({
-        "economics_country": lambda: D.economics_country(D.economics_country_no_labels(
+        "economics_country": lambda: D.economics_country_rows(D.economics_country_no_labels(
             D.political_stability_long(inp.political_stability), D.unemployment_long(inp.unemployment_country,
                                                                                      inp.series),
             D.population_share(inp.population)), country_labels),
-        "economics_us_state": lambda: D.economics_us_state(
+        "economics_us_state": lambda: D.economics_us_state_rows(
             D.economics_us_state_no_labels(inp.unemployment_us_state), state_labels),
-        "temperature_country": lambda: D.temperature_country(temp_country, country_labels),
-        "temperature_us_state": lambda: D.temperature_us_state(temp_state, state_labels),
+        "temperature_country": lambda: D.temperature_country_rows(temp_country, country_labels),
+        "temperature_us_state": lambda: D.temperature_us_state_rows(temp_state, state_labels),
     })
 
 
+def build_dimensions(inp: StarInputs) -> dict[str, DataFrame]:
+    rows = build_dimension_rows(inp)
+    return run_concurrently({n: (lambda n=n: add_surrogate_key(rows[n], D.KEY_ORDER[n], ID_COLUMNS[n])) for n in rows})
+
+
 def _read_back(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     # pin the written schema so partition columns keep their types, and restore column order
     return read_partitioned(spark, path, columns=df.columns, schema=df.schema)
@@ -106,6 +121,36 @@ def build_star(spark: SparkSession, inp: StarInputs, base_path: str, mode: str =
                       max_records_per_file=max_records_per_file)
 
 
+def registry_of(spark: SparkSession, base_path: str, name: str) -> KeyRegistry:
+    """The key registry of one dimension of the star stored under ``base_path``."""
+    return KeyRegistry(spark, f"{base_path.rstrip('/')}/_keys/{name}", NATURAL_KEYS[name], ID_COLUMNS[name])
+
+
+def refresh_dimensions(spark: SparkSession, inp: StarInputs, base_path: str) -> dict[str, DataFrame]:
+    """Dimensions refreshed from new sources with stable ids; returns them as stored.
+
+    Rows are matched by natural key: known ones keep their id and take the new values, new ones get ids after the largest so
+    far, and rows that the sources no longer hold stay, as facts may point at them.  A star without a registry (built
+    before there was one) seeds it from its stored dimensions.  The merged rows are checkpointed before a table is
+    overwritten; a run that dies meanwhile is repeated and hands out the same ids.
+    """
+    base = base_path.rstrip("/")
+    rows = build_dimension_rows(inp)
+
+    def refresh(name: str) -> DataFrame:
+        path, registry = f"{base}/{name}.parquet", registry_of(spark, base, name)
+        columns = T.StructType([*rows[name].schema.fields, T.StructField(ID_COLUMNS[name], T.IntegerType())])
+        stored = read_partitioned(spark, path, columns=columns.fieldNames(), schema=columns)
+        if registry.read() is None:
+            registry.seed(stored)
+        new = registry.assign(rows[name], D.KEY_ORDER[name])
+        merged = upsert(stored, new, NATURAL_KEYS[name]).checkpoint(eager=True)
+        write_partitioned(merged, path, PARTITIONS[name], mode="overwrite", colocate=True)
+        return _read_back(spark, merged, path)
+
+    return run_concurrently({name: (lambda name=name: refresh(name)) for name in rows})
+
+
 def refresh_fact_month(spark: SparkSession, inp: StarInputs, base_path: str, int_type: str = "int") -> DataFrame:
     """Monthly refresh of the fact: rebuild from a new month's source and overwrite only that
     month's partitions, against the dimensions already stored under ``base_path``.  Returns the whole fact with
@@ -119,15 +164,6 @@ def refresh_fact_month(spark: SparkSession, inp: StarInputs, base_path: str, int
     return _read_back(spark, fact, f"{base}/I94s.parquet")
 
 
-# Natural keys the fact looks each dimension up by.
-NATURAL_KEYS = {
-    "economics_country": ["year", "country_code"],
-    "economics_us_state": ["year", "month", "state_code"],
-    "temperature_country": ["year", "month", "country_code"],
-    "temperature_us_state": ["year", "month", "state_code"],
-}
-
-
 def star_quality(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The quality checks of a stored star, as DataFrames (nothing runs until they are used).
 

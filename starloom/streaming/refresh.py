@@ -23,12 +23,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import lenient_cast
 from ..plans.fact import i94_fact
+from ..session import ensure_checkpoint_dir
 from ..sources.files import refresh_partitions
+from .ledger import DeliveryLedger
 
 FACT_PARTITIONS = ["i94yr", "i94mon"]
 _DELIVERY = "_delivery"
 _LOOSE = "_loose"  # path of a file outside a delivery folder
+_FILE = "_file"
+_LEDGER_KEYS = ["ledger_year", "ledger_month"]
+
+
+def _file_name():
+    """Name and size: what tells whether a delivery holds the same files, wherever its folder lies."""
+    return F.concat_ws(" ", F.col("_metadata.file_name"), F.col("_metadata.file_size").cast("string"))
 
 
 def check_loose_files(batch: DataFrame, columns: Sequence[str]) -> None:
@@ -52,12 +62,42 @@ def latest_delivery(batch: DataFrame, columns: Sequence[str]) -> DataFrame:
     return batch.join(last, same, "left_semi").select(*[f"`{c}`" for c in columns])
 
 
+def _month_columns(columns: Sequence[str]) -> list:
+    """Year and month as the numbers of the fact's partitions."""
+    names = {c.lower(): c for c in columns}
+    return [lenient_cast(F.col(f"`{names[c]}`"), "bigint").alias(k) for c, k in zip(FACT_PARTITIONS, _LEDGER_KEYS)]
+
+
+def _delivery_name(folders: Sequence[str]):
+    """The folder's value, or the file's name outside a folder."""
+    inside = F.col(f"{_DELIVERY}.`{folders[0]}`").cast("string") if folders else F.lit(None).cast("string")
+    return F.coalesce(inside, F.col(f"{_DELIVERY}.{_LOOSE}"))
+
+
+def _decide(ledger: DeliveryLedger, batch: DataFrame, columns: Sequence[str], folders: Sequence[str], batch_id: int) -> DataFrame:
+    rows = batch.select(*_month_columns(columns), _delivery_name(folders).alias("_name"), _FILE)
+    return ledger.decide(rows, F.col("_name"), F.col(_FILE), batch_id)
+
+
+def _undecided(batch: DataFrame, columns: Sequence[str], folders: Sequence[str], decided: DataFrame) -> DataFrame:
+    """The rows whose month and delivery the ledger says to apply."""
+    todo = decided.filter(F.col("status").isNull()).select(*[F.col(k).alias(f"_d_{k}") for k in _LEDGER_KEYS],
+                                                           F.col("delivery").alias("_d_name"))
+    same = _delivery_name(folders).eqNullSafe(F.col("_d_name"))
+    for month, k in zip(_month_columns(columns), _LEDGER_KEYS):
+        same = same & month.eqNullSafe(F.col(f"_d_{k}"))
+    return batch.join(todo, same, "left_semi")
+
+
 def run_monthly_refresh(spark: SparkSession, source_dir: str, source_schema: T.StructType,
                         dims: Mapping[str, DataFrame], fact_path: str, checkpoint_location: str,
                         source_format: str = "parquet", int_type: str = "int",
-                        timeout_sec: float | None = None) -> None:
+                        timeout_sec: float | None = None, ledger_path: str | None = None, older: str = "ignore") -> None:
     """Process every delivery not yet seen under ``source_dir`` and stop (``availableNow``).
 
+    ``ledger_path`` names the stored ledger of deliveries; ``older`` says whether an older delivery than the applied one is
+    ignored (and noted) or refused (``DeliveryConflict``, before anything is written).
+
     Raises ``TimeoutError`` when ``timeout_sec`` passes before all is processed (the stream is stopped; the next
     call goes on from its checkpoint).
     """
@@ -68,13 +108,25 @@ def run_monthly_refresh(spark: SparkSession, source_dir: str, source_schema: T.S
     for c in folders:
         inside = inside | F.col(f"`{c}`").isNotNull()
     delivery = F.struct(*[f"`{c}`" for c in folders], F.when(~inside, F.col("_metadata.file_path")).alias(_LOOSE))
-    stream = files.select(*source_schema.fieldNames(), delivery.alias(_DELIVERY))
+    stream = files.select(*source_schema.fieldNames(), delivery.alias(_DELIVERY), _file_name().alias(_FILE))
+    ledger = DeliveryLedger(spark, ledger_path, _LEDGER_KEYS, older) if ledger_path else None
+    if ledger is not None and len(folders) > 1:
+        raise ValueError(f"a ledger orders deliveries by one folder name, found {folders}")
+    ensure_checkpoint_dir(spark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         check_loose_files(batch, source_schema.fieldNames())
-        fact = i94_fact(latest_delivery(batch, source_schema.fieldNames()), dims["economics_country"], dims["economics_us_state"],
+        names = source_schema.fieldNames()
+        decided = None
+        if ledger is not None:
+            decided = _decide(ledger, batch, names, folders, batch_id).checkpoint(eager=True)  # a few rows per month
+            ledger.check(decided)
+            batch = _undecided(batch, names, folders, decided)
+        fact = i94_fact(latest_delivery(batch, names), dims["economics_country"], dims["economics_us_state"],
                         dims["temperature_country"], dims["temperature_us_state"], int_type=int_type)
         refresh_partitions(fact, fact_path, FACT_PARTITIONS, rebalance=True)
+        if decided is not None:
+            ledger.note(decided)
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_location)
