@@ -27,7 +27,7 @@ from . import analog as G
 from . import dims as D
 from .fact import FACT_COLUMNS, FACT_IDS, FACT_INT_COLUMNS, i94_fact
 from .oracle import with_ctes
-from .star import StarInputs, build_star, registry_of, star_sums
+from .star import StarInputs, WriteReport, build_star, registry_of, star_sums, store_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -641,6 +641,26 @@ def _sums_sql(table: str, cte: str, n_columns: int, numbers: list[str]) -> str:
             f"CAST(coalesce(sum({value_sum}), 0) AS VARCHAR) AS value_sum FROM {cte}")
 
 
+_WRITE_CHECKS = " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, unnest(['n_rows', 'n_ids', 'max_id', 'min_id', 'id_sum']) AS check_name,
+       unnest([count(*), count({i}), max({i}), min({i}), CAST(sum({i}) AS BIGINT)]) AS value,
+       unnest([NULL, count(*), count(*), 1, count(*) * (count(*) + 1) // 2]) AS expected FROM {c}""" for t, c, i in _PK_PARTS)
+
+
+@register("star_write_checks", with_ctes(["fact"], f"""SELECT table_name, check_name, value::BIGINT AS value, expected::BIGINT AS expected
+FROM ({_WRITE_CHECKS} UNION ALL
+SELECT 'I94s', unnest(['n_rows', {", ".join(f"'matched_{i}'" for _, _, i in _PK_PARTS)}, 'matched_all']),
+       unnest([count(*), {", ".join(f"count({i})" for _, _, i in _PK_PARTS)},
+               CAST(count_if({" AND ".join(f"{i} IS NOT NULL" for _, _, i in _PK_PARTS)}) AS BIGINT)]),
+       unnest([NULL::BIGINT, NULL, NULL, NULL, NULL, NULL]) FROM fact)"""))
+def q_star_write_checks(spark, d):
+    """Key and row-count checks of a stored star, measured on the rows while they are written."""
+    report = WriteReport()
+    oc = G.shared_orders_customers(spark, d)
+    store_star(spark, _dims(spark, d, oc), G.fact_source(spark, d, oc), scratch_path(spark, "checked"), report=report)
+    return report.frame(spark)
+
+
 @register("star_build", with_ctes(["fact"], "\nUNION ALL\n".join(_sums_sql(*t) for t in _STAR_NUMBERS)))
 def q_star_build(spark, d):
     stored = build_star(spark, star_inputs_from_files(spark, d), scratch_path(spark, "star"))

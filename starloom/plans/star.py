@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Mapping
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,21 +86,76 @@ def _read_back(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return read_partitioned(spark, path, columns=df.columns, schema=df.schema)
 
 
+def _watched(name: str) -> dict:
+    """The checks of a table as aggregates over its rows while they are written."""
+    out = {"n_rows": F.count(F.lit(1))}
+    ids = [ID_COLUMNS[name]] if name in ID_COLUMNS else list(ID_COLUMNS.values())
+    for i in ids:
+        out[f"{i}_count"] = F.count(i)
+    if name in ID_COLUMNS:
+        out |= {"min_id": F.min(ids[0]), "max_id": F.max(ids[0]), "id_sum": F.sum(F.col(ids[0]).cast("decimal(38,0)"))}
+    else:
+        matched = F.lit(True)
+        for i in ids:
+            matched = matched & F.col(i).isNotNull()
+        out["n_matched"] = F.count_if(matched)
+    return out
+
+
+@dataclass
+class WriteReport:
+    """What was measured while a star was written: per table its row count and id counts, and what follows from them."""
+
+    tables: dict[str, dict] = field(default_factory=dict)
+
+    def rows(self) -> list[tuple]:
+        """(table_name, check_name, value, expected or None): counts, and per dimension whether its ids are dense.
+
+        Ids that are 1..n have the largest id n, the least 1, no NULL and the sum n (n + 1) / 2.
+        """
+        out = []
+        for name, m in sorted(self.tables.items()):
+            out.append((name, "n_rows", m["n_rows"], None))
+            if name in ID_COLUMNS:
+                n, i = m["n_rows"], ID_COLUMNS[name]
+                out += [(name, "n_ids", m[f"{i}_count"], n), (name, "max_id", m["max_id"] or 0, n),
+                        (name, "min_id", m["min_id"] or 0, min(n, 1)), (name, "id_sum", int(m["id_sum"] or 0), n * (n + 1) // 2)]
+            else:
+                out += [(name, f"matched_{i}", m[f"{i}_count"], None) for i in ID_COLUMNS.values()]
+                out.append((name, "matched_all", m["n_matched"], None))
+        return out
+
+    def failures(self) -> list[tuple]:
+        return [r for r in self.rows() if r[3] is not None and r[2] != r[3]]
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows(), "table_name string, check_name string, value bigint, expected bigint")
+
+
 def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source: DataFrame, base_path: str,
                mode: str = "errorifexists", int_type: str = "int",
-               max_records_per_file: int | None = None) -> dict[str, DataFrame]:
+               max_records_per_file: int | None = None, report: WriteReport | None = None,
+               partitions: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
     """Write the four dimensions, read them back, build the fact from the stored ids, write it.
 
     Writing the dimensions first means the ids the fact refers to are exactly the stored ones
     (a lineage recomputation can never hand the fact different ids).  Returns the five tables
     as read back from ``base_path`` (the fact under ``"I94s"``).  A natural key held by two rows of a
-    stored dimension would multiply fact rows: it raises ``ValueError`` before the fact is built.
+    stored dimension would multiply fact rows: it raises ``ValueError`` before the fact is built.  The key and row-count
+    checks are measured on the rows while they are written and put into ``report``.  ``partitions`` gives a table other
+    partition columns than ``PARTITIONS`` (readers find them by the folders); the fact keeps its months, which the refresh replaces.
     """
     base = base_path.rstrip("/")
+    layout = {**PARTITIONS, **(partitions or {})}
+    if layout["I94s"] != PARTITIONS["I94s"] or set(layout) != set(PARTITIONS):
+        raise ValueError(f"partitions: only the dimensions' {sorted(ID_COLUMNS)} can be laid out otherwise")
+    report = WriteReport() if report is None else report
+    for name in PARTITIONS:
+        report.tables[name] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/{name}.parquet"
-        write_partitioned(df, path, PARTITIONS[name], mode=mode, colocate=True)
+        write_partitioned(df, path, layout[name], mode=mode, colocate=True, observe=_watched(name), observed=report.tables[name])
         return _read_back(spark, df, path)
 
     stored = run_concurrently({name: (lambda name=name, df=df: store(name, df)) for name, df in dims.items()})
@@ -109,16 +164,20 @@ def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source:
                     check_natural_keys=True)
     path = f"{base}/I94s.parquet"
     write_partitioned(fact, path, PARTITIONS["I94s"], mode=mode, max_records_per_file=max_records_per_file,
-                      rebalance=True)
+                      rebalance=True, observe=_watched("I94s"), observed=report.tables["I94s"])
     stored["I94s"] = _read_back(spark, fact, path)
     return stored
 
 
 def build_star(spark: SparkSession, inp: StarInputs, base_path: str, mode: str = "errorifexists",
-               int_type: str = "int", max_records_per_file: int | None = None) -> dict[str, DataFrame]:
+               int_type: str = "int", max_records_per_file: int | None = None, report: WriteReport | None = None,
+               partitions: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
     """The whole build from source frames: dimensions, then the fact against the stored dimensions."""
-    return store_star(spark, build_dimensions(inp), inp.fact_source, base_path, mode=mode, int_type=int_type,
-                      max_records_per_file=max_records_per_file)
+    stored = store_star(spark, build_dimensions(inp), inp.fact_source, base_path, mode=mode, int_type=int_type,
+                        max_records_per_file=max_records_per_file, report=report, partitions=partitions)
+    # a new build numbers anew: its registries (if a refresh made some) start from its own ids
+    run_concurrently({n: (lambda n=n: registry_of(spark, base_path, n).seed(stored[n])) for n in ID_COLUMNS})
+    return stored
 
 
 def registry_of(spark: SparkSession, base_path: str, name: str) -> KeyRegistry:
@@ -126,7 +185,8 @@ def registry_of(spark: SparkSession, base_path: str, name: str) -> KeyRegistry:
     return KeyRegistry(spark, f"{base_path.rstrip('/')}/_keys/{name}", NATURAL_KEYS[name], ID_COLUMNS[name])
 
 
-def refresh_dimensions(spark: SparkSession, inp: StarInputs, base_path: str) -> dict[str, DataFrame]:
+def refresh_dimensions(spark: SparkSession, inp: StarInputs, base_path: str,
+                       partitions: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
     """Dimensions refreshed from new sources with stable ids; returns them as stored.
 
     Rows are matched by natural key: known ones keep their id and take the new values, new ones get ids after the largest so
@@ -145,7 +205,7 @@ def refresh_dimensions(spark: SparkSession, inp: StarInputs, base_path: str) ->
             registry.seed(stored)
         new = registry.assign(rows[name], D.KEY_ORDER[name])
         merged = upsert(stored, new, NATURAL_KEYS[name]).checkpoint(eager=True)
-        write_partitioned(merged, path, PARTITIONS[name], mode="overwrite", colocate=True)
+        write_partitioned(merged, path, {**PARTITIONS, **(partitions or {})}[name], mode="overwrite", colocate=True)
         return _read_back(spark, merged, path)
 
     return run_concurrently({name: (lambda name=name: refresh(name)) for name in rows})

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,19 +50,27 @@ def _layout(df: DataFrame, partition_by: Sequence[str], colocate: bool, rebalanc
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists",
                       max_records_per_file: int | None = None, colocate: bool = False,
-                      rebalance: bool = False) -> str:
+                      rebalance: bool = False, observe: Mapping[str, Column] | None = None,
+                      observed: dict | None = None) -> str:
     """Write ``df`` as Parquet partitioned by ``partition_by``.
 
     The default mode fails when the target exists.  ``colocate=True`` hash-repartitions by the
     partition columns so each directory is written by one task (dimension tables).
     ``rebalance=True`` (fact tables) uses the ``rebalance`` hint: rows are grouped by directory and
     adaptive execution splits skewed directories across tasks.  ``max_records_per_file`` bounds
-    file sizes.
+    file sizes.  The aggregates ``observe`` (name -> column) are measured on the rows as they are written and put into
+    ``observed``: no further scan.
     """
+    watch = None
+    if observe:
+        watch = Observation()
+        df = df.observe(watch, *[c.alias(n) for n, c in observe.items()])
     w = _layout(df, partition_by, colocate, rebalance).write.mode(mode).partitionBy(*partition_by)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     w.parquet(path)
+    if watch is not None and observed is not None:
+        observed.update(watch.get)
     return path
 
 
