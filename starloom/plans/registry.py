@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.casts import cast_columns
 from ..functions.text import code_map_lookup, lower_names, month_name_to_int
 from ..operators import aggregates as A
+from ..operators import infer as I
 from ..operators import profile as P
 from ..operators import quality as Q
+from ..operators import sketches as S
 from ..operators.joins import label_join, union_distinct_keys
 from ..operators.keys import add_surrogate_key
 from ..operators.reshape import pivot_sum
@@ -726,3 +728,74 @@ def q_sparse_columns(spark, d):
 def q_drop_sparse_columns(spark, d):
     """The table without its sparse and its single-valued column."""
     return P.drop_sparse_columns(_sparse_orders(spark, d))
+
+
+@register("counts_and_examples", with_ctes(["sparse_orders"], "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, (count(*) - count({c})) / count(*) AS null_ratio,
+       (SELECT string_agg(coalesce(v, '(null)'), '|' ORDER BY v NULLS FIRST)
+        FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM sparse_orders ORDER BY v NULLS FIRST LIMIT 3)) AS examples FROM sparse_orders"""
+    for c in _PROFILE_COLS)))
+def q_counts_and_examples(spark, d):
+    """Counts and the first three values of every column in one pass."""
+    p = P.counts_and_examples(_sparse_orders(spark, d), k=3)
+    shown = F.array_join(F.transform("examples", lambda x: F.coalesce(x, F.lit("(null)"))), "|")
+    return p.withColumn("examples", shown)
+
+
+@register("profile_from_sketches", with_ctes(["sparse_orders"], """,
+kept AS (SELECT s.* FROM sparse_orders s JOIN orders o USING (o_orderkey)
+         WHERE year(o_orderdate) > (SELECT min(year(o_orderdate)) FROM orders))
+""".replace("kept AS", "kept AS") + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null,
+       (count(*) - count({c})) / count(*) AS null_ratio, true AS within_error FROM kept""" for c in _PROFILE_COLS))
+    .replace("\n,\nkept AS", ",\nkept AS"))
+def q_profile_from_sketches(spark, d):
+    """Summaries stored per month in two deliveries (a month of the first comes again), then the profile of all years but
+    the first from the summaries alone; its distinct counts lie within four standard errors of the exact ones."""
+    dates = T(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    rows = _sparse_orders(spark, d).join(dates, "o_orderkey")
+    path = scratch_path(spark, "summaries")
+    first_year = dates.agg(F.min("year").alias("y")).first()["y"]
+    half = F.col("month") <= 6
+    S.store_summaries(rows.filter(half), path, ["year", "month"], _PROFILE_COLS)
+    S.store_summaries(rows.filter(~half | (F.col("month") == 6)), path, ["year", "month"], _PROFILE_COLS)
+    got = S.profile_from_summaries(S.read_summaries(spark, path).filter(F.col("year") > F.lit(first_year)))
+    exact = P.profile_columns(rows.filter(F.col("year") > F.lit(first_year)), _PROFILE_COLS).select(
+        F.col("column_name").alias("c"), F.col("n_distinct").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact")) <= F.lit(4 * S.standard_error()) * F.col("exact")
+    return got.join(exact, F.col("column_name") == F.col("c")).select("column_name", "n_rows", "n_null", "null_ratio", off.alias("within_error"))
+
+
+# columns of the orders as text, and the SQL of the same text
+_TEXT_COLS = {"o_orderkey": "CAST(o_orderkey AS VARCHAR)", "o_totalprice": "CAST(o_totalprice AS VARCHAR)",
+              "o_orderdate": "strftime(o_orderdate, '%Y-%m-%d')", "o_orderpriority": "o_orderpriority",
+              "mixed": "CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE ' ' || CAST(o_custkey AS VARCHAR) || ' ' END",
+              "large": "CAST(o_orderkey * 100000000000 AS VARCHAR)", "blank": "CASE WHEN o_orderkey % 2 = 0 THEN '  ' END",
+              "flag": "CASE WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'false' END"}
+
+
+def _lost_sql(v: str) -> str:
+    number, day = f"regexp_matches({v}, '^[+-]?[0-9]+$')", f"regexp_matches({v}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')"
+    ok = {"boolean": f"lower({v}) IN ('true', 'false')", "int": f"{number} AND TRY_CAST({v} AS INTEGER) IS NOT NULL",
+          "bigint": f"{number} AND TRY_CAST({v} AS BIGINT) IS NOT NULL",
+          "double": f"regexp_matches({v}, '^[+-]?[0-9]+[.]?[0-9]*([eE][+-]?[0-9]+)?$')",
+          "date": f"{day} AND TRY_CAST({v} AS DATE) IS NOT NULL", "timestamp": f"{day} AND TRY_CAST({v} AS DATE) IS NOT NULL"}
+    return ", ".join(f"count(*) FILTER ({v} IS NOT NULL AND NOT ({ok[t]})) AS n_lost_{t}" for t in I.TYPES)
+
+
+@register("infer_types", "WITH t AS (SELECT " + ", ".join(f"nullif(trim({x}), '') AS {c}" for c, x in _TEXT_COLS.items())
+          + " FROM orders), c AS (" + " UNION ALL ".join(
+              f"SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_values, {_lost_sql(c)} FROM t" for c in _TEXT_COLS)
+          + ") SELECT column_name, n_rows, n_values, CASE WHEN n_values = 0 THEN 'string' "
+          + " ".join(f"WHEN n_lost_{t} = 0 THEN '{t}'" for t in I.TYPES) + " ELSE 'string' END AS inferred_type, "
+          + ", ".join(f"n_lost_{t}" for t in I.TYPES) + " FROM c")
+def q_infer_types(spark, d):
+    """Narrowest type of every text column, and what a cast to each type would lose, in one pass."""
+    o = T(spark, d, "orders")
+    key = F.col("o_orderkey")
+    text = o.select(key.cast("string").alias("o_orderkey"), F.col("o_totalprice").cast("string").alias("o_totalprice"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority",
+                    F.when(key % 3 == 0, F.col("o_orderpriority")).otherwise(F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" "))).alias("mixed"),
+                    (key * F.lit(100000000000)).cast("string").alias("large"), F.when(key % 2 == 0, F.lit("  ")).alias("blank"),
+                    F.when(key % 2 == 0, F.lit("TRUE")).otherwise(F.lit("false")).alias("flag"))
+    return I.infer_types(text)
