@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ._tables import store, words
 
 GROUP = 512
+COPIES = 64  # rows of one key that stay together
 BROADCAST_SOURCES = 100_000
 EPS = 1e-9
 
@@ -102,6 +103,33 @@ def _fly(land: bool):
     return run
 
 
+def spread(todo: DataFrame) -> DataFrame:
+    """Add ``chunk``: 0, but for rows whose key more than ``COPIES`` rows share (repeated rows) their rank by ``COPIES``.
+
+    Ranks come from counts per (key, part of the stored table), so no task sees all copies of a key; copies are alike, so which
+    of them has which rank does not matter, and reruns agree.
+    """
+    part = F.shiftright("row", 33)
+    per = todo.groupBy("key", part.alias("part")).agg(F.count(F.lit(1)).alias("c"))
+    many = per.groupBy("key").agg(F.sum("c").alias("all")).filter(F.col("all") > COPIES).select(F.col("key").alias("k2"))
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = store(per.join(many, F.col("key") == F.col("k2")).select(
+        F.col("key").alias("k3"), F.col("part").alias("p3"), F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base")), "mix-copies")
+    if base.limit(1).count() == 0:
+        return todo.withColumn("chunk", F.lit(0).cast("long"))
+    marked = todo.withColumn("part", part).join(base, (F.col("key") == F.col("k3")) & (F.col("part") == F.col("p3")), "left")
+    within = F.row_number().over(Window.partitionBy("key", "part").orderBy("row")) - 1
+    copies = marked.filter("base IS NOT NULL").withColumn("chunk", F.floor((F.col("base") + within) / COPIES))
+    single = marked.filter("base IS NULL").withColumn("chunk", F.lit(0).cast("long"))
+    return copies.unionByName(single).drop("k3", "p3", "part", "base")
+
+
+def in_blocks(todo: DataFrame, turn: int) -> DataFrame:
+    """Add ``block``: hash blocks of about ``GROUP`` rows of a source; copies of a row lie in several."""
+    h = F.when(F.col("chunk") == 0, F.xxhash64("key", F.lit(turn))).otherwise(F.xxhash64("key", F.lit(turn), "chunk"))
+    return todo.withColumn("block", F.pmod(h, F.ceil(F.col("n") / GROUP)))
+
+
 def mix(docs: DataFrame, keep: Sequence[str], text: str = "text", source: str = "source",
         key: Sequence[str] = ("doc_id",), weights: Sequence[int] = (5, 2, 1), most: int = 3) -> DataFrame:
     """Columns ``keep`` of ``docs`` with size, source_size, target and taken (words that the mix takes
@@ -123,13 +151,13 @@ def mix(docs: DataFrame, keep: Sequence[str], text: str = "text", source: str =
            .withColumn("p", F.greatest(ratio - F.col("whole"), F.lit(0.0))))
     todo = (doc.filter((F.col("size") > 0) & (F.col("p") > EPS))
             .select("row", F.xxhash64("key0", "sid").alias("key"), "sid", "size", "p", "n"))
+    todo = spread(todo)
     decided, turn = None, 0
     while True:
-        groups = F.ceil(F.col("n") / GROUP)
-        left = todo.withColumn("block", F.pmod(F.xxhash64("key", F.lit(turn)), groups))
+        left = in_blocks(todo, turn)
         most_left = 0 if turn == 0 else todo.agg(F.max("n")).first()[0]
         land = turn > 0 and (most_left or 0) <= GROUP
-        schema = "row long, key long, sid int, size long, p double, n long, block long"
+        schema = "row long, key long, sid int, size long, p double, n long, chunk long, block long"
         flown = store(left.groupBy("sid", "block").applyInPandas(_fly(land), schema), f"mix-flight{turn}")
         over = (F.col("p") < EPS) | (F.col("p") > 1 - EPS)
         part = flown.filter(over).select("row", F.round("p").cast("long").alias("extra"))
