@@ -22,10 +22,12 @@ columns are left out, whatever their names.  An empty table gives an empty table
 
 from __future__ import annotations
 
+import os
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,8 @@ from ._tables import scratch_table, store
 
 WIDTH = 2048
 END = 1
-CACHED = 1 << 18
+CACHED = 600_000  # chunks remembered by a task, about 130 MB
+SEGMENT = 1 << 20  # characters (or chunks of a longer text) encoded at a time
 FLUSH = 8 << 20
 
 _W = "\t-\r \x85\xa0  -     　"  # White_Space of Unicode
@@ -47,21 +50,52 @@ _CHUNK = re.compile(f" ?[{_L}]++(?=[,.;:!?)\"{_W}]|\\Z)| ?[^{_W}]+|[{_W}]+(?![^{
 
 
 class Ids(dict):
-    """Chunk -> its ids as little-endian 32-bit numbers, encoded when first met."""
+    """Chunk -> its ids as little-endian 32-bit numbers; chunks met for the first time are encoded together."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core only
         from tokenizers import Tokenizer
         super().__init__()
         self.encoder = Tokenizer.from_file(path)
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED:
+    def learn(self, chunks: Iterable[str]) -> None:
+        new = list(set(chunks).difference(self))
+        if len(self) + len(new) > CACHED:
             self.clear()
-        ids = self[chunk] = np.array(self.encoder.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        return ids
-
-    def text(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, _CHUNK.findall(text)))
+            new = list(set(chunks))
+        for c, e in zip(new, self.encoder.encode_batch_fast(new, add_special_tokens=False)):
+            self[c] = np.array(e.ids, "<u4").tobytes()
+
+    def texts(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of some texts, learning their chunks at once."""
+        chunks = [_CHUNK.findall(x) for x in texts]
+        self.learn([c for x in chunks for c in x])
+        return [b"".join(map(self.__getitem__, x)) for x in chunks]
+
+    def long_text(self, text: str) -> bytes:
+        """The same for a text whose chunks are not held all at once."""
+        out, found = [], (m[0] for m in _CHUNK.finditer(text))
+        while chunks := list(islice(found, SEGMENT)):
+            self.learn(chunks)
+            out.append(b"".join(map(self.__getitem__, chunks)))
+        return b"".join(out)
+
+
+def _encoded(encode: Ids, batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+    """(doc_id, ids) of the rows of a batch, some characters at a time."""
+    docs, texts, size = [], [], 0
+    for doc, text in zip(batch.column(0), batch.column(1)):
+        text = text.as_py() or ""
+        if len(text) > SEGMENT:
+            yield doc.as_py(), encode.long_text(text)
+            continue
+        docs.append(doc.as_py())
+        texts.append(text)
+        size += len(text)
+        if size > SEGMENT:
+            yield from zip(docs, encode.texts(texts))
+            docs, texts, size = [], [], 0
+    yield from zip(docs, encode.texts(texts))
 
 
 def tokenized(docs: DataFrame, tokenizer: str, width: int = WIDTH, end: int = END) -> DataFrame:
@@ -83,12 +117,12 @@ def tokenized(docs: DataFrame, tokenizer: str, width: int = WIDTH, end: int = EN
                                               names=["doc_id", "start", "length", "ids", "doc_tokens", "number", "task"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                ids = (encode.text(text.as_py()) if text.is_valid else b"") + tail
+            for doc, ids in _encoded(encode, batch):
+                ids += tail
                 n = len(ids) // 4
                 for a in range(0, n, width):
                     length = min(width, n - a)
-                    for c, v in zip(cols, (doc.as_py(), a, length, ids[4 * a:4 * (a + length)], n, met[length])):
+                    for c, v in zip(cols, (doc, a, length, ids[4 * a:4 * (a + length)], n, met[length])):
                         c.append(v)
                     met[length] += 1
                     held += 4 * length

@@ -74,14 +74,18 @@ AWKWARD = ["", " ", "  ", "a", " a", "a ", "don't  stop", "it's\n\nfine", "x\t\t
            "½ ² Ⅷ 3.14", "<|endoftext|> a<|endoftext|>b", "word." * 300, "\n" * 50 + "x", "end \n", "ā̊ł ŵord's", "'s 's's", "tab᠎here", "Ω!!! ??", "a_b-c d__e", "​zero"]
 
 
-def test_ids_are_the_tokenizers():
+def test_ids_are_the_tokenizers(monkeypatch):
     from tokenizers import Tokenizer
     t, ids = Tokenizer.from_file(_tokenizer()), packing.Ids(_tokenizer())
     rnd = random.Random(3)
     alphabet = list("ab Z.,'s\n\t  19_-éßā你😀½ \x1c\x85 \"!)(")
     texts = AWKWARD + ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 40))) for _ in range(3000)]
-    for x in texts:
-        assert np.frombuffer(ids.text(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
+    monkeypatch.setattr(packing, "CACHED", 500)
+    monkeypatch.setattr(packing, "SEGMENT", 7)
+    for k in range(0, len(texts), 50):
+        for x, got in zip(texts[k:k + 50], ids.texts(texts[k:k + 50])):
+            assert np.frombuffer(got, "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
+            assert ids.long_text(x) == got
 
 
 def check_rows(docs, got, width=2048):
