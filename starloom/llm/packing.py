@@ -39,7 +39,7 @@ from ._tables import scratch_table, store
 
 WIDTH = 2048
 END = 1
-CACHED = 600_000  # chunks remembered by a task, about 130 MB
+CACHED = 1_000_000  # chunks remembered by a worker process, about 220 MB
 SEGMENT = 1 << 20  # characters (or chunks of a longer text) encoded at a time
 FLUSH = 8 << 20
 
@@ -57,13 +57,26 @@ class Ids(dict):
         from tokenizers import Tokenizer
         super().__init__()
         self.encoder = Tokenizer.from_file(path)
+        (self.line,) = self.encoder.encode("\n", add_special_tokens=False).ids
 
     def learn(self, chunks: Iterable[str]) -> None:
-        new = list(set(chunks).difference(self))
+        """Encode the new chunks in one text, a line each: a line feed between visible characters is a token by itself."""
+        new = set(chunks).difference(self)
         if len(self) + len(new) > CACHED:
             self.clear()
-            new = list(set(chunks))
-        for c, e in zip(new, self.encoder.encode_batch_fast(new, add_special_tokens=False)):
+            new = set(chunks)
+        plain = [c for c in new if c[-1].isprintable() and c[-1] != " " and c[c[0] == " "].isprintable()]
+        text = "\n".join(plain)
+        ids = np.array(self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        edge = np.flatnonzero(ids == self.line)
+        if plain and len(edge) == len(plain) - 1:
+            raw, at = ids.tobytes(), 0
+            for c, e in zip(plain, [*edge.tolist(), len(ids)]):
+                self[c] = raw[4 * at:4 * e]
+                at = e + 1
+            new.difference_update(plain)
+        rest = list(new)  # white space, unusual first or last characters
+        for c, e in zip(rest, self.encoder.encode_batch_fast(rest, add_special_tokens=False)):
             self[c] = np.array(e.ids, "<u4").tobytes()
 
     def texts(self, texts: Sequence[str]) -> list[bytes]:
@@ -81,6 +94,16 @@ class Ids(dict):
         return b"".join(out)
 
 
+_KEPT: dict[str, Ids] = {}
+
+
+def ids_of(path: str) -> Ids:
+    """The chunks that this worker process remembers, from earlier tasks as well."""
+    if path not in _KEPT:
+        _KEPT[path] = Ids(path)
+    return _KEPT[path]
+
+
 def _encoded(encode: Ids, batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
     """(doc_id, ids) of the rows of a batch, some characters at a time."""
     docs, texts, size = [], [], 0
@@ -103,7 +126,7 @@ def tokenized(docs: DataFrame, tokenizer: str, width: int = WIDTH, end: int = EN
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, met = Ids(tokenizer), defaultdict(int)
+        encode, met = ids_of(tokenizer), defaultdict(int)
         task = TaskContext.get().partitionId()
         cols: list[list] = [[] for _ in range(6)]
         held = 0
