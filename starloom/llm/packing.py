@@ -39,7 +39,7 @@ from ._tables import scratch_table, store
 
 WIDTH = 2048
 END = 1
-CACHED = 1_000_000  # chunks remembered by a worker process, about 220 MB
+CACHED = 1_500_000  # chunks remembered by a worker process, about 330 MB
 SEGMENT = 1 << 20  # characters (or chunks of a longer text) encoded at a time
 FLUSH = 8 << 20
 
@@ -82,7 +82,7 @@ class Ids(dict):
     def texts(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of some texts, learning their chunks at once."""
         chunks = [_CHUNK.findall(x) for x in texts]
-        self.learn([c for x in chunks for c in x])
+        self.learn(set().union(*chunks))
         return [b"".join(map(self.__getitem__, x)) for x in chunks]
 
     def long_text(self, text: str) -> bytes:
