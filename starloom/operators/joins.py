@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +87,54 @@ def outer_chain(keys: DataFrame, key_cols: Sequence[str], parts: Sequence[tuple[
     return out.select(*[F.col(k) for k in key_cols], *[F.col(m) for m in measures])
 
 
+def outer_union(parts: Sequence[tuple[DataFrame, Sequence[str]]], key_cols: Sequence[str],
+                measures: Sequence[str]) -> DataFrame:
+    """The rows of ``outer_chain(keys, key_cols, parts, measures, "full")`` with ``keys`` the distinct keys of all parts,
+    from one grouping of a tagged union instead of a key set and a join per part.
+
+    A key that each part holds at most once is one row of the grouping.  Keys that some part repeats (seen by
+    their counts, in the same grouping) fan out as the joins do, to the product of their rows: only these go through
+    ``outer_chain``, so no group is ever collected.  A row with a NULL in its key matches nothing: it is kept with NULL keys, and its key
+    is a row without measures.  Each measure belongs to one part.  The grouping is checkpointed, as two results read it.
+    """
+    owner: dict[str, int] = {}
+    for i, (frame, _) in enumerate(parts):
+        for m in measures:
+            if m in frame.columns and owner.setdefault(m, i) != i:
+                raise ValueError(f"measure {m} is in two parts")
+    if missing := [m for m in measures if m not in owner]:
+        raise ValueError(f"measures in no part: {missing}")
+    types = {m: parts[i][0].schema[m].dataType for m, i in owner.items()}
+    tagged, alone = None, None
+    for i, (frame, fkeys) in enumerate(parts):
+        keys = [F.col(f"`{f}`").alias(k) for f, k in zip(fkeys, key_cols)]
+        values = [(F.col(f"`{m}`") if owner[m] == i else F.lit(None).cast(types[m])).alias(m) for m in measures]
+        rows = frame.select(*keys, *values, F.lit(i).alias("_tag"))
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+    no_match = F.lit(False)
+    for k in key_cols:
+        no_match = no_match | F.col(k).isNull()
+    # measures of rows that match nothing leave the grouping here and come back as rows of their own
+    alone = tagged.filter(no_match).select(*[F.lit(None).cast(tagged.schema[k].dataType).alias(k) for k in key_cols], *measures)
+    ensure_checkpoint_dir(tagged.sparkSession)
+    grouped = (tagged.groupBy(*key_cols)
+               .agg(*[F.first(F.when(~no_match, F.col(m)), ignorenulls=True).alias(m) for m in measures],
+                    *[F.count(F.when((F.col("_tag") == i) & ~no_match, 1)).alias(f"_n{i}") for i in range(len(parts))])
+               .withColumn("_repeats", F.greatest(F.lit(0), *[F.col(f"_n{i}") for i in range(len(parts))]) > 1)
+               .drop(*[f"_n{i}" for i in range(len(parts))]).checkpoint(eager=True))
+    columns = [F.col(c) for c in [*key_cols, *measures]]
+    out = grouped.filter(~F.col("_repeats")).select(*columns).unionByName(alone)
+    repeated = grouped.filter("_repeats").select(*key_cols)
+    if repeated.limit(1).count():
+        some = []
+        for i, (frame, fkeys) in enumerate(parts):
+            held = repeated.toDF(*[f"_r{j}" for j in range(len(key_cols))])
+            cond = [F.col(f"`{f}`") == F.col(f"_r{j}") for j, f in enumerate(fkeys)]
+            some.append((frame.join(held, cond, "left_semi"), fkeys))
+        out = out.unionByName(outer_chain(repeated, key_cols, some, measures, "full"))
+    return out
+
+
 def label_join(df: DataFrame, labels: DataFrame, name_col: str, label_name_col: str, code_col: str,
                how: str = "inner", cast_code: str | None = None,
                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -105,14 +154,69 @@ def label_join(df: DataFrame, labels: DataFrame, name_col: str, label_name_col:
     return out.withColumn(code_col, code).drop("_lcode")
 
 
+# Most parts that the rows of one hot key are dealt to in a shuffled lookup; a key is hot from 2 / SPLITS of the rows on.
+SPLITS = 1024
+_TRACKED = 16 * SPLITS  # items the sketch follows, per task and lookup
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
+                        if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+
+
+def hot_keys(fact: DataFrame, keys: Sequence[Sequence[str]], splits: int = SPLITS) -> list[tuple[list[int], int]]:
+    """Per list of key columns: the hashes of the keys that hold more than 2 / ``splits`` of the rows, and the number of parts
+    that gives the largest of them parts of 1 / ``splits`` of the rows.
+
+    One scan with a mergeable sketch of frequent items per list; at most ``splits`` / 2 hashes each reach the driver.
+    The sketch's counts may be too large by a sixteenth of that bound, which only splits a key without need.
+    """
+    if not keys:
+        return []
+    held = [F.xxhash64(*[F.col(f"`{c}`") for c in cols]) for cols in keys]
+    for i, cols in enumerate(keys):
+        for c in cols:  # a key with a NULL matches nothing and is dealt by its row
+            held[i] = F.when(F.col(f"`{c}`").isNotNull(), held[i])
+    row = fact.select(*[h.alias(f"_h{i}") for i, h in enumerate(held)]).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.expr(f"approx_top_k(_h{i}, {splits}, {max(_TRACKED, splits)})").alias(f"t{i}") for i in range(len(keys))]).first()
+    fair = max(1, row["n"] / splits)
+    out = []
+    for i in range(len(keys)):
+        hot = [(x["item"], x["count"]) for x in row[f"t{i}"] or [] if x["item"] is not None and x["count"] > 2 * fair]
+        out.append(([h for h, _ in hot], min(splits, math.ceil(max((c for _, c in hot), default=1) / fair))))
+    return out
+
+
+def split_lookup(fact: DataFrame, side: DataFrame, fact_keys: Sequence[str], side_keys: Sequence[str],
+                 hot: Sequence[int], parts: int, splits: int = SPLITS) -> DataFrame:
+    """Left join by a shuffle in which no key fills a task: the rows of hot keys are dealt to ``parts`` parts by the hash of the
+    whole row, the side's rows of these keys are sent to every part; rows with a NULL in the key match nothing and are dealt to
+    ``splits`` parts.  One scan and one exchange of the fact.  A part is chosen from the row's values alone, so a
+    repeated task sends each row where it went before (equal rows stay together)."""
+    none = F.lit(False)
+    for c in fact_keys:
+        none = none | F.col(f"`{c}`").isNull()
+    is_hot = lambda cols: F.xxhash64(*[F.col(f"`{c}`") for c in cols]).isin(list(hot)) if hot else F.lit(False)
+    deal = _row_hash(fact)
+    left = fact.withColumn("_part", F.when(none, F.pmod(deal, F.lit(splits)))
+                           .when(is_hot(fact_keys), F.pmod(deal, F.lit(parts))).otherwise(F.lit(0).cast("long")))
+    everywhere = F.when(is_hot(side_keys), F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
+    right = side.withColumn("_side_part", F.explode(F.coalesce(everywhere, F.array(F.lit(0).cast("long")))))
+    cond = [F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in zip(fact_keys, side_keys)]
+    return left.join(right, [*cond, F.col("_part") == F.col("_side_part")], "left").drop("_part", "_side_part")
+
+
 def fk_lookup(fact: DataFrame, dims: Sequence[Mapping], max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-              check_natural_keys: bool = False) -> DataFrame:
+              check_natural_keys: bool = False, splits: int = SPLITS) -> DataFrame:
     """Left-join the fact to each dimension on natural keys and bring back only the dimension id.
 
     ``dims`` items: ``{"df": dim, "on": {fact_col: dim_col, ...}, "id": id_col}``.
     Each dimension (stored or checkpointed) is projected to (keys, id) and broadcast behind a size check that
-    bounds all of them together, so the fact is never shuffled for the lookups.  A natural key held by two dimension rows would
-    multiply fact rows; ``check_natural_keys=True`` raises ``ValueError`` before that happens.
+    bounds all of them together, so the fact is never shuffled for the lookups.  A dimension beyond that bound is joined by a
+    shuffle that splits hot and NULL keys (``split_lookup``; the hot keys of all such dimensions come from one more scan of the
+    fact).  A natural key held by two dimension rows would multiply fact rows; ``check_natural_keys=True`` raises
+    ``ValueError`` before that happens.
     """
     sides = []
     for i, d in enumerate(dims):
@@ -124,9 +228,16 @@ def fk_lookup(fact: DataFrame, dims: Sequence[Mapping], max_broadcast_rows: int
                 raise ValueError(f"dimension with id {d['id']} repeats a natural key {list(on.values())}")
         sides.append(d["df"].select(*[F.col(dc).alias(f"_d{i}_{j}") for j, dc in enumerate(on.values())],
                                     F.col(d["id"])))
+    marked = bounded_broadcasts(sides, max_broadcast_rows)
+    shuffled = [i for i, (a, b) in enumerate(zip(sides, marked)) if a is b]
+    hot = dict(zip(shuffled, hot_keys(fact, [list(dict(dims[i]["on"])) for i in shuffled], splits)))
     out = fact
-    for i, (d, side) in enumerate(zip(dims, bounded_broadcasts(sides, max_broadcast_rows))):
+    for i, (d, side) in enumerate(zip(dims, marked)):
         on = dict(d["on"])
-        cond = [F.col(fc) == F.col(f"_d{i}_{j}") for j, fc in enumerate(on.keys())]
-        out = out.join(side, cond, "left").drop(*[f"_d{i}_{j}" for j in range(len(on))])
+        held = [f"_d{i}_{j}" for j in range(len(on))]
+        if i in hot:
+            out = split_lookup(out, side, list(on), held, *hot[i], splits)
+        else:
+            out = out.join(side, [F.col(fc) == F.col(h) for fc, h in zip(on, held)], "left")
+        out = out.drop(*held)
     return out

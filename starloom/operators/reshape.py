@@ -38,19 +38,53 @@ def unpivot_years(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[st
 
 
 def pivot_sum(df: DataFrame, group_cols: Sequence[str], pivot_col: str, value_col: str,
-              values: Mapping[str, str] | Sequence[str]) -> DataFrame:
+              values: Mapping[str, str] | Sequence[str], strict: bool = False) -> DataFrame:
     """Series -> columns with ``sum`` per cell (duplicates in a cell are added up).
 
     ``values`` lists the pivot values (or maps value -> output column name).  Explicit
-    values mean no discovery job and no column for a NULL series.
+    values mean no discovery job and no column for a NULL series.  Values that are not listed have no column;
+    ``strict`` raises ``ValueError`` when there are any (one more scan), ``pivot_map`` keeps them.
     """
     mapping = dict(values) if isinstance(values, Mapping) else {v: v for v in values}
+    if strict:
+        check_series(df, pivot_col, list(mapping))
     pivoted = (df.groupBy(*[F.col(f"`{c}`") for c in group_cols])
                .pivot(pivot_col, list(mapping.keys()))
                .agg(F.sum(F.col(f"`{value_col}`"))))
     return pivoted.withColumnsRenamed({k: v for k, v in mapping.items() if k != v})
 
 
+def pivot_map(df: DataFrame, group_cols: Sequence[str], pivot_col: str, value_col: str, map_col: str = "series",
+              null_col: str = "no_series") -> DataFrame:
+    """Series -> one ``map<string, sum>`` per group, for any number of series and without a list of them.
+
+    A row has the series that its group has, and no schema grows with them: 100,000 series are 100,000 entries of
+    the groups that hold them.  Values are added up per (group, series) first, with partial sums before the exchange, so a group with a
+    third of all rows sends one row per series and task.  A series whose values are all NULL is an entry with NULL.  A
+    map has no NULL key: the sum of the rows without a series is ``null_col``.  ``map_columns`` makes columns of the map.
+    """
+    groups = [F.col(f"`{c}`") for c in group_cols]
+    cells = (df.groupBy(*groups, F.col(f"`{pivot_col}`").cast("string").alias("_series"))
+             .agg(F.sum(F.col(f"`{value_col}`")).alias("_sum")))
+    entry = F.when(F.col("_series").isNotNull(), F.struct("_series", "_sum"))
+    return cells.groupBy(*groups).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(map_col),
+                                      F.max(F.when(F.col("_series").isNull(), F.col("_sum"))).alias(null_col))
+
+
+def map_columns(df: DataFrame, values: Mapping[str, str] | Sequence[str], map_col: str = "series",
+                rest: bool = True) -> DataFrame:
+    """Columns for some series of a ``pivot_map`` (NULL where a row has no such series), without a job.
+
+    The other entries stay in ``map_col``; ``rest=False`` drops it.
+    """
+    mapping = dict(values) if isinstance(values, Mapping) else {v: v for v in values}
+    m = F.col(f"`{map_col}`")
+    out = df.withColumns({a: F.try_element_at(m, F.lit(v)) for v, a in mapping.items()})
+    if not rest:
+        return out.drop(map_col)
+    return out.withColumn(map_col, F.map_filter(m, lambda k, _: ~k.isin(list(mapping))) if mapping else m)
+
+
 def check_series(df: DataFrame, series_col: str, expected: Sequence[str]) -> None:
     """Raise unless the non-NULL values of ``series_col`` are exactly ``expected``."""
     col = F.col(f"`{series_col}`")

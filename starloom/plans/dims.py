@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import cast_columns, lenient_float, lenient_int
 from ..functions.text import month_name_to_int
 from ..operators.aggregates import drop_null_any, drop_null_subset, group_avg, group_avg_min_max, share_of_total
-from ..operators.joins import label_join, outer_chain, union_distinct_keys
+from ..operators.joins import label_join, outer_chain, outer_union, union_distinct_keys
 from ..operators.keys import add_surrogate_key
 from ..operators.reshape import unpivot_then_pivot, unpivot_years
 from ..session import ensure_checkpoint_dir, run_concurrently
@@ -95,10 +95,12 @@ def population_share(population: DataFrame) -> DataFrame:
 
 def economics_country_no_labels(pss: DataFrame, unemployment: DataFrame, population: DataFrame,
                                 measures=("pss", "uwae", "uwbe", "uwie", "ut", "powp"),
-                                materialize: bool = True, normalize_keys: bool = False) -> DataFrame:
+                                materialize: bool = True, normalize_keys: bool = False,
+                                chain: str = "union") -> DataFrame:
     """Full outer chain of the three country-year parts from their distinct key set.
 
-    Each part feeds both the key set and its join; ``materialize`` checkpoints the parts
+    ``chain="union"`` takes its rows from one grouping of the three parts (``outer_union``), ``chain="joins"`` from a
+    key set and three joins.  Each part then feeds both the key set and its join; ``materialize`` checkpoints the parts
     (country x year aggregates, small) so their sources are scanned once, not twice.
     Names match case-sensitively and are lower-cased afterwards, so two sources spelling a
     country in different case give two rows; ``normalize_keys=True`` lower-cases the names
@@ -107,6 +109,11 @@ def economics_country_no_labels(pss: DataFrame, unemployment: DataFrame, populat
     if normalize_keys:
         pss, unemployment, population = (p.withColumn("country_name", F.lower(F.col("country_name")))
                                          for p in (pss, unemployment, population))
+    named = lambda df, name, year: df.select(
+        F.lower(F.col(name)).alias("country_name"), F.col(year).alias("year"), *[F.col(m) for m in measures]).distinct()
+    if chain == "union":
+        return named(outer_union([(p, ["country_name", "year"]) for p in (pss, unemployment, population)],
+                                 ["u_name", "u_year"], list(measures)), "u_name", "u_year")
     if materialize:
         ensure_checkpoint_dir(pss.sparkSession)
         parts = run_concurrently({"pss": lambda: pss.checkpoint(eager=True),
@@ -114,13 +121,10 @@ def economics_country_no_labels(pss: DataFrame, unemployment: DataFrame, populat
                                   "population": lambda: population.checkpoint(eager=True)})
         pss, unemployment, population = parts["pss"], parts["unemployment"], parts["population"]
     keys = union_distinct_keys([pss, unemployment, population], ["country_name", "year"], ["u_name", "u_year"])
-    chain = outer_chain(keys, ["u_name", "u_year"],
-                        [(pss, ["country_name", "year"]), (unemployment, ["country_name", "year"]),
-                         (population, ["country_name", "year"])],
-                        list(measures), how="full")
-    return (chain.select(F.lower(F.col("u_name")).alias("country_name"), F.col("u_year").alias("year"),
-                         *[F.col(m) for m in measures])
-            .distinct())
+    return named(outer_chain(keys, ["u_name", "u_year"],
+                             [(pss, ["country_name", "year"]), (unemployment, ["country_name", "year"]),
+                              (population, ["country_name", "year"])],
+                             list(measures), how="full"), "u_name", "u_year")
 
 
 def economics_country_rows(no_labels: DataFrame, country_labels: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from ..operators import quality as Q
 from ..operators import sketches as S
 from ..operators.joins import label_join, union_distinct_keys
 from ..operators.keys import add_surrogate_key
-from ..operators.reshape import pivot_sum
+from ..operators.reshape import map_columns, pivot_map, pivot_sum
 from ..session import run_concurrently, scratch_path
 from ..sources.files import (lowercase_names, read_fact_source, read_header_csv, read_partitioned,
                              refresh_partitions, write_header_csv, write_partitioned)
@@ -292,6 +292,29 @@ def q_pivot_sum(spark, d):
     return p.select("country_name", "year", *[F.col(v).cast("double").alias(v) for v in _PRIORITY_ALIASES.values()])
 
 
+@register("pivot_value_map", with_ctes(["ocn"], """,
+cells AS (SELECT n_name AS country_name, CAST(year(o_orderdate) AS INTEGER) AS year,
+                 CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority || ' ' || c_mktsegment END AS s,
+                 sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM ocn GROUP BY ALL)
+SELECT country_name, year, count(s) AS n_series, CAST(max(CASE WHEN s = '1-URGENT BUILDING' THEN v END) AS DOUBLE) AS urgent_building,
+       CAST(max(CASE WHEN s IS NULL THEN v END) AS DOUBLE) AS no_series,
+       string_agg(CASE WHEN s <> '1-URGENT BUILDING' THEN s || '=' || CAST(CAST(v * 100 AS BIGINT) AS VARCHAR) END, ',' ORDER BY s) AS others
+FROM cells GROUP BY country_name, year"""))
+def q_pivot_value_map(spark, d):
+    """Sums per country, year and series (priority and segment; orders in progress have none), none of them listed beforehand."""
+    ocn = G.orders_customers_nations(spark, d).select(
+        F.col("n_name").alias("country_name"), F.year("o_orderdate").alias("year"),
+        F.when(F.col("o_orderstatus") != "P", F.concat_ws(" ", "o_orderpriority", "c_mktsegment")).alias("s"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    whole = pivot_map(ocn, ["country_name", "year"], "s", "price").withColumn("n_series", F.size("series").cast("long"))
+    out = map_columns(whole, {"1-URGENT BUILDING": "urgent_building"})
+    cents = lambda e: F.concat(e["key"], F.lit("="), (e["value"] * 100).cast("bigint").cast("string"))
+    others = F.array_join(F.transform(F.array_sort(F.map_entries("series")), cents), ",")
+    return out.select("country_name", "year", "n_series", F.col("urgent_building").cast("double").alias("urgent_building"),
+                      F.col("no_series").cast("double").alias("no_series"),
+                      F.when(F.size("series") > 0, others).alias("others"))
+
+
 @register("unpivot_then_pivot", with_ctes(["un"], "SELECT * FROM un"))
 def q_unpivot_then_pivot(spark, d):
     return D.unemployment_long(G.unemployment_country_wide(spark, d), G.SERIES)
@@ -311,7 +334,12 @@ def _economics_parts(spark, d, oc=None):
 
 @register("full_outer_chain", with_ctes(["ec_nl"], "SELECT * FROM ec_nl"))
 def q_full_outer_chain(spark, d):
-    return D.economics_country_no_labels(*_economics_parts(spark, d))
+    return D.economics_country_no_labels(*_economics_parts(spark, d), chain="joins")
+
+
+@register("outer_chain_one_shuffle", with_ctes(["ec_nl"], "SELECT * FROM ec_nl"))
+def q_outer_chain_one_shuffle(spark, d):
+    return D.economics_country_no_labels(*_economics_parts(spark, d), chain="union")
 
 
 def _orders_per_country(spark, d) -> DataFrame:
@@ -425,9 +453,9 @@ def _dims(spark, d, oc=None) -> dict[str, DataFrame]:
         "temperature_us_state": lambda: D.temperature_us_state(temp_state, G.state_labels(spark, d))})
 
 
-def _fact(spark, d, dims, oc=None) -> DataFrame:
+def _fact(spark, d, dims, oc=None, **options) -> DataFrame:
     return i94_fact(G.fact_source(spark, d, oc), dims["economics_country"], dims["economics_us_state"],
-                    dims["temperature_country"], dims["temperature_us_state"])
+                    dims["temperature_country"], dims["temperature_us_state"], **options)
 
 
 _FACT_SELECT = "SELECT " + ", ".join(FACT_COLUMNS + FACT_IDS) + " FROM fact"
@@ -439,6 +467,13 @@ def q_fact_fk_lookup(spark, d):
     return _fact(spark, d, _dims(spark, d, oc), oc)
 
 
+@register("fact_split_lookup", with_ctes(["fact"], _FACT_SELECT))
+def q_fact_split_lookup(spark, d):
+    """The fact with its dimension ids by shuffled lookups alone: hot and NULL keys are split over tasks."""
+    oc = G.shared_orders_customers(spark, d)
+    return _fact(spark, d, _dims(spark, d, oc), oc, max_broadcast_rows=-1)
+
+
 _PK_PARTS = [("economics_country", "ec", "id_economics_country"), ("economics_us_state", "eus", "id_economics_us_state"),
              ("temperature_country", "tc", "id_temperature_country"),
              ("temperature_us_state", "tus", "id_temperature_us_state")]
