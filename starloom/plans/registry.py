@@ -467,6 +467,14 @@ def q_fact_fk_lookup(spark, d):
     return _fact(spark, d, _dims(spark, d, oc), oc)
 
 
+@register("fact_one_exchange", with_ctes(["fact"], _FACT_SELECT))
+def q_fact_one_exchange(spark, d):
+    """The stored fact of a star whose duplicates were removed in the exchange that laid it out by month."""
+    oc = G.shared_orders_customers(spark, d)
+    stored = store_star(spark, _dims(spark, d, oc), G.fact_source(spark, d, oc), scratch_path(spark, "laid-out"), one_exchange=True)
+    return stored["I94s"]
+
+
 @register("fact_split_lookup", with_ctes(["fact"], _FACT_SELECT))
 def q_fact_split_lookup(spark, d):
     """The fact with its dimension ids by shuffled lookups alone: hot and NULL keys are split over tasks."""

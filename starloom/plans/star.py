@@ -13,6 +13,7 @@ from ..operators.aggregates import union_all
 from ..operators.key_registry import KeyRegistry, upsert
 from ..operators.keys import add_surrogate_key
 from ..session import run_concurrently
+from ..operators.layout import ROWS_PER_PART
 from ..sources.files import read_partitioned, refresh_partitions, write_partitioned
 from ..sources.labels import label_table
 from . import dims as D
@@ -135,7 +136,8 @@ class WriteReport:
 def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source: DataFrame, base_path: str,
                mode: str = "errorifexists", int_type: str = "int",
                max_records_per_file: int | None = None, report: WriteReport | None = None,
-               partitions: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
+               partitions: Mapping[str, Sequence[str]] | None = None,
+               one_exchange: bool = False, rows_per_part: int = ROWS_PER_PART) -> dict[str, DataFrame]:
     """Write the four dimensions, read them back, build the fact from the stored ids, write it.
 
     Writing the dimensions first means the ids the fact refers to are exactly the stored ones
@@ -144,6 +146,8 @@ def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source:
     stored dimension would multiply fact rows: it raises ``ValueError`` before the fact is built.  The key and row-count
     checks are measured on the rows while they are written and put into ``report``.  ``partitions`` gives a table other
     partition columns than ``PARTITIONS`` (readers find them by the folders); the fact keeps its months, which the refresh replaces.
+    ``one_exchange`` scans the fact source once more to size the months and then removes duplicates and lays the fact out in one
+    exchange, a task per ``rows_per_part`` rows of a month, instead of one exchange each.
     """
     base = base_path.rstrip("/")
     layout = {**PARTITIONS, **(partitions or {})}
@@ -161,10 +165,10 @@ def store_star(spark: SparkSession, dims: Mapping[str, DataFrame], fact_source:
     stored = run_concurrently({name: (lambda name=name, df=df: store(name, df)) for name, df in dims.items()})
     fact = i94_fact(fact_source, stored["economics_country"], stored["economics_us_state"],
                     stored["temperature_country"], stored["temperature_us_state"], int_type=int_type,
-                    check_natural_keys=True)
+                    check_natural_keys=True, in_layout=one_exchange, rows_per_part=rows_per_part)
     path = f"{base}/I94s.parquet"
     write_partitioned(fact, path, PARTITIONS["I94s"], mode=mode, max_records_per_file=max_records_per_file,
-                      rebalance=True, observe=_watched("I94s"), observed=report.tables["I94s"])
+                      rebalance=not one_exchange, observe=_watched("I94s"), observed=report.tables["I94s"])
     stored["I94s"] = _read_back(spark, fact, path)
     return stored
 
