@@ -16,12 +16,14 @@ A plan has at most 2 * width patterns of fewer than ``width`` pieces each, and s
 
 Ids are those of ``tokenizers`` on the whole text.  A chunk (white space apart, a word with the space before it) never shares a
 pre-token of the byte-level pattern with its neighbours, so chunks are encoded once and remembered; a chunk of any length is encoded
-whole.  Null and empty texts are the end id alone; documents may repeat, and rows without a doc_id are packed as well.  Other
+whole.  Texts of ASCII and Latin letters alone, and such chunks of others, go through ``tiktoken``, which merges the same ranks faster, if
+``same_ranks`` has shown of the vocabulary that this gives the same ids; all else goes through ``tokenizers``.  Null and empty texts are the end id alone; documents may repeat, and rows without a doc_id are packed as well.  Other
 columns are left out, whatever their names.  An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import defaultdict
@@ -49,6 +51,48 @@ _L = "A-Za-zÀ-ÖØ-öø-ÿ"
 _CHUNK = re.compile(f" ?[{_L}]++(?=[,.;:!?)\"{_W}]|\\Z)| ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
 
 
+#: Chunks whose characters every version of Unicode classes alike, and that hold no added token's first characters.
+_PLAIN = re.compile("(?!.*<\\|) ?[!-~À-ÖØ-öø-ÿ]+")
+#: Texts of such characters alone.
+_SIMPLE = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*+")
+#: Fixed value: the pre-token pattern of the byte-level kind.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_of() -> dict[str, int]:
+    """Character -> byte of the byte-level alphabet: visible Latin-1 characters are themselves, the others follow from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    rest = [b for b in range(256) if b not in shown]
+    return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(rest)}}
+
+
+def same_ranks(path: str, encoder) -> dict[bytes, int] | None:
+    """Bytes -> id of a byte-level BPE vocabulary for which merging by the id of the result is merging by the list of pairs;
+    None if that is not certain.
+
+    Pairs must be listed in the order of their ids, and every token must be what its own bytes become.  Then no two other
+    neighbours can ever form a token: up to the first such pair both ways merge alike, inside the token's bytes as in these
+    bytes alone, and there the only last pair is the listed one.
+    """
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    plain = (model.get("type") == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
+             and not pre.get("add_prefix_space") and spec["normalizer"] is None and spec["post_processor"] is None
+             and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+             and all(t["content"].startswith("<|") and not t["lstrip"] for t in spec["added_tokens"]))
+    if not plain:
+        return None
+    vocab, byte_of = model["vocab"], _byte_of()
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [vocab["".join(p)] for p in pairs]
+    if (any(a >= b for a, b in zip(ids, ids[1:])) or set(vocab) != {"".join(p) for p in pairs} | set(byte_of)
+            or max(vocab[c] for c in byte_of) >= min(ids, default=len(vocab))
+            or any([t.id for t in encoder.model.tokenize(w)] != [i] for w, i in vocab.items())):
+        return None
+    return {bytes(map(byte_of.__getitem__, w)): i for w, i in vocab.items()}
+
+
 class Ids(dict):
     """Chunk -> its ids as little-endian 32-bit numbers; chunks met for the first time are encoded together."""
 
@@ -58,6 +102,24 @@ class Ids(dict):
         super().__init__()
         self.encoder = Tokenizer.from_file(path)
         (self.line,) = self.encoder.encode("\n", add_special_tokens=False).ids
+        added = [re.escape(t.content) for t in self.encoder.get_added_tokens_decoder().values()]
+        self.added = re.compile(f"({'|'.join(sorted(added, key=len, reverse=True))})") if added else None
+        self.fast = None
+        if ranks := same_ranks(path, self.encoder):
+            import tiktoken
+            self.fast = tiktoken.Encoding("bytes", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def lines(self, chunks: list[str], encode) -> list[str]:
+        """Remember chunks from one text of a line each; those that this could not tell apart come back."""
+        ids = np.array(encode("\n".join(chunks)), "<u4")
+        edge = np.flatnonzero(ids == self.line)
+        if not chunks or len(edge) != len(chunks) - 1:
+            return chunks
+        raw, at = ids.tobytes(), 0
+        for c, e in zip(chunks, [*edge.tolist(), len(ids)]):
+            self[c] = raw[4 * at:4 * e]
+            at = e + 1
+        return []
 
     def learn(self, chunks: Iterable[str]) -> None:
         """Encode the new chunks in one text, a line each: a line feed between visible characters is a token by itself."""
@@ -65,29 +127,41 @@ class Ids(dict):
         if len(self) + len(new) > CACHED:
             self.clear()
             new = set(chunks)
+        if self.fast is not None:
+            simple = [c for c in new if _PLAIN.fullmatch(c)]
+            new.difference_update(simple)
+            new.update(self.lines(simple, self.fast.encode_ordinary))
         plain = [c for c in new if c[-1].isprintable() and c[-1] != " " and c[c[0] == " "].isprintable()]
-        text = "\n".join(plain)
-        ids = np.array(self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        edge = np.flatnonzero(ids == self.line)
-        if plain and len(edge) == len(plain) - 1:
-            raw, at = ids.tobytes(), 0
-            for c, e in zip(plain, [*edge.tolist(), len(ids)]):
-                self[c] = raw[4 * at:4 * e]
-                at = e + 1
-            new.difference_update(plain)
+        new.difference_update(plain)
+        new.update(self.lines(plain, lambda text: self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids))
         rest = list(new)  # white space, unusual first or last characters
         for c, e in zip(rest, self.encoder.encode_batch_fast(rest, add_special_tokens=False)):
             self[c] = np.array(e.ids, "<u4").tobytes()
 
+    def whole(self, text: str) -> bytes | None:
+        """The ids of a simple text, encoded as it is: nothing of it is remembered; None for other texts."""
+        if self.fast is None or "<|" in text or not _SIMPLE.fullmatch(text):
+            return None
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+
+    def chunks(self, text: str) -> Iterator[str]:
+        """An added token ends what stands before it: white space there belongs together."""
+        parts = [text] if self.added is None else self.added.split(text)
+        for k, part in enumerate(parts):
+            if k % 2:
+                yield part
+            else:
+                yield from (m[0] for m in _CHUNK.finditer(part))
+
     def texts(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of some texts, learning their chunks at once."""
-        chunks = [_CHUNK.findall(x) for x in texts]
+        chunks = [list(self.chunks(x)) for x in texts]
         self.learn(set().union(*chunks))
         return [b"".join(map(self.__getitem__, x)) for x in chunks]
 
     def long_text(self, text: str) -> bytes:
         """The same for a text whose chunks are not held all at once."""
-        out, found = [], (m[0] for m in _CHUNK.finditer(text))
+        out, found = [], self.chunks(text)
         while chunks := list(islice(found, SEGMENT)):
             self.learn(chunks)
             out.append(b"".join(map(self.__getitem__, chunks)))
@@ -109,6 +183,10 @@ def _encoded(encode: Ids, batch: pa.RecordBatch) -> Iterator[tuple[int | None, b
     docs, texts, size = [], [], 0
     for doc, text in zip(batch.column(0), batch.column(1)):
         text = text.as_py() or ""
+        ids = encode.whole(text)
+        if ids is not None:
+            yield doc.as_py(), ids
+            continue
         if len(text) > SEGMENT:
             yield doc.as_py(), encode.long_text(text)
             continue
