@@ -1,13 +1,17 @@
-"""License scans with DataFrame functions only: ordered signature rules behind keyword gates.
+"""License scans with DataFrame functions only: ordered signature rules (``license_rules``) behind keyword gates.
 
 A text is lower-cased (A-Z) and cut into words of digits, letters and non-ASCII code points, which
-makes punctuation and line breaks irrelevant.  Every signature rule has a keyword that whatever it matches
-must hold, and a text is matched with the rules whose keyword occurs; a text without any of them cannot match
-a rule or a base phrase and only has its words counted.  Every match is an interval of the normalised text; an
-interval that lies inside another is suppressed (of equal ones the rule of lower ``order`` wins),
-so "apache license version 2 0" silences the bare "apache license" inside it.
-
-Null texts count as empty.  Only ``text`` is read, so other columns may have any names.
+makes punctuation and line breaks irrelevant.  Every signature rule has a keyword and a gate that whatever it matches
+must hold.  A text without any gate cannot match a rule or a base phrase and only has its words counted; another one is
+matched with the rules whose keyword occurs.  Every match is an interval of the normalised text.  From left to right (at one
+start the longest first, of equal ones the rule of lower ``order``), a match that lies inside the last one kept goes, so
+"apache license version 2 0" silences the bare "apache license" inside it; of two that overlap in part the rule of lower
+``order`` stays.  ``labels`` joins what stays with the base labels; ``score`` is the best score among the rules that stay, 0.5
+for a base phrase alone, 0 without any.
+
+Null and empty texts have no words and score 0.  Every row is scanned by itself, whole, at any length: repeated rows give
+equal results, an empty table an empty one.  Only ``text`` is read; other columns may have any names and stay as they are,
+but one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -16,106 +20,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._tables import ascii_lower, let
+from .license_rules import rules
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: The contract's phrases and labels (fixed values).
 BASE = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
 
-#: Families: keyword (whole words that each written name holds), written names (as a pattern over normalised words),
-#: label, versions.
-FAMILIES = (
-    ("mit", "mit(?: x11)?(?: expat)?", "mit", ()),
-    ("apache", "apache(?: software)?", "apache", ("1.0", "1.1", "2.0")),
-    ("general public", "(?:gnu )?general public", "gpl", ("1", "2", "3")),
-    ("gpl", "(?:gnu )?gpl", "gpl", ("1", "2", "3")),
-    ("lesser general", "(?:gnu )?lesser general public", "lgpl", ("2.1", "3")),
-    ("lgpl", "(?:gnu )?lgpl", "lgpl", ("2.1", "3")),
-    ("affero", "(?:gnu )?affero general public", "agpl", ("1", "3")),
-    ("agpl", "(?:gnu )?agpl", "agpl", ("1", "3")),
-    ("bsd", "(?:modified |simplified |new |revised )?bsd", "bsd", ("0", "1", "2", "3", "4")),
-    ("mozilla public", "mozilla public", "mpl", ("1.0", "1.1", "2.0")),
-    ("eclipse public", "eclipse public", "epl", ("1.0", "2.0")),
-    ("creative commons attribution", "creative commons attribution", "cc-by", ("2.0", "3.0", "4.0")),
-    ("attribution sharealike", "creative commons attribution sharealike", "cc-by-sa", ("2.0", "3.0", "4.0")),
-    ("attribution noncommercial", "creative commons attribution noncommercial", "cc-by-nc", ("2.0", "3.0", "4.0")),
-    ("attribution noderivatives", "creative commons attribution noderivatives", "cc-by-nd", ("2.0", "3.0", "4.0")),
-    ("free documentation", "(?:gnu )?free documentation", "gfdl", ("1.1", "1.2", "1.3")),
-    ("isc", "isc", "isc", ()),
-    ("zlib", "zlib(?: libpng)?", "zlib", ()),
-    ("boost software", "boost software", "bsl", ("1.0",)),
-    ("artistic", "artistic", "artistic", ("1.0", "2.0")),
-    ("european union public", "european union public", "eupl", ("1.0", "1.1", "1.2")),
-    ("open software", "open software", "osl", ("1.0", "2.0", "3.0")),
-    ("academic free", "academic free", "afl", ("2.0", "2.1", "3.0")),
-    ("common development and distribution", "common development and distribution", "cddl", ("1.0", "1.1")),
-    ("python", "python(?: software foundation)?", "psf", ("2",)),
-    ("w3c", "w3c(?: software)?", "w3c", ()),
-    ("postgresql", "postgresql", "postgresql", ()),
-    ("open font", "(?:sil )?open font", "ofl", ("1.0", "1.1")),
-    ("microsoft public", "microsoft public", "ms-pl", ()),
-    ("open database", "open database", "odbl", ("1.0",)),
-    ("php", "php", "php", ("3.0", "3.01")),
-    ("universal permissive", "universal permissive", "upl", ("1.0",)),
-)
-
-#: Forms in order of priority: label suffix comes with the version, ``conf`` is the score.
-VERBS = "(?:licensed|released|distributed|available|published|provided|covered) (?:under|by)"
-VERSIONED = (
-    (VERBS + " (?:the )?(?:terms of (?:the )?)?{name} licen[cs]e (?:version |v )?{v}", 1.0),
-    ("{name} licen[cs]e (?:as published by the free software foundation )?(?:either )?(?:version |v )?{v}", 0.95),
-    ("{name} (?:version |v ?)?{v}", 0.9),
-    ("{spdx} {v}(?: only| or later)?", 0.9),
-)
-PLAIN = (
-    (VERBS + " (?:the )?(?:terms of (?:the )?)?{name} licen[cs]e", 0.9),
-    ("spdx license identifier {spdx}", 1.0),
-    ("{name} licen[cs]e", 0.7),
-)
-
-#: Sentences of license texts (fixed values): keyword (words that the pattern holds), pattern, label.
-CLAUSES = (
-    ("permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", "mit"),
-    ("noninfringement", "fitness for a particular purpose and noninfringement", "mit"),
-    ("permission to use copy modify", "permission to use copy modify and or distribute this software for any purpose", "isc"),
-    ("redistributions of source code", "redistributions of source code must retain the above copyright notice", "bsd"),
-    ("redistributions in binary form", "redistributions in binary form must reproduce the above copyright notice", "bsd"),
-    ("endorse or promote", "neither the name of .{1,80} may be used to endorse or promote products", "bsd-3"),
-    ("in compliance with the license", "you may not use this file except in compliance with the license", "apache-2.0"),
-    ("on an as is basis", "distributed on an as is basis without warranties or conditions of any kind", "apache-2.0"),
-    ("you can redistribute", "you can redistribute it and or modify it under the terms of the gnu", "gpl"),
-    ("warranty of merchantability", "without even the implied warranty of merchantability or fitness", "gpl"),
-    ("the public domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain", "public-domain"),
-    ("free and unencumbered", "free and unencumbered software released into the public domain", "unlicense"),
-    ("all rights reserved", "all rights reserved", "proprietary"),
-    ("source code form", "this source code form is subject to the terms of the mozilla public", "mpl"),
-    ("altered source", "altered source versions must be plainly marked as such", "zlib"),
-)
-
-
-def rules() -> list[tuple[int, str, str, str, float]]:
-    """(order, keyword, pattern, label, confidence), most specific first; whatever a pattern matches holds its keyword."""
-    out = [(kw, f" {p} ", label, 0.8) for kw, p, label in CLAUSES]
-    for kw, name, label, versions in FAMILIES:
-        spdx = label.replace("-", " ")
-        for v in versions:
-            digits = v.replace(".", " ") if not v.endswith(".0") else v[:-2] + "(?: 0)?"
-            out += [(kw if "{name}" in f else spdx, " " + f.format(name=name, spdx=spdx, v=digits) + " ", f"{label}-{v}", c)
-                    for f, c in VERSIONED]
-        out += [(kw if "{name}" in f else spdx, " " + f.format(name=name, spdx=spdx) + " ", label, c) for f, c in PLAIN]
-    return [(i, f" {kw} ", p, label, c) for i, (kw, p, label, c) in enumerate(out)]
-
 
 def gates() -> list[str]:
-    """Keywords of which a text must hold one for a rule or a base phrase to match: those that hold no other one."""
-    every = {kw for _, kw, _, _, _ in rules()} | {f" {' '.join(phrase)} " for phrase, _ in BASE}
-    return sorted(kw for kw in every if not any(g != kw and g in kw for g in every))
+    """Words of which a text must hold one for a rule or a base phrase to match: those that hold no other one."""
+    every = {gate for _, _, gate, _, _, _ in rules()} | {f" {' '.join(phrase)} " for phrase, _ in BASE}
+    return sorted(g for g in every if not any(o != g and o in g for o in every))
 
 
 def _rule_array() -> Column:
-    """The rule table as one literal (its size is fixed by the tables above, not by data)."""
+    """The rule table as one literal (its size is fixed by the rules, not by data)."""
     return F.array(*[F.struct(F.lit(o).alias("o"), F.lit(k).alias("k"), F.lit(p).alias("p"), F.lit(lb).alias("l"),
-                              F.lit(c).alias("c")) for o, k, p, lb, c in rules()])
+                              F.lit(c).alias("c")) for o, k, _, p, lb, c in rules()])
 
 
 def _matches(norm: Column, r: Column) -> Column:
@@ -138,16 +60,30 @@ def _matches(norm: Column, r: Column) -> Column:
 
 
 def detections(norm: Column) -> Column:
-    """Unsuppressed detections of a normalised text: array of (s, e, o, l, c)."""
+    """(labels, score) of a normalised text: its matches, swept from left to right (see the module text)."""
     candidates = F.filter(_rule_array(), lambda r: F.contains(norm, r["k"]))
     found = F.flatten(F.transform(candidates, lambda r: _matches(norm, r)))
-    # by start, longest first, then rule order: what ends no later than something before lies inside it
+    # by start, longest first, then rule order; ``last`` is the interval that the next one is held against
     keyed = F.sort_array(F.transform(found, lambda m: F.struct(
         m["s"].alias("s"), (-m["e"]).alias("ne"), m["o"].alias("o"), m["l"].alias("l"), m["c"].alias("c"))))
-    zero = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("score"))
-    return F.aggregate(keyed, zero, lambda acc, m: F.when(-m["ne"] <= acc["end"], acc).otherwise(F.struct(
-        (-m["ne"]).alias("end"), F.array_union(acc["labels"], F.array(m["l"])).alias("labels"),
-        F.greatest(acc["score"], m["c"]).alias("score"))))
+    kind = "struct<e:int,o:int,l:string,c:double>"
+    zero = F.struct(F.lit(0).alias("e"), F.lit(-1).alias("o"), F.array().cast(f"array<{kind}>").alias("kept"),
+                    F.lit(None).cast(kind).alias("last"))
+    entry = lambda m: F.struct((-m["ne"]).alias("e"), m["o"].alias("o"), m["l"].alias("l"), m["c"].alias("c"))
+    put = lambda acc, m, kept: F.struct((-m["ne"]).alias("e"), m["o"].alias("o"), kept.alias("kept"), entry(m).alias("last"))
+
+    def step(acc: Column, m: Column) -> Column:
+        loses = (-m["ne"] <= acc["e"]) | ((m["s"] < acc["e"]) & (m["o"] > acc["o"]))
+        wins = m["s"] < acc["e"]  # overlaps the last one and has the better order: takes its place
+        return (F.when(loses, acc).when(wins, put(acc, m, acc["kept"]))
+                .otherwise(put(acc, m, F.concat(acc["kept"], F.filter(F.array(acc["last"]), lambda x: x.isNotNull())))))
+
+    def finish(acc: Column) -> Column:
+        return F.concat(acc["kept"], F.filter(F.array(acc["last"]), lambda x: x.isNotNull()))
+
+    return let(F.aggregate(keyed, zero, step, finish), lambda kept: F.struct(
+        F.transform(kept, lambda m: m["l"]).alias("labels"),
+        F.coalesce(F.array_max(F.transform(kept, lambda m: m["c"])), F.lit(0.0)).alias("score")))
 
 
 def _base(ws: Column) -> Column:
@@ -168,14 +104,16 @@ def _base(ws: Column) -> Column:
 def scan(df: DataFrame, text: str = "text", out: str = "scan") -> DataFrame:
     """Add struct ``out``: n_words, n_base, first_word, last_word, base_labels, labels, score."""
     # words parted and enclosed by single spaces
+    free = lambda c: c if c.lower() not in {x.lower() for x in df.columns} else free(c + "_")
+    norm_col, row_col = free("__norm"), free("__scan")
     norm = F.regexp_replace(F.concat(F.lit(" "), ascii_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(" ")), SEPARATORS, " ")
     gate = F.lit(False)
     for g in gates():
-        gate = gate | F.contains(F.col("__norm"), F.lit(g))
+        gate = gate | F.contains(F.col(norm_col), F.lit(g))
     none = F.array().cast("array<string>")
 
     def full(ws: Column) -> Column:
-        return let(_base(ws), lambda b: let(detections(F.col("__norm")), lambda d: F.struct(
+        return let(_base(ws), lambda b: let(detections(F.col(norm_col)), lambda d: F.struct(
             F.size(ws).cast("long").alias("n_words"),
             F.size(b).cast("long").alias("n_base"),
             F.array_min(F.transform(b, lambda x: x["i"])).cast("long").alias("first_word"),
@@ -185,15 +123,15 @@ def scan(df: DataFrame, text: str = "text", out: str = "scan") -> DataFrame:
             F.greatest(d["score"], F.when(F.size(b) > 0, F.lit(0.5)).otherwise(F.lit(0.0))).alias("score"))))
 
     short = F.struct(
-        (F.octet_length("__norm") - F.octet_length(F.replace(F.col("__norm"), F.lit(" "), F.lit(""))) - 1).cast("long").alias("n_words"),
+        (F.octet_length(norm_col) - F.octet_length(F.replace(F.col(norm_col), F.lit(" "), F.lit(""))) - 1).cast("long").alias("n_words"),
         F.lit(0).cast("long").alias("n_base"), F.lit(None).cast("long").alias("first_word"),
         F.lit(None).cast("long").alias("last_word"), none.alias("base"), none.alias("all"), F.lit(0.0).alias("score"))
-    ws = F.filter(F.split(F.col("__norm"), " "), lambda w: w != "")
-    s = F.col("__s")
-    return (df.withColumn("__norm", norm)
-            .withColumn("__s", F.when(gate, let(ws, full)).otherwise(short))
+    ws = F.filter(F.split(F.col(norm_col), " "), lambda w: w != "")
+    s = F.col(row_col)
+    return (df.withColumn(norm_col, norm)
+            .withColumn(row_col, F.when(gate, let(ws, full)).otherwise(short))
             .withColumn(out, F.struct(
                 s["n_words"].alias("n_words"), s["n_base"].alias("n_base"), s["first_word"].alias("first_word"),
                 s["last_word"].alias("last_word"), F.concat_ws(",", s["base"]).alias("base_labels"),
                 F.concat_ws(",", s["all"]).alias("labels"), s["score"].alias("score")))
-            .drop("__norm", "__s"))
+            .drop(norm_col, row_col))

@@ -7,15 +7,16 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import chat_format, license_scan, toxicity
+from starloom.llm import chat_format, license_rules, license_scan, toxicity
 from starloom.llm.registry import ORACLE, QUERIES
 
 from .conftest import TABLES, duck, same
+from .test_license_rules import brute
 
 
 def sample_text(pattern: str, optional: bool) -> str:
     """A text that ``pattern`` (of license_scan) matches: first alternatives, with or without its optional groups."""
-    p = pattern.replace(".{1,80}", "its holder").replace("[cs]", "c" if optional else "s")
+    p = re.sub(r"\.\{1,\d+\}", "its holder", pattern).replace("(?= )", "").replace("[cs]", "c" if optional else "s")
     group = re.compile(r"\(\?:([^()]*)\)(\??)")
     while group.search(p):
         p = group.sub(lambda m: m[1].split("|")[-1 if optional else 0] if optional or not m[2] else "", p)
@@ -24,14 +25,16 @@ def sample_text(pattern: str, optional: bool) -> str:
 
 def test_every_license_rule_fires(spark):
     want = []
-    for _, keyword, pattern, label, _ in license_scan.rules():
+    for _, keyword, gate, pattern, label, _ in license_rules.rules():
         for optional in (False, True):
             t = sample_text(pattern, optional)
-            assert re.search(pattern, f" {t} ") and keyword in f" {t} ", pattern
+            assert re.search(pattern, f" {t} ") and keyword in f" {t} " and gate in f" {t} ", pattern
             want.append((len(want), f"Made\tby: {t.title().replace(' ', ' -')}.", label))
     got = {r["i"]: r["scan"] for r in license_scan.scan(spark.createDataFrame(want, "i int, text string, label string")).collect()}
-    missing = [(t, label, got[i]["labels"]) for i, t, label in want if label not in got[i]["labels"].split(",")]
+    # a longer or better rule may silence the one that the text was made from, and then only that
+    missing = [(t, label, got[i]["labels"]) for i, t, label in want if got[i]["labels"] != brute(t)[0]]
     assert not missing
+    assert sum(label in got[i]["labels"].split(",") for i, t, label in want) >= 0.95 * len(want)
     assert all(got[i]["score"] > 0 and got[i]["n_words"] == len(re.findall("[A-Za-z0-9]+", t)) for i, t, _ in want)
 
 
