@@ -4,19 +4,24 @@ Tokens are words (A-Z lower-cased, parted by ASCII white space) and one end per
 
 Base model: log10((c + 0.1) / (N + 0.1 (V + 1))) added over the tokens, with counts of the training texts.
 
-Hidden Markov model: ``STATES`` latent states emit one of ``SYMBOLS`` symbols: the most frequent words by themselves,
-the end, or "other word", which stands for any other word w with probability (c(w) + 0.1) / (mass of
-all others, one slot for unseen words included), so a text's probability is proper.  Baum-Welch: tasks add
-up expected counts over their texts, Spark adds the tasks', and the driver gets STATES * (STATES + SYMBOLS + 1)
-numbers.  For training, texts are cut into pieces of ``PIECE`` tokens; only a text's first piece counts as a start, the others
-begin with the states' distribution after ``PIECE`` moves.  The scaled forward recursion that scores a text
-runs over the whole of it.
+Hidden Markov model: ``STATES`` latent states emit words and the end of a text; every word of the training texts has emission
+counts of its own.  Those of the ``KNOWN`` most frequent words are broadcast and gathered as one matrix of bounded size.  Those of
+all other words are a distributed table (word, state), as large as the corpus' vocabulary: Spark sums the tasks' expected
+counts per word and joins them to the texts that hold the word.
 
-The ``KNOWN`` most frequent words' counts are broadcast (16 bytes each); all other tokens meet their counts in one
-shuffle join, where no key is frequent.  Words are told apart by a 64-bit hash.
+Baum-Welch: tasks add up expected counts over their texts, Spark adds the tasks'.  While the states take shape, the other words
+are tied: in state k, word w has the state's mass of other words times (c(w) + 0.1) / (mass of all others, one slot for unseen
+words included).  The last turn unties them: what it expects of each other word in each state takes the place of the tie,
+smoothed towards it with ``PRIOR`` of its mass, so each state's probabilities still add up to one, unseen words included.  For
+training, texts are cut into pieces of ``PIECE`` tokens; only a text's first piece counts as a start, the others begin with the states'
+distribution after ``PIECE`` moves.  The scaled forward recursion that scores a text runs over the whole of it.
+
+Words are told apart by a 64-bit hash.  A word outside the broadcast ones has at most a 131,072nd of all tokens, so no key of the
+joins by word is hot; a text sends each such word once.
 
 Null texts count as empty (one end).  Rows with equal doc_id are scored by themselves; rows without a doc_id are
-training texts.  Without training tokens the score is the base score.
+training texts.  Very long texts are trained on in pieces and scored in one recursion by one task.  An empty table gives an empty one.
+Only doc_id, text and held_out are read, other columns may have any names.  Without training tokens the score is the base score.
 """
 
 from __future__ import annotations
@@ -28,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._tables import store
+from ._tables import scratch_table, store
 from ._tokens import U, Words, pack, slices
 
 STATES = 6
-SYMBOLS = 2048  # words of their own
-KNOWN = 131_072
+KNOWN = 131_072  # words in the broadcast matrix; all others are in the distributed table
+PRIOR = 1.0  # of the tie, added to the expected counts of the other words
+SYMBOL = np.uint32
 PIECE = 64
 TURNS = 4
 END = U(0x454E44)  # stands for the end token among word hashes
@@ -75,34 +81,27 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The most frequent words: counts, symbol numbers, and what the base and the other-word model give them."""
+    """The most frequent words: counts and symbol numbers (by rank; then: end, other word)."""
 
-    def __init__(self, h: np.ndarray, c: np.ndarray, n: int, v: int):
-        self.symbols = min(SYMBOLS, len(h))  # the first ones by count; then: end, other word
-        self.end, self.other = self.symbols, self.symbols + 1
+    def __init__(self, h: np.ndarray, c: np.ndarray, n: int, v: int, end_c: int):
+        self.end_c = end_c
+        h, c = h[h != END], c[h != END]
         order = np.argsort(h)
-        self.h, self.c = h[order], c[order]
-        self.symbol = np.where(order < self.symbols, order, self.other).astype(np.uint16)
+        self.h, self.symbol = h[order], order.astype(SYMBOL)
+        self.end, self.other = len(h), len(h) + 1
         self.n, self.v = n, v
-        own = int(c[:self.symbols].sum())
-        end = int(self.c[self.h == END].sum())
-        n_own = self.symbols
-        if (h[:self.symbols] == END).any():
-            own, n_own = own - end, n_own - 1
-        others = max(v - n_own - 1, 0) + 1  # other words, and one slot for unseen ones
+        others = max(v - len(h) - (self.end_c > 0), 0) + 1  # other words, and one slot for unseen ones
+        self.mass = max(n - int(c.sum()) - self.end_c, 0) + ADD * others
         self.log_total = np.log10(n + ADD * (v + 1))
-        self.log_other = np.log10(max(n - own - end, 0) + ADD * others)
-        self.symbol[self.h == END] = self.end
-        self.log_c = np.log10(self.c + ADD)
-        self.start = np.zeros(self.symbols + 2)
-        np.add.at(self.start, self.symbol, self.c)
-        self.start[self.other] = max(n - own - end, 1)
-        self.start = (self.start + ADD) / (self.start + ADD).sum()
+        self.log_c = np.append(np.log10(np.append(c, self.end_c) + ADD), 0.0)  # of the other words: not known here
+        self.start = np.append(c, [self.end_c, max(n - int(c.sum()) - self.end_c, 1)]) + ADD
+        self.start = self.start / self.start.sum()
 
-    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, found) of word hashes among the known words."""
-        at = np.minimum(np.searchsorted(self.h, h), max(len(self.h) - 1, 0))
-        return at, self.h[at] == h if len(self.h) else np.zeros(len(h), bool)
+    def symbols(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.h):
+            return np.full(len(h), self.other, SYMBOL)
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        return np.where(self.h[at] == h, self.symbol[at], SYMBOL(self.other))
 
 
 def frequent(counts: DataFrame, known: int) -> list:
@@ -132,53 +131,50 @@ def frequent(counts: DataFrame, known: int) -> list:
 
 
 def encode(docs: DataFrame, vocab) -> DataFrame:
-    """Stored table: a row per document with its symbols, the sums of its known words, and its other words."""
+    """Stored table: a row per document with its symbols, the sums of its known words, and its other words' hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc: Vocabulary = vocab.value
         for batch in batches:
             for part in slices(batch, "text"):
                 w = Words(part.column("text"), lower=True)
                 d, at = len(w.count), w.first + np.arange(len(w.first))
-                h = np.full(len(w.start) + d, END)
-                h[np.arange(len(w.start)) + w.doc_of_word()] = w.hashes()
-                place, found = voc.look_up(h)
-                symbol = np.where(found, voc.symbol[place] if len(voc.h) else 0, voc.other).astype(np.uint16)
-                symbol[at[1:] - 1] = voc.end
+                place, h = np.arange(len(w.start)) + w.doc_of_word(), w.hashes()
+                symbol = np.full(len(w.start) + d, voc.end, SYMBOL)
+                symbol[place] = voc.symbols(h)
                 doc = np.repeat(np.arange(d), w.count + 1)
-                log_c = np.where(found, voc.log_c[place] if len(voc.h) else 0, 0.0)
+                found = (symbol < voc.end) | ((symbol == voc.end) & (voc.end_c > 0))
                 total = lambda x: np.bincount(doc, x, minlength=d)
-                rare, rare_doc = h[~found], doc[~found]
-                edge = np.searchsorted(rare_doc, np.arange(d + 1))
+                other = symbol[place] == voc.other
+                rare, edge = h[other], np.searchsorted(w.doc_of_word()[other], np.arange(d + 1))
                 yield pa.RecordBatch.from_arrays([
                     part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(w.count + 1),
-                    pa.array(total(found).astype(np.int64)), pa.array(total(log_c)),
-                    pa.array(total(np.where(symbol == voc.other, log_c, 0))), pa.array(total(symbol == voc.other).astype(np.int64)),
+                    pa.array(total(found).astype(np.int64)), pa.array(total(voc.log_c[symbol])),
                     pa.array([pack(symbol[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary()),
                     pa.array([pack(rare[a:b]) for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
-                    names=["row", "doc_id", "held_out", "n_tokens", "n_found", "log_found", "log_other", "n_other", "symbols", "rare"])
+                    names=["row", "doc_id", "held_out", "n_tokens", "n_found", "log_found", "symbols", "rare"])
 
     rows = docs.withColumn("row", F.monotonically_increasing_id())
-    return store(rows.select("row", "doc_id", "held_out", "text").mapInArrow(
-        run, "row long, doc_id long, held_out boolean, n_tokens long, n_found long, log_found double, log_other double, "
-             "n_other long, symbols binary, rare binary"), "lm-encoded")
+    return scratch_table(rows.select("row", "doc_id", "held_out", "text").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, n_tokens long, n_found long, log_found double, symbols binary, rare binary"),
+        "lm-encoded")
 
 
 def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, h): each other word of a document once."""
     for batch in batches:
-        for a in range(0, batch.num_rows, 512):
-            part = batch.slice(a, 512)
-            raw = [np.frombuffer(x.as_py(), np.int64) for x in part.column("rare")]
+        for part in slices(batch, "rare"):
+            raw = [np.unique(np.frombuffer(x.as_buffer(), np.int64)) for x in part.column("rare")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(part.column("row").to_numpy(zero_copy_only=False), [len(x) for x in raw])),
                  pa.array(np.concatenate(raw))], names=["row", "h"])
 
 
-def rare_sums(encoded: DataFrame, counts: DataFrame) -> DataFrame:
-    """(row, n_seen, log_rare): what the words outside the broadcast vocabulary add to each document."""
+def other_words(encoded: DataFrame, counts: DataFrame, untied: DataFrame) -> DataFrame:
+    """(row, words): for each document its other words with count and expected counts by state (null: not in the training texts)."""
     words = encoded.select("row", "rare").filter(F.octet_length("rare") > 0).mapInArrow(_rare, "row long, h long")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    return (words.join(counts, "h", "left").groupBy("row")
-            .agg(F.sum((c > 0).cast("long")).alias("n_seen"), F.sum(F.log10(c + F.lit(ADD))).alias("log_rare")))
+    g = [c for c in untied.columns if c != "h"]
+    return (words.join(counts, "h", "left").join(untied, "h", "left").groupBy("row")
+            .agg(F.collect_list(F.struct("h", "c", *[F.col(c).cast("float").alias(c) for c in g])).alias("words")))
 
 
 class Hmm:
@@ -194,9 +190,9 @@ class Hmm:
         move = np.full((states, states), 0.1) + np.eye(states) + draw.uniform(0, 0.05, (states, states))
         return cls(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
-    def expect(self, pieces: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Expected counts over pieces (rows, padded to equal length), flattened: starts, moves, emissions.
-        ``first`` tells the pieces that begin a text."""
+    def posteriors(self, pieces: np.ndarray, length: np.ndarray, first: np.ndarray) -> tuple:
+        """(starts, moves, inside, gamma) over pieces (rows, padded to equal length): expected counts of starts and moves, and per
+        place (t, n) that is ``inside`` a piece the states' probabilities.  ``first`` tells the pieces that begin a text."""
         n, t_max, k = len(pieces), pieces.shape[1], len(self.start)
         inside = np.arange(t_max) < length[:, None]
         b = np.where(inside.T[:, :, None], self.emit[pieces.T], 1.0)  # (t, n, k); padding emits with certainty
@@ -215,12 +211,13 @@ class Hmm:
                 right = b[t] * beta / scale[t][:, None]
                 moves += (alpha[t - 1] * inside[:, t][:, None]).T @ right
                 beta = right @ self.move.T
-        moves *= self.move
         gamma /= gamma.sum(2, keepdims=True)
-        ok = inside.T
-        symbol, g = pieces.T[ok], gamma[ok]
-        emits = np.stack([np.bincount(symbol, g[:, i], minlength=len(self.emit)) for i in range(k)], 1)
-        return np.concatenate([gamma[0][first].sum(0), moves.ravel(), emits.ravel()])
+        return gamma[0][first].sum(0), moves * self.move, inside.T, gamma
+
+    def expect(self, pieces: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Expected counts, flattened: starts, moves, emissions."""
+        starts, moves, ok, gamma = self.posteriors(pieces, length, first)
+        return np.concatenate([starts, moves.ravel(), tally(pieces.T[ok], gamma[ok], len(self.emit)).ravel()])
 
     def updated(self, counts: np.ndarray) -> Hmm:
         k = len(self.start)
@@ -229,16 +226,23 @@ class Hmm:
         emit = emit + ADD * emit.sum(0) / max(emit.sum(), 1) + 1e-4
         return Hmm(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
-    def log10(self, symbols: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """log10 probability of whole sequences (laid end to end), by the scaled forward recursion."""
+    def log10(self, symbols: np.ndarray, length: np.ndarray, more: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of whole sequences (laid end to end), by the scaled forward recursion.
+        Symbols from len(emit) on are rows of ``more``."""
         start = np.cumsum(length) - length
         order = np.argsort(-length, kind="stable")
         at, left = start[order], length[order]
         out = np.zeros(len(length))
         a = np.tile(self.start, (len(length), 1)) if len(length) else np.zeros((0, len(self.start)))
         active = np.searchsorted(-left, -np.arange(int(left[0]) if len(left) else 0), "left")
+        n = len(self.emit)
         for t, m in enumerate(active):  # sequences longer than t come first
-            a = (a[:m] if t == 0 else a[:m] @ self.move) * self.emit[symbols[at[:m] + t]]
+            now = symbols[at[:m] + t]
+            e = self.emit[np.minimum(now, n - 1)]
+            if more is not None and len(more):
+                beyond = now >= n
+                e[beyond] = more[now[beyond] - n]
+            a = (a[:m] if t == 0 else a[:m] @ self.move) * e
             s = a.sum(1)
             a /= s[:, None]
             out[:m] += np.log10(s)
@@ -247,17 +251,28 @@ class Hmm:
         return back
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The batch's symbols in pieces (symbols, length, begins a text), ``2048`` at a time."""
+def tally(key: np.ndarray, gamma: np.ndarray, n: int) -> np.ndarray:
+    """(n, K): the sums of ``gamma``'s rows by key."""
+    return np.stack([np.bincount(key, gamma[:, i], minlength=n) for i in range(gamma.shape[1])], 1)
+
+
+def _pieces(batch: pa.RecordBatch, other: int | None = None) -> Iterator[tuple]:
+    """The batch's symbols in pieces (symbols, length, begins a text), ``2048`` at a time; with ``other`` also the hashes of the
+    other words at their places."""
     rows, size = [], 0
-    for x in batch.column("symbols"):
-        s = np.frombuffer(x.as_buffer(), np.uint16)
+    for j, x in enumerate(batch.column("symbols")):
+        s = np.frombuffer(x.as_buffer(), SYMBOL)
         n = -(-len(s) // PIECE)
-        padded = np.zeros(n * PIECE, np.uint16)
+        padded = np.zeros(n * PIECE, SYMBOL)
         padded[:len(s)] = s
         length = np.full(n, PIECE)
         length[-1] = len(s) - (n - 1) * PIECE
-        rows.append((padded.reshape(n, PIECE), length, np.arange(n) == 0))
+        row = [padded.reshape(n, PIECE), length, np.arange(n) == 0]
+        if other is not None:
+            h = np.zeros(n * PIECE, np.int64)
+            h[:len(s)][s == other] = np.frombuffer(batch.column("rare")[j].as_buffer(), np.int64)
+            row.append(h.reshape(n, PIECE))
+        rows.append(row)
         size += n
         if size >= 2048:
             yield tuple(map(np.concatenate, zip(*rows)))
@@ -266,29 +281,83 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         yield tuple(map(np.concatenate, zip(*rows)))
 
 
-def train(encoded: DataFrame, unigram: np.ndarray, turns: int = TURNS) -> Hmm:
-    """Baum-Welch over the training texts of the encoded table."""
-    sc, model = encoded.sparkSession.sparkContext, Hmm.first(unigram)
-    texts = encoded.filter(~F.col("held_out")).select("symbols")
-    for _ in range(turns):
-        share = sc.broadcast(model)
-
-        def expect(batches: Iterator[pa.RecordBatch], share=share) -> Iterator[pa.RecordBatch]:
-            total = 0.0
+class Sums:
+    """Sums of vectors by hash, given out when many."""
+
+    def __init__(self, most: int = 1 << 19):
+        self.parts, self.n, self.most = [], 0, most
+
+    def add(self, h: np.ndarray, g: np.ndarray) -> tuple | None:
+        key, place = np.unique(h, return_inverse=True)
+        self.parts.append((key, tally(place, g, len(key))))
+        self.n += len(key)
+        if self.n > 2 * self.most:
+            h, g = self.rest()
+            if len(h) > self.most:
+                return h, g
+            self.parts, self.n = [(h, g)], len(h)
+        return None
+
+    def rest(self) -> tuple | None:
+        if not self.parts:
+            return None
+        key, place = np.unique(np.concatenate([h for h, _ in self.parts]), return_inverse=True)
+        g = tally(place, np.concatenate([g for _, g in self.parts]), len(key))
+        self.parts, self.n = [], 0
+        return key, g
+
+
+def train(encoded: DataFrame, unigram: np.ndarray, turns: int = TURNS) -> tuple[Hmm, np.ndarray, DataFrame]:
+    """Baum-Welch over the training texts of the encoded table, whose last symbol is the other word: (model, expected count of other
+    words by state, stored table (h, g0, g1, ...) of the expected counts of each other word by state)."""
+    spark, model = encoded.sparkSession, Hmm.first(unigram)
+    k, other = len(model.start), len(unigram) - 1
+    texts = encoded.filter(~F.col("held_out")).select("symbols", "rare")
+    g = [f"g{i}" for i in range(k)]
+    schema = "i int, h long, " + ", ".join(f"{c} double" for c in g)
+    total, untied = np.zeros(k), None
+    for turn in range(turns):
+        share, last = spark.sparkContext.broadcast(model), turn == turns - 1
+
+        def expect(batches: Iterator[pa.RecordBatch], share=share, last=last) -> Iterator[pa.RecordBatch]:
+            def out(i, h, x) -> pa.RecordBatch:  # one of i and h is null
+                n = len(x)
+                return pa.RecordBatch.from_arrays(
+                    [pa.nulls(n, pa.int32()) if i is None else pa.array(i, pa.int32()), pa.nulls(n, pa.int64()) if h is None else pa.array(h),
+                     *[pa.array(np.ascontiguousarray(x[:, c])) for c in range(k)]], names=["i", "h", *g])
+
+            model, sums = share.value, Sums()
+            starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros_like(model.emit)
             for batch in batches:
-                for pieces, length, first in _pieces(batch):
-                    for a in range(0, len(pieces), 2048):
-                        total = total + share.value.expect(pieces[a:a + 2048], length[a:a + 2048], first[a:a + 2048])
-            if not np.isscalar(total):
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "x"])
-
-        rows = texts.mapInArrow(expect, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-        if not rows:
-            break
-        counts = np.zeros(len(rows))
-        counts[[r["i"] for r in rows]] = [r["x"] for r in rows]
-        model = model.updated(counts)
-    return model
+                for part in slices(batch, "symbols"):
+                    for pieces, length, first, *rare in _pieces(part, other if last else None):
+                        for a in range(0, len(pieces), 2048):
+                            s, m, ok, gamma = model.posteriors(pieces[a:a + 2048], length[a:a + 2048], first[a:a + 2048])
+                            symbol, gamma = pieces[a:a + 2048].T[ok], gamma[ok]
+                            starts += s
+                            moves += m
+                            emits += tally(symbol, gamma, len(emits))
+                            if last:
+                                full = sums.add(rare[0][a:a + 2048].T[ok][symbol == other], gamma[symbol == other])
+                                if full is not None:
+                                    yield out(None, *full)
+            seen = np.flatnonzero(emits.any(1))
+            yield out(np.concatenate([[-1], -2 - np.arange(k), seen]), None, np.concatenate([starts[None], moves, emits[seen]]))
+            left = sums.rest()
+            if left is not None and len(left[0]):
+                yield out(None, *left)
+
+        parts = texts.mapInArrow(expect, schema)
+        if last:
+            parts = scratch_table(parts, "lm-last-turn")
+            untied = scratch_table(parts.filter("i is null").groupBy("h").agg(*[F.sum(c).alias(c) for c in g]), "lm-untied")
+        rows = parts.filter("i is not null").groupBy("i").agg(*[F.sum(c).alias(c) for c in g]).toArrow()
+        i, x = rows.column("i").to_numpy(), np.stack([rows.column(c).to_numpy() for c in g], 1)
+        dense = np.zeros((1 + k + len(unigram), k))
+        dense[np.where(i < 0, -1 - i, i + 1 + k)] = x
+        total = dense[-1]
+        model = model.updated(dense.ravel())
+    return model, total, untied
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -296,26 +365,45 @@ def score(docs: DataFrame) -> DataFrame:
     text and held_out (false: learned from)."""
     sc = docs.sparkSession.sparkContext
     counts = count_words(docs.filter(~F.col("held_out")))
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    ends = F.sum(F.when(F.col("h") == int(END), F.col("c")))  # few texts of many words: not always a frequent one
+    n, v, end_c = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(ends, F.lit(0))).first()
     top = frequent(counts, KNOWN)
-    voc = Vocabulary(np.array([r["h"] for r in top], np.int64).view(U), np.array([r["c"] for r in top], np.int64), int(n), int(v))
+    voc = Vocabulary(np.array([r["h"] for r in top], np.int64).view(U), np.array([r["c"] for r in top], np.int64),
+                     int(n), int(v), int(end_c))
     encoded = encode(docs, sc.broadcast(voc))
-    model = sc.broadcast(train(encoded, voc.start))
+    trained, total, untied = train(encoded, voc.start)
+    model = sc.broadcast(trained)
+    k, other, mass = len(total), voc.other, voc.mass
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hmm = model.value
+        n_symbols = len(hmm.emit)
         for batch in batches:
-            raw = [np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("symbols")]
-            got = model.value.log10(np.concatenate(raw), np.array([len(x) for x in raw])) if raw else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in cols), pa.array(got)], names=[*cols, "log_hmm"])
-
-    cols = ["row", "doc_id", "held_out", "n_tokens", "n_found", "log_found", "log_other", "n_other"]
-    hidden = encoded.select(*cols, "symbols").mapInArrow(
-        forward, "row long, doc_id long, held_out boolean, n_tokens long, n_found long, log_found double, "
-                 "log_other double, n_other long, log_hmm double")
-    both = hidden.join(rare_sums(encoded, counts), "row", "left")
-    seen, rare = F.coalesce(F.col("n_seen"), F.lit(0)), F.coalesce(F.col("log_rare"), F.lit(0.0))
-    base = F.col("log_found") + rare - F.col("n_tokens") * F.lit(float(voc.log_total))
-    own = F.col("log_hmm") + F.col("log_other") + rare - F.col("n_other") * F.lit(float(voc.log_other))
-    return both.select("doc_id", "held_out", "n_tokens", (F.col("n_found") + seen).alias("n_known"),
-                       F.lit(int(n)).cast("long").alias("train_tokens"), base.alias("base_score"),
-                       (own if n else base).alias("score"))
+            for part in slices(batch, "symbols"):
+                raw = [np.frombuffer(x.as_buffer(), SYMBOL) for x in part.column("symbols")]
+                length = np.array([len(x) for x in raw])
+                symbols = np.concatenate(raw).astype(np.int64)
+                rare = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in part.column("rare")])
+                words = part.column("words").flatten()
+                h = words.field("h").to_numpy(zero_copy_only=False)
+                c, g = (np.nan_to_num(np.stack([words.field(x).to_numpy(zero_copy_only=False).astype(np.float64) for x in names], 1))
+                        for names in (["c"], [f"g{i}" for i in range(k)]))
+                h, at = np.unique(h, return_index=True)
+                c, g = c[at, 0], g[at]
+                place = np.searchsorted(h, rare)
+                share = (g + PRIOR * (c + ADD)[:, None]) / (total + PRIOR * mass)
+                symbols[symbols == other] = n_symbols + place
+                doc = np.repeat(np.arange(len(raw)), [len(x) // 8 for x in (y.as_buffer() for y in part.column("rare"))])
+                seen = np.bincount(doc, c[place] > 0, minlength=len(raw)) if len(rare) else np.zeros(len(raw))
+                log_rare = np.bincount(doc, np.log10(c[place] + ADD), minlength=len(raw)) if len(rare) else np.zeros(len(raw))
+                base = part.column("log_found").to_numpy(zero_copy_only=False) + log_rare - length * voc_total
+                own = hmm.log10(symbols, length, share * hmm.emit[other]) if n else base
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("held_out"), part.column("n_tokens"),
+                     pa.array(part.column("n_found").to_numpy(zero_copy_only=False) + seen.astype(np.int64)),
+                     pa.array(np.full(len(raw), n, np.int64)), pa.array(base), pa.array(own)],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    n, voc_total = int(n), float(voc.log_total)
+    return encoded.join(other_words(encoded, counts, untied), "row", "left").mapInArrow(
+        forward, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ def test_score_is_the_plain_forward_recursion():
 
 def test_only_text_starts_count_as_starts():
     import pyarrow as pa
-    batch = pa.RecordBatch.from_arrays([pa.array([np.arange(n, dtype=np.uint16).tobytes() for n in (200, 5, 64)], pa.binary())], names=["symbols"])
+    batch = pa.RecordBatch.from_arrays([pa.array([np.arange(n, dtype=hmm_lm.SYMBOL).tobytes() for n in (200, 5, 64)], pa.binary())], names=["symbols"])
     pieces, length, first = next(hmm_lm._pieces(batch))
     assert length.tolist() == [64, 64, 64, 8, 5, 64] and first.tolist() == [True, False, False, False, True, True]
     counts = model(200).expect(pieces, length, first)
@@ -42,3 +44,82 @@ def test_frequent_words_of_a_uniform_vocabulary(spark):
         got = hmm_lm.frequent(counts, known)
         assert 0.9 * min(known, 5000) - 2 <= len(got) <= known and got
         assert sum(r["c"] == 90 for r in got) == min(10, len(got))
+
+
+def small_corpus() -> list[tuple[int, str, bool]]:
+    draw = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(30)]
+    text = lambda n: " ".join(draw.choice(words, n, p=np.arange(30, 0, -1) / 465))
+    return [(i, text(int(draw.integers(0, 150))), i % 5 == 0) for i in range(40)] + [(40, "w1 never seen Never w29", True), (41, None, False)]
+
+
+def test_counts_and_scores_are_those_of_a_full_table(spark, monkeypatch):
+    """Expected counts of the last turn, word by word, and the scores, against plain recursions over all words."""
+    monkeypatch.setattr(hmm_lm, "KNOWN", 8)
+    docs = small_corpus()
+    df = spark.createDataFrame(docs, "doc_id long, text string, held_out boolean")
+    caught = {}
+    plain_train = hmm_lm.train
+
+    def train(encoded, unigram, turns=hmm_lm.TURNS):
+        caught["before"], _, _ = plain_train(encoded, unigram, turns - 1)
+        caught["after"], caught["total"], caught["untied"] = out = plain_train(encoded, unigram, turns)
+        caught["encoded"] = encoded
+        return out
+    monkeypatch.setattr(hmm_lm, "train", train)
+    got = {r["doc_id"]: r for r in hmm_lm.score(df).collect()}
+    tokens = {d: [*(t or "").lower().split(), None] for d, t, _ in docs}
+    c = Counter(w for d, _, held in docs if not held for w in tokens[d])
+    symbols = {r["doc_id"]: np.frombuffer(r["symbols"], hmm_lm.SYMBOL) for r in caught["encoded"].collect()}
+    before, after, k = caught["before"], caught["after"], hmm_lm.STATES
+    other = len(before.emit) - 1
+    number = {w: s for d in tokens for w, s in zip(tokens[d], symbols[d])}
+    tied = [w for w in c if number[w] == other]
+    assert len(tied) >= 20 and number[None] == other - 1
+
+    expected = {w: np.zeros(k) for w in c}
+    for d, _, held in docs:
+        if held:
+            continue
+        later = before.start @ np.linalg.matrix_power(before.move, hmm_lm.PIECE)
+        for a in range(0, len(tokens[d]), hmm_lm.PIECE):
+            piece = tokens[d][a:a + hmm_lm.PIECE]
+            e = [before.emit[number[w]] for w in piece]
+            alpha = [(before.start if a == 0 else later / later.sum()) * e[0]]
+            for x in e[1:]:
+                alpha.append((alpha[-1] @ before.move) * x)
+            beta = [np.ones(k)]
+            for x in reversed(e[1:]):
+                beta.insert(0, before.move @ (x * beta[0]))
+            for w, x, y in zip(piece, alpha, beta):
+                expected[w] += x * y / (x @ y)
+    rows = {r["h"]: [r[f"g{i}"] for i in range(k)] for r in caught["untied"].collect()}
+    assert len(rows) == len(tied)
+    assert np.array(sorted(map(tuple, rows.values()))) == pytest.approx(np.array(sorted(tuple(expected[w]) for w in tied)))
+    total = sum(expected[w] for w in tied)
+    assert caught["total"] == pytest.approx(total)
+
+    mass = sum(c[w] + hmm_lm.ADD for w in tied) + hmm_lm.ADD
+    emit = lambda w: after.emit[number[w]] if w in c and number[w] != other else after.emit[other] * (
+        expected.get(w, np.zeros(k)) + hmm_lm.PRIOR * (c[w] + hmm_lm.ADD)) / (total + hmm_lm.PRIOR * mass)
+    every = sum(emit(w) for w in c) + emit("never seen word")
+    assert every == pytest.approx(np.ones(k))  # each state's probabilities add up to one
+    for d, _, _ in docs:
+        a, log = after.start, 0.0
+        for t, w in enumerate(tokens[d]):
+            a = (a if t == 0 else a @ after.move) * emit(w)
+            log += np.log10(a.sum())
+            a = a / a.sum()
+        assert got[d]["score"] == pytest.approx(log, rel=1e-5), d
+        assert got[d]["n_known"] == sum(c[w] > 0 for w in tokens[d])
+
+
+def test_sums_are_given_out_when_many():
+    draw, sums, parts = np.random.default_rng(2), hmm_lm.Sums(20), []
+    h, g = draw.integers(0, 60, 500), draw.random((500, 3))
+    for a in range(0, 500, 25):
+        parts.append(sums.add(h[a:a + 25], g[a:a + 25]))
+    parts = [p for p in [*parts, sums.rest()] if p is not None]
+    assert len(parts) > 1
+    got = hmm_lm.tally(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), 60)
+    assert got == pytest.approx(hmm_lm.tally(h, g, 60))
