@@ -9,10 +9,11 @@ counts of its own.  Those of the ``KNOWN`` most frequent words are broadcast and
 all other words are a distributed table (word, state), as large as the corpus' vocabulary: Spark sums the tasks' expected
 counts per word and joins them to the texts that hold the word.
 
-Baum-Welch: tasks add up expected counts over their texts, Spark adds the tasks'.  While the states take shape, the other words
-are tied: in state k, word w has the state's mass of other words times (c(w) + 0.1) / (mass of all others, one slot for unseen
-words included).  The last turn unties them: what it expects of each other word in each state takes the place of the tie,
-smoothed towards it with ``PRIOR`` of its mass, so each state's probabilities still add up to one, unseen words included.  For
+Baum-Welch: tasks add up expected counts over their texts, Spark adds the tasks'.  While the states take shape, all but the ``FREE``
+most frequent words are tied: in state k, word w has the state's mass of tied words times its share of their count (0.1 added; one
+slot for unseen words).  The last turn unties them: what it expects of each word in each state takes the place of the tie, for
+the other words smoothed towards it with ``PRIOR`` of its mass, so each state's probabilities still add up to one, unseen words
+included.  The table of other words holds a word's count and its shares by state, each cut to a 4095th, in one number.  For
 training, texts are cut into pieces of ``PIECE`` tokens; only a text's first piece counts as a start, the others begin with the states'
 distribution after ``PIECE`` moves.  The scaled forward recursion that scores a text runs over the whole of it.
 
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,10 @@ from ._tokens import U, Words, pack, slices
 
 STATES = 6
 KNOWN = 131_072  # words in the broadcast matrix; all others are in the distributed table
+FREE = 16_384
 PRIOR = 1.0  # of the tie, added to the expected counts of the other words
 SYMBOL = np.uint32
+PARTS, BITS = 4095, 12  # of a word's shares by state; STATES - 1 of them fit in 63 bits
 PIECE = 64
 TURNS = 4
 END = U(0x454E44)  # stands for the end token among word hashes
@@ -130,8 +134,19 @@ def frequent(counts: DataFrame, known: int) -> list:
     return counts.filter(take).orderBy(F.col("c").desc(), "h").collect()
 
 
+def squeeze(symbols: np.ndarray) -> bytes:
+    """Symbols of a text, compressed (byte by byte of their place, as the high bytes are mostly zero)."""
+    return pa.compress(pack(symbols.astype(SYMBOL).view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+
+
+def expand(x: pa.BinaryScalar, n: int) -> np.ndarray:
+    raw = pa.decompress(x.as_buffer(), decompressed_size=4 * n, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view(SYMBOL).ravel()
+
+
 def encode(docs: DataFrame, vocab) -> DataFrame:
-    """Stored table: a row per document with its symbols, the sums of its known words, and its other words' hashes."""
+    """Stored table: a row per document with its symbols, the sums of its known words, and the sorted hashes of its other words, each
+    once.  Symbol ``other`` + i is the i-th of these."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc: Vocabulary = vocab.value
         for batch in batches:
@@ -144,13 +159,20 @@ def encode(docs: DataFrame, vocab) -> DataFrame:
                 doc = np.repeat(np.arange(d), w.count + 1)
                 found = (symbol < voc.end) | ((symbol == voc.end) & (voc.end_c > 0))
                 total = lambda x: np.bincount(doc, x, minlength=d)
-                other = symbol[place] == voc.other
-                rare, edge = h[other], np.searchsorted(w.doc_of_word()[other], np.arange(d + 1))
+                log_c = total(voc.log_c[symbol])
+                rare = np.flatnonzero(symbol == voc.other)
+                key, of = h[rare - doc[rare]].view(np.int64), doc[rare]
+                order = np.lexsort((key, of))
+                key, of, rare = key[order], of[order], rare[order]
+                new = np.append(True, (key[1:] != key[:-1]) | (of[1:] != of[:-1]))[:len(key)]
+                edge = np.searchsorted(of[new], np.arange(d + 1))
+                symbol[rare] = (voc.other + np.cumsum(new) - 1 - edge[of]).astype(SYMBOL)
+                key = key[new]
                 yield pa.RecordBatch.from_arrays([
                     part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(w.count + 1),
-                    pa.array(total(found).astype(np.int64)), pa.array(total(voc.log_c[symbol])),
-                    pa.array([pack(symbol[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary()),
-                    pa.array([pack(rare[a:b]) for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
+                    pa.array(total(found).astype(np.int64)), pa.array(log_c),
+                    pa.array([squeeze(symbol[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                    pa.array([pack(key[a:b]) for a, b in zip(edge[:-1], edge[1:])], pa.binary())],
                     names=["row", "doc_id", "held_out", "n_tokens", "n_found", "log_found", "symbols", "rare"])
 
     rows = docs.withColumn("row", F.monotonically_increasing_id())
@@ -163,18 +185,22 @@ def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, h): each other word of a document once."""
     for batch in batches:
         for part in slices(batch, "rare"):
-            raw = [np.unique(np.frombuffer(x.as_buffer(), np.int64)) for x in part.column("rare")]
+            raw = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("rare")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(part.column("row").to_numpy(zero_copy_only=False), [len(x) for x in raw])),
                  pa.array(np.concatenate(raw))], names=["row", "h"])
 
 
-def other_words(encoded: DataFrame, counts: DataFrame, untied: DataFrame) -> DataFrame:
-    """(row, words): for each document its other words with count and expected counts by state (null: not in the training texts)."""
+def other_words(encoded: DataFrame, untied: DataFrame) -> DataFrame:
+    """(row, words): for each document its other words with count and shares by state (null: not in the training texts)."""
     words = encoded.select("row", "rare").filter(F.octet_length("rare") > 0).mapInArrow(_rare, "row long, h long")
-    g = [c for c in untied.columns if c != "h"]
-    return (words.join(counts, "h", "left").join(untied, "h", "left").groupBy("row")
-            .agg(F.collect_list(F.struct("h", "c", *[F.col(c).cast("float").alias(c) for c in g])).alias("words")))
+    return words.join(untied, "h", "left").groupBy("row").agg(F.collect_list(F.struct("h", "c", "q")).alias("words"))
+
+
+def by_state(c: np.ndarray, q: np.ndarray, states: int) -> np.ndarray:
+    """(words, states): expected counts from count and packed shares."""
+    parts = np.stack([(q >> (BITS * i)) & PARTS for i in range(states - 1)], 1)
+    return np.column_stack([parts, PARTS - parts.sum(1)]) * (c / PARTS)[:, None]
 
 
 class Hmm:
@@ -257,20 +283,20 @@ def tally(key: np.ndarray, gamma: np.ndarray, n: int) -> np.ndarray:
 
 
 def _pieces(batch: pa.RecordBatch, other: int | None = None) -> Iterator[tuple]:
-    """The batch's symbols in pieces (symbols, length, begins a text), ``2048`` at a time; with ``other`` also the hashes of the
-    other words at their places."""
+    """The batch's symbols in pieces (symbols, length, begins a text), ``2048`` at a time.  With ``other``, symbols from there on
+    become ``other``, and the hashes of the other words at their places follow."""
     rows, size = [], 0
-    for j, x in enumerate(batch.column("symbols")):
-        s = np.frombuffer(x.as_buffer(), SYMBOL)
+    for j, (x, n_tokens) in enumerate(zip(batch.column("symbols"), batch.column("n_tokens").to_pylist())):
+        s = expand(x, n_tokens)
         n = -(-len(s) // PIECE)
         padded = np.zeros(n * PIECE, SYMBOL)
-        padded[:len(s)] = s
+        padded[:len(s)] = s if other is None else np.minimum(s, other)
         length = np.full(n, PIECE)
         length[-1] = len(s) - (n - 1) * PIECE
         row = [padded.reshape(n, PIECE), length, np.arange(n) == 0]
         if other is not None:
-            h = np.zeros(n * PIECE, np.int64)
-            h[:len(s)][s == other] = np.frombuffer(batch.column("rare")[j].as_buffer(), np.int64)
+            h, rare = np.zeros(n * PIECE, np.int64), s >= other
+            h[:len(s)][rare] = np.frombuffer(batch.column("rare")[j].as_buffer(), np.int64)[s[rare] - other]
             row.append(h.reshape(n, PIECE))
         rows.append(row)
         size += n
@@ -308,14 +334,15 @@ class Sums:
 
 
 def train(encoded: DataFrame, unigram: np.ndarray, turns: int = TURNS) -> tuple[Hmm, np.ndarray, DataFrame]:
-    """Baum-Welch over the training texts of the encoded table, whose last symbol is the other word: (model, expected count of other
-    words by state, stored table (h, g0, g1, ...) of the expected counts of each other word by state)."""
+    """Baum-Welch over the training texts of the encoded table; the last two symbols are the end and the other word.  Gives the model, the
+    expected count of other words by state, and the stored table (h, c, q) of the other words: count and shares by state."""
     spark, model = encoded.sparkSession, Hmm.first(unigram)
-    k, other = len(model.start), len(unigram) - 1
-    texts = encoded.filter(~F.col("held_out")).select("symbols", "rare")
-    g = [f"g{i}" for i in range(k)]
-    schema = "i int, h long, " + ", ".join(f"{c} double" for c in g)
-    total, untied = np.zeros(k), None
+    k, end, other = len(model.start), len(unigram) - 2, len(unigram) - 1
+    texts = encoded.filter(~F.col("held_out")).select("n_tokens", "symbols", "rare")
+    g = [f"g{i}" for i in range(k - 1)]  # of the last state: what is left of c
+    schema = "i int, h long, c double, " + ", ".join(f"{x} float" for x in g)
+    tied = np.arange(len(unigram)) >= min(FREE, end)
+    tied[end] = False
     for turn in range(turns):
         share, last = spark.sparkContext.broadcast(model), turn == turns - 1
 
@@ -324,21 +351,22 @@ def train(encoded: DataFrame, unigram: np.ndarray, turns: int = TURNS) -> tuple[
                 n = len(x)
                 return pa.RecordBatch.from_arrays(
                     [pa.nulls(n, pa.int32()) if i is None else pa.array(i, pa.int32()), pa.nulls(n, pa.int64()) if h is None else pa.array(h),
-                     *[pa.array(np.ascontiguousarray(x[:, c])) for c in range(k)]], names=["i", "h", *g])
+                     pa.array(x.sum(1)), *[pa.array(x[:, j].astype(np.float32)) for j in range(k - 1)]], names=["i", "h", "c", *g])
 
             model, sums = share.value, Sums()
+            key = np.arange(len(model.emit)) if last else np.where(tied, other, np.arange(len(model.emit)))
             starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros_like(model.emit)
             for batch in batches:
                 for part in slices(batch, "symbols"):
-                    for pieces, length, first, *rare in _pieces(part, other if last else None):
+                    for pieces, length, first, rare in _pieces(part, other):
                         for a in range(0, len(pieces), 2048):
                             s, m, ok, gamma = model.posteriors(pieces[a:a + 2048], length[a:a + 2048], first[a:a + 2048])
                             symbol, gamma = pieces[a:a + 2048].T[ok], gamma[ok]
                             starts += s
                             moves += m
-                            emits += tally(symbol, gamma, len(emits))
+                            emits += tally(key[symbol], gamma, len(emits))
                             if last:
-                                full = sums.add(rare[0][a:a + 2048].T[ok][symbol == other], gamma[symbol == other])
+                                full = sums.add(rare[a:a + 2048].T[ok][symbol == other], gamma[symbol == other])
                                 if full is not None:
                                     yield out(None, *full)
             seen = np.flatnonzero(emits.any(1))
@@ -347,17 +375,28 @@ def train(encoded: DataFrame, unigram: np.ndarray, turns: int = TURNS) -> tuple[
             if left is not None and len(left[0]):
                 yield out(None, *left)
 
-        parts = texts.mapInArrow(expect, schema)
+        rows = texts.mapInArrow(expect, schema).groupBy("i", "h").agg(F.sum("c").alias("c"), *[F.sum(x).alias(x) for x in g])
         if last:
-            parts = scratch_table(parts, "lm-last-turn")
-            untied = scratch_table(parts.filter("i is null").groupBy("h").agg(*[F.sum(c).alias(c) for c in g]), "lm-untied")
-        rows = parts.filter("i is not null").groupBy("i").agg(*[F.sum(c).alias(c) for c in g]).toArrow()
-        i, x = rows.column("i").to_numpy(), np.stack([rows.column(c).to_numpy() for c in g], 1)
+            q = F.lit(0).cast("long")
+            for j, x in enumerate(g):
+                part = F.least(F.floor(F.greatest(F.col(x), F.lit(0.0)) / F.col("c") * PARTS), F.lit(PARTS))
+                q = q.bitwiseOR(F.shiftleft(part.cast("long"), BITS * j))
+            known = F.col("i").isNotNull()
+            rows = scratch_table(rows.select("i", "h", "c", *[F.when(known, F.col(x)).alias(x) for x in g],
+                                             F.when(~known, q).alias("q")), "lm-last-turn")
+        got = rows.filter("i is not null").select("i", "c", *g).toArrow()
+        i, x = got.column("i").to_numpy(), np.stack([got.column(c).to_numpy() for c in ("c", *g)], 1)
+        x = np.column_stack([x[:, 1:], np.maximum(x[:, 0] - x[:, 1:].sum(1), 0)])
         dense = np.zeros((1 + k + len(unigram), k))
         dense[np.where(i < 0, -1 - i, i + 1 + k)] = x
-        total = dense[-1]
+        if not last:
+            dense[1 + k:][tied] = dense[-1] * (unigram[tied] / unigram[tied].sum())[:, None]
         model = model.updated(dense.ravel())
-    return model, total, untied
+    untied = rows.filter("i is null").select("h", F.round("c").cast("long").alias("c"), "q")
+    share = [F.shiftright("q", BITS * j).bitwiseAND(F.lit(PARTS).cast("long")) for j in range(k - 1)]
+    sums = untied.agg(F.sum("c"), *[F.sum(F.col("c") * x / PARTS) for x in share]).first()
+    total = np.array([x or 0.0 for x in sums], float)
+    return model, np.append(total[1:], total[0] - total[1:].sum()), untied
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -380,30 +419,28 @@ def score(docs: DataFrame) -> DataFrame:
         n_symbols = len(hmm.emit)
         for batch in batches:
             for part in slices(batch, "symbols"):
-                raw = [np.frombuffer(x.as_buffer(), SYMBOL) for x in part.column("symbols")]
-                length = np.array([len(x) for x in raw])
-                symbols = np.concatenate(raw).astype(np.int64)
-                rare = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in part.column("rare")])
+                d, length = part.num_rows, part.column("n_tokens").to_numpy(zero_copy_only=False)
+                symbols = np.concatenate([expand(x, m) for x, m in zip(part.column("symbols"), length)]).astype(np.int64)
+                size = pc.fill_null(pc.list_value_length(part.column("words")), 0).to_numpy(zero_copy_only=False)
                 words = part.column("words").flatten()
-                h = words.field("h").to_numpy(zero_copy_only=False)
-                c, g = (np.nan_to_num(np.stack([words.field(x).to_numpy(zero_copy_only=False).astype(np.float64) for x in names], 1))
-                        for names in (["c"], [f"g{i}" for i in range(k)]))
-                h, at = np.unique(h, return_index=True)
-                c, g = c[at, 0], g[at]
-                place = np.searchsorted(h, rare)
-                share = (g + PRIOR * (c + ADD)[:, None]) / (total + PRIOR * mass)
-                symbols[symbols == other] = n_symbols + place
-                doc = np.repeat(np.arange(len(raw)), [len(x) // 8 for x in (y.as_buffer() for y in part.column("rare"))])
-                seen = np.bincount(doc, c[place] > 0, minlength=len(raw)) if len(rare) else np.zeros(len(raw))
-                log_rare = np.bincount(doc, np.log10(c[place] + ADD), minlength=len(raw)) if len(rare) else np.zeros(len(raw))
-                base = part.column("log_found").to_numpy(zero_copy_only=False) + log_rare - length * voc_total
-                own = hmm.log10(symbols, length, share * hmm.emit[other]) if n else base
+                h, c, q = (np.nan_to_num(words.field(x).fill_null(0).to_numpy(zero_copy_only=False)) for x in ("h", "c", "q"))
+                order = np.lexsort((h, np.repeat(np.arange(d), size)))  # as encode numbered them
+                c, q = c[order], q[order]
+                weight = by_state(c, q, k) + PRIOR * (c + ADD)[:, None]
+                doc, rare = np.repeat(np.arange(d), length), np.flatnonzero(symbols >= other)
+                doc = doc[rare]
+                place = symbols[rare] - other + (np.cumsum(size) - size)[doc]
+                symbols[rare] = n_symbols + place
+                seen = np.bincount(doc, c[place] > 0, minlength=d)
+                base = part.column("log_found").to_numpy(zero_copy_only=False) - length * voc_total
+                base = base + np.bincount(doc, np.log10(c[place] + ADD), minlength=d)
+                own = hmm.log10(symbols, length, weight / (total + PRIOR * mass) * hmm.emit[other]) if n else base
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), part.column("n_tokens"),
                      pa.array(part.column("n_found").to_numpy(zero_copy_only=False) + seen.astype(np.int64)),
-                     pa.array(np.full(len(raw), n, np.int64)), pa.array(base), pa.array(own)],
+                     pa.array(np.full(d, n, np.int64)), pa.array(base), pa.array(own)],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     n, voc_total = int(n), float(voc.log_total)
-    return encoded.join(other_words(encoded, counts, untied), "row", "left").mapInArrow(
+    return encoded.drop("rare").join(other_words(encoded, untied), "row", "left").mapInArrow(
         forward, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

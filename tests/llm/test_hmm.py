@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,8 +30,8 @@ def test_score_is_the_plain_forward_recursion():
 
 
 def test_only_text_starts_count_as_starts():
-    import pyarrow as pa
-    batch = pa.RecordBatch.from_arrays([pa.array([np.arange(n, dtype=hmm_lm.SYMBOL).tobytes() for n in (200, 5, 64)], pa.binary())], names=["symbols"])
+    batch = pa.RecordBatch.from_arrays([pa.array([hmm_lm.squeeze(np.arange(n)) for n in (200, 5, 64)], pa.binary()), pa.array([200, 5, 64])],
+                                       names=["symbols", "n_tokens"])
     pieces, length, first = next(hmm_lm._pieces(batch))
     assert length.tolist() == [64, 64, 64, 8, 5, 64] and first.tolist() == [True, False, False, False, True, True]
     counts = model(200).expect(pieces, length, first)
@@ -56,24 +57,28 @@ def small_corpus() -> list[tuple[int, str, bool]]:
 def test_counts_and_scores_are_those_of_a_full_table(spark, monkeypatch):
     """Expected counts of the last turn, word by word, and the scores, against plain recursions over all words."""
     monkeypatch.setattr(hmm_lm, "KNOWN", 8)
+    monkeypatch.setattr(hmm_lm, "FREE", 4)
     docs = small_corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string, held_out boolean")
-    caught = {}
-    plain_train = hmm_lm.train
+    caught, plain_train, plain_updated = {}, hmm_lm.train, hmm_lm.Hmm.updated
 
-    def train(encoded, unigram, turns=hmm_lm.TURNS):
-        caught["before"], _, _ = plain_train(encoded, unigram, turns - 1)
-        caught["after"], caught["total"], caught["untied"] = out = plain_train(encoded, unigram, turns)
+    def updated(self, counts):
+        caught["before"] = self  # at last: the model that the last turn's expected counts come from
+        return plain_updated(self, counts)
+
+    def train(encoded, unigram):
+        caught["after"], caught["total"], caught["untied"] = out = plain_train(encoded, unigram)
         caught["encoded"] = encoded
         return out
+    monkeypatch.setattr(hmm_lm.Hmm, "updated", updated)
     monkeypatch.setattr(hmm_lm, "train", train)
     got = {r["doc_id"]: r for r in hmm_lm.score(df).collect()}
     tokens = {d: [*(t or "").lower().split(), None] for d, t, _ in docs}
     c = Counter(w for d, _, held in docs if not held for w in tokens[d])
-    symbols = {r["doc_id"]: np.frombuffer(r["symbols"], hmm_lm.SYMBOL) for r in caught["encoded"].collect()}
+    symbols = {r["doc_id"]: hmm_lm.expand(pa.scalar(bytes(r["symbols"]), pa.binary()), r["n_tokens"]) for r in caught["encoded"].collect()}
     before, after, k = caught["before"], caught["after"], hmm_lm.STATES
     other = len(before.emit) - 1
-    number = {w: s for d in tokens for w, s in zip(tokens[d], symbols[d])}
+    number = {w: min(s, other) for d in tokens for w, s in zip(tokens[d], symbols[d])}
     tied = [w for w in c if number[w] == other]
     assert len(tied) >= 20 and number[None] == other - 1
 
@@ -93,11 +98,20 @@ def test_counts_and_scores_are_those_of_a_full_table(spark, monkeypatch):
                 beta.insert(0, before.move @ (x * beta[0]))
             for w, x, y in zip(piece, alpha, beta):
                 expected[w] += x * y / (x @ y)
-    rows = {r["h"]: [r[f"g{i}"] for i in range(k)] for r in caught["untied"].collect()}
-    assert len(rows) == len(tied)
-    assert np.array(sorted(map(tuple, rows.values()))) == pytest.approx(np.array(sorted(tuple(expected[w]) for w in tied)))
+    full = np.zeros_like(before.emit)
+    for w in c:
+        full[number[w]] += expected[w]
+    h = dict(zip(tied, hmm_lm.Words(pa.array(tied), lower=True).hashes().view(np.int64).tolist()))
+    rows = {r["h"]: r for r in caught["untied"].collect()}
+    assert set(rows) == set(h.values()) and all(rows[h[w]]["c"] == c[w] for w in tied)
+    for w in tied:  # shares cut to a 4095th
+        held = hmm_lm.by_state(np.array([c[w]]), np.array([rows[h[w]]["q"]]), k)[0]
+        assert held == pytest.approx(expected[w], abs=c[w] * k / hmm_lm.PARTS) and held.sum() == pytest.approx(c[w])
+        expected[w] = held
     total = sum(expected[w] for w in tied)
     assert caught["total"] == pytest.approx(total)
+    whole = plain_updated(before, np.concatenate([np.ones(k), np.ones(k * k), full.ravel()]))
+    assert np.delete(after.emit, other, 0) == pytest.approx(np.delete(whole.emit, other, 0), rel=1e-4)
 
     mass = sum(c[w] + hmm_lm.ADD for w in tied) + hmm_lm.ADD
     emit = lambda w: after.emit[number[w]] if w in c and number[w] != other else after.emit[other] * (
