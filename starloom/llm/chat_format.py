@@ -3,9 +3,9 @@
 A template is any function from turns [(role, text), ...] to one string.  ``locate`` renders the prefixes
 of a conversation one after another and compares consecutive outputs: what a prefix adds is the new
 turn's span.  A prefix whose output does not begin with the previous output shows that the template
-rewrites history; spans of such a conversation are not to be trusted and it is flagged.  Long conversations are
-rendered in blocks and compared with some whole prefixes (``locate``).  Rendering a
-turn twice more, with two probe texts that differ in their only character, tells its own text from the markers
+rewrites history; spans of such a conversation are not to be trusted and it is flagged.  Every whole prefix is rendered, however
+long the conversation, unless the template declares by ``reach`` how many turns back a turn's rendering looks: then prefixes
+begin a block of turns before instead (``locate``).  Rendering a turn twice more, with two probe texts that differ in their only character, tells its own text from the markers
 around it: what both share at their start and their end are the markers, whatever text or markers begin with.
 
 ``MarkerTemplate`` is the template of the registered query.  Every turn is "### role: text</turn>" and a line
@@ -32,6 +32,7 @@ Template = Callable[[Sequence[Turn]], str]
 
 
 class MarkerTemplate:
+    reach = 0  # a turn's rendering depends on no turn before it, and changes none
     head, colon, tail = "### ", ": ", "</turn>\n"
     _control = re.compile(r"\\|(?=###)|(?=</turn>)")
     _role = re.compile(r"([\\:#\n<])")
@@ -93,7 +94,7 @@ def _common(a: str, b: str) -> int:
 PROBES = ("x", "q")  # no template escapes them
 
 
-#: Turns of a block of a long conversation; prefixes are rendered from the start of the block before on.
+#: Turns of a block, or a template's ``reach`` if that is more; prefixes are rendered from the start of the block before on.
 BLOCK = 32
 
 
@@ -151,23 +152,29 @@ def _locate_blocks(render: Template, turns: Sequence[Turn], block: int) -> Rende
 def locate(render: Template, turns: Sequence[Turn], block: int | None = BLOCK) -> Rendered:
     """Output of the whole conversation, and each turn's span and text in it.
 
-    Up to two blocks of turns, every prefix is rendered from the first turn on.  In a longer conversation prefixes begin a
-    block before the turn's own, so that work grows with the number of turns, and the whole prefix is rendered at two blocks, at
-    four, eight, ... and at the end: its output must be what the blocks gave.  Where that fails, or where a prefix changes what stood before, the template
-    looks further back or rewrites history, and every whole prefix is rendered and compared (work grows with the square of the
-    turns).  What only whole prefixes show: a template that changes turns more than a block back at a length between two of
-    those, and has changed them back at the next one.  ``block=None`` renders whole prefixes always.
+    ``block`` is for templates whose rendering of a turn looks back at most so many turns and changes none of the earlier ones: prefixes
+    begin a block before the turn's own, so that work grows with the number of turns.  Whole prefixes at two blocks, at
+    four, eight, ... and at the end are rendered to test that: their output must be what the blocks gave.  Where that fails, or where a prefix
+    changes what stood before, every whole prefix is rendered and compared (work grows with the square of the turns).
+    ``block=None`` assumes nothing of the template and renders every whole prefix.  The length of a conversation plays no part in the choice.
     """
-    if block is not None and len(turns) > 2 * block:
-        found = _locate_blocks(render, turns, block)
-        if found is not None:
-            return found
-    return _locate_whole(render, turns)
+    found = None if block is None else _locate_blocks(render, turns, block)
+    return found or _locate_whole(render, turns)
+
+
+def _block(render: Template) -> int | None:
+    """``block`` of a template: it may be rendered in blocks only if it declares its ``reach``."""
+    reach = getattr(render, "reach", None)
+    return None if reach is None else max(BLOCK, reach)
 
 
 def format_conversations(rows: DataFrame, template: Callable[[], Template] = MarkerTemplate,
                          loss_roles: Sequence[str] = ("assistant",)) -> DataFrame:
-    """One row per conversation: conv_id, formatted, turns (role, start, end, text_start, text_end, loss), rewrites."""
+    """One row per conversation: conv_id, formatted, turns (role, start, end, text_start, text_end, loss), rewrites.
+
+    A template without a ``reach`` has every whole prefix of a conversation rendered: exact at every length, and work that grows
+    with the square of the turns.
+    """
     turn = F.struct(F.col("turn").alias("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"),
                     F.coalesce(F.col("text"), F.lit("")).alias("text"))
     whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
@@ -177,13 +184,14 @@ def format_conversations(rows: DataFrame, template: Callable[[], Template] = Mar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         render = template()
+        block = _block(render)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 text, where, rewrites = [], [], []
                 for turns in part.column("turns").to_pylist():
                     pairs = [(t["role"], t["text"]) for t in turns]
-                    r = locate(render, pairs)
+                    r = locate(render, pairs, block)
                     text.append(r.text)
                     rewrites.append(r.rewrites)
                     where.append([dict(role=p[0], start=s[0], end=s[1], text_start=c[0], text_end=c[1],

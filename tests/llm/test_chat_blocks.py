@@ -89,3 +89,25 @@ def test_rewriting_template_through_spark(spark):
                                "conv_id long, turn long, role string, text string")
     got = {r["conv_id"]: r["rewrites"] for r in C.format_conversations(df, lambda: only_last_thought).collect()}
     assert got == {1: True, 2: False}
+
+
+def for_a_while(t):  # rewrites the first turn while there are 150 to 160, and takes it back
+    return "".join(f"[{r}]{'gone' if k == 0 and 150 <= len(t) <= 160 else x}[/]" for k, (r, x) in enumerate(t))
+
+
+def test_templates_are_exact_at_every_length(spark):
+    sizes = [10, 149, 155, 161, 200, 256, 300]
+    rows = [(n, k, "user" if k % 2 == 0 else "assistant", f"text {k}") for n in sizes for k in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["conv_id"]: r for r in C.format_conversations(df, lambda: for_a_while).collect()}
+    for n in sizes:
+        want = C.locate(for_a_while, [(r, x) for c, _, r, x in rows if c == n], block=None)
+        assert got[n]["rewrites"] == want.rewrites == (n >= 150)
+        assert (got[n]["formatted"], [(s["start"], s["end"]) for s in got[n]["turns"]]) == (want.text, want.spans)
+
+
+def test_only_a_declared_reach_is_rendered_in_blocks():
+    class Far(C.MarkerTemplate):
+        reach = 100
+
+    assert (C._block(for_a_while), C._block(C.MarkerTemplate()), C._block(Far())) == (None, C.BLOCK, 100)
