@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ._tables import doc_bytes, n_groups, scratch_table
-from ._tokens import U, Words, grams, pack, slices, starts_window
+from ._tokens import SLICE_BYTES, U, Words, grams, pack, slices, starts_window
 
 GROUP_BYTES = 8 << 20
-CHUNK_WINDOWS = 2_000_000
+#: Windows that a task holds, about (a slice of text more); at the most some 60 bytes each are in memory at once.
+CHUNK_WINDOWS = 1_000_000
 
 #: finish(part, words, removed): output rows of a part of the input, given which words go.
 Finish = Callable[[pa.Table, Words, np.ndarray], pa.RecordBatch]
@@ -56,13 +57,15 @@ def _block_key(h: np.ndarray, buckets: int) -> np.ndarray:
 def _send_blocks(block: int, groups: int):
     """Pack a task's rolling windows: a row per bucket with groups, hashes and two flags."""
     def rows(g: np.ndarray, key: np.ndarray, doc: np.ndarray, aligned: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((key & U(0xFFFFFFFF), g, key >> U(32)))
+        order = np.lexsort((key.astype(np.uint32), g, (key >> U(32)).astype(np.uint32)))
         g, key, doc, aligned = g[order], key[order], doc[order], aligned[order]
+        del order
         new = np.flatnonzero(_first_of_runs(key, g))
         other = np.zeros(len(key), bool)
         other[1:] = (doc[1:] != doc[:-1]) & (key[1:] == key[:-1]) & (g[1:] == g[:-1])
         aligned = np.logical_or.reduceat(aligned, new) if len(new) else aligned
         several = np.logical_or.reduceat(other, new) if len(new) else other
+        del doc, other
         g, key = g[new], key[new]
         bucket = (key >> U(32)).astype(np.int64)
         edge = np.append(np.flatnonzero(_first_of_runs(bucket)), len(bucket))
@@ -78,22 +81,32 @@ def _send_blocks(block: int, groups: int):
                                           names=["bucket", "gs", "ns", "low", "aligned", "several"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[list[np.ndarray]] = [[], [], [], []]
         n = docs = 0
+
+        def chunk() -> pa.RecordBatch:
+            whole = []
+            for c in held:
+                whole.append(np.concatenate(c))
+                c.clear()  # its parts are not kept beside the whole
+            return rows(*whole)
+
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 w = Words(part.column("text"))
                 ok = starts_window(w, block)
                 doc = w.doc_of_word()[ok]
                 g = part.column("g").to_numpy(zero_copy_only=False)
-                held.append((g[doc], _block_key(grams(w.hashes(), block)[ok], groups), doc + docs, w.place()[ok] % block == 0))
+                for c, x in zip(held, (g[doc], _block_key(grams(w.hashes(), block)[ok], groups), (doc + docs).astype(np.int32),
+                                       w.place()[ok] % block == 0)):
+                    c.append(x)
                 docs += part.num_rows
                 n += len(doc)
                 if n >= CHUNK_WINDOWS:
-                    yield rows(*(np.concatenate(x) for x in zip(*held)))
-                    held, n = [], 0
+                    yield chunk()
+                    n = docs = 0
         if n:
-            yield rows(*(np.concatenate(x) for x in zip(*held)))
+            yield chunk()
 
     return run
 
