@@ -7,11 +7,17 @@ of different sets that link is found; equal sets are one class.
 1. Tokens are ordered rarest first by a count sketch of fixed size.  Documents with overlap of at least
    a = ceil(num * n / den) share at least l tokens among the first n - a + l of each (the prefix filter), whatever the order.
 2. A class whose prefix shares fewer than the needed tokens with all others together links with nothing and drops out.
-3. The others are partitioned into groups of similar documents: by the least hash of the prefix tokens that occur elsewhere.
-4. The matrix has a row per token and group: the union of the members' prefix tokens.  A document's overlap with a
-   group's union bounds its overlap with every member, so only groups with enough common tokens are opened (and its own).
-5. An opened group's members and visitors are compared exactly, in blocks of bounded size.  A block gives out a spanning
-   forest of the links that it finds, so copies are never expanded into all pairs, and components follow.
+3. The others have a group of similar documents: by the least hash of the prefix tokens that occur elsewhere.
+4. Each is compared with some of its group, and with some that share the least hash of the whole set: clusters of bounded size, so work is
+   linear in the number of documents.  Those links leave large sets of near copies as one cluster each; a cluster
+   moves into one group, the least of its members'.
+5. The matrix has a row per token and group: the union of the members' prefix tokens.  A document's overlap with a
+   group's union bounds its overlap with every member, so only groups with enough common tokens are opened.  Of two groups the
+   members of the smaller one visit the larger one, and in a group of several clusters all but the largest cluster visit their own.
+6. An opened group's members and visitors are compared exactly, in blocks of bounded size.  A block gives out a spanning
+   forest of the links between clusters that it finds, so copies are never expanded into all pairs, and components follow.
+
+Links inside a cluster change no component, so members of one cluster are never compared again.
 
 Tokens travel as 4-byte hashes packed by bucket; wrong hits only open more groups.  Sets are compared by 64-bit shingle
 hashes, classes by a 64-bit hash of the set.
@@ -40,6 +46,7 @@ BUCKET_BYTES = 8 << 20
 CHUNK = 1_000_000
 MEMBER_TOKENS, VISITOR_TOKENS = 300_000, 600_000  # of a block
 MEMBERS, VISITORS = 768, 1536
+NEAR, NEAR_TOKENS = 256, 100_000  # of a block of step 4
 BUNDLE_TOKENS = 600_000
 MEMBER, VISITOR, BOTH = 0, 1, 2
 
@@ -211,14 +218,15 @@ def _shared(t: pa.Table) -> pa.Table:
 
 
 def _overlaps(parts: int):
-    """Per bucket: common prefix tokens of classes with the unions of other groups, packed by class part."""
+    """Per bucket: common prefix tokens of classes with the unions of larger groups, packed by class part."""
     def run(t: pa.Table) -> pa.Table:
-        low, cls, grp = _received(t, ("cls", "grp"))
-        order = np.lexsort((grp, low))
-        low, cls, grp = low[order], cls[order], grp[order]
+        low, cls, grp, members = _received(t, ("cls", "grp", "members"))
+        order = np.lexsort((grp, members, low))
+        low, cls, grp, members = low[order], cls[order], grp[order], members[order]
         one = _new(low, grp)  # a row of the matrix: token and group
         ml, mg = low[one], grp[one]
-        a, b = np.searchsorted(ml, low, "left"), np.searchsorted(ml, low, "right")
+        # groups of a token from the smallest on (ties by name): a class looks at those after its own
+        a, b = np.cumsum(one), np.searchsorted(ml, low, "right")
         pairs: list[np.ndarray] = []
         count: list[np.ndarray] = []
         work = np.cumsum(b - a)
@@ -227,9 +235,7 @@ def _overlaps(parts: int):
             j = max(i + 1, int(np.searchsorted(work, (work[i - 1] if i else 0) + 2_000_000, "right")))
             n = b[i:j] - a[i:j]
             at = np.repeat(a[i:j], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            x, g = np.repeat(cls[i:j], n), mg[at]
-            other = g != np.repeat(grp[i:j], n)
-            got, c = np.unique(np.stack([x[other], g[other]], 1), axis=0, return_counts=True)
+            got, c = np.unique(np.stack([np.repeat(cls[i:j], n), mg[at]], 1), axis=0, return_counts=True)
             pairs.append(got)
             count.append(c)
             i = j
@@ -276,11 +282,11 @@ def _forest(links: np.ndarray, names: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _compare(rule_args: tuple[int, int, int]):
-    """Exact comparison of the members and visitors of blocks."""
+    """Exact comparison of the members and visitors of blocks; links between nodes (classes or clusters)."""
     rule = Rule(*rule_args)
 
-    def block(cls: np.ndarray, role: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-        names, number = np.unique(cls, return_inverse=True)
+    def block(node: np.ndarray, role: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        names, number = np.unique(node, return_inverse=True)
         m, v = np.flatnonzero(role != VISITOR), np.flatnonzero(role != MEMBER)
         if not len(m) or not len(v) or len(names) < 2:
             return []
@@ -303,14 +309,16 @@ def _compare(rule_args: tuple[int, int, int]):
 
     def run(t: pa.Table) -> pa.Table:
         key = [t.column(c).to_numpy() for c in ("grp", "mb", "vb")]
-        cls, role = t.column("cls").to_numpy(), t.column("role").to_numpy()
+        node, role = t.column("node").to_numpy(), t.column("role").to_numpy()
         tokens = t.column("tokens")
         order = np.lexsort(key)
         edge = np.append(np.flatnonzero(_new(*(k[order] for k in key))), len(order))
         out: list[tuple[int, int]] = []
         for a, b in zip(edge[:-1], edge[1:]):
+            if b - a < 2:
+                continue
             rows = order[a:b]
-            out += block(cls[rows], role[rows], [np.frombuffer(tokens[int(i)].as_buffer(), U) for i in rows])
+            out += block(node[rows], role[rows], [np.frombuffer(tokens[int(i)].as_buffer(), U) for i in rows])
         pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
@@ -356,46 +364,76 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
                 edge = np.append(np.cumsum(n) - n, len(t))
                 prefix = _prefixes(Rule(*args), counts.value, d, t, n)
                 rows = np.flatnonzero(mine)
+                least = np.zeros(len(n), U)
+                if len(t):
+                    least[n > 0] = np.minimum.reduceat(mix(t ^ U(0x2545F4914F6CDD1D)), edge[:-1][n > 0])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cls[rows]), part.column("grp").take(pa.array(rows)), pa.array(n[rows]),
+                    [pa.array(cls[rows]), part.column("grp").take(pa.array(rows)), pa.array(least.view(np.int64)[rows]), pa.array(n[rows]),
                      pa.array([prefix[i] for i in rows], pa.binary()),
                      pa.array([pack(t[edge[i]:edge[i] + n[i]]) for i in rows], pa.binary())],
-                    names=["cls", "grp", "n", "prefix", "tokens"])
+                    names=["cls", "grp", "least", "n", "prefix", "tokens"])
 
     # always a sort-merge join: the same plan at every size
     found = slim.join(live.withColumnRenamed("doc", "doc_id").hint("merge"), "doc_id").select("cls", "grp", "text")
-    full = found.mapInArrow(sets, "cls long, grp long, n long, prefix binary, tokens binary")
+    full = found.mapInArrow(sets, "cls long, grp long, least long, n long, prefix binary, tokens binary")
     if known.groupBy("doc_id", "cls").count().filter("count > 1").limit(1).count():  # repeated rows
         full = full.dropDuplicates(["cls"])
     full = scratch_table(full, "jac-sets")
 
-    # the matrix: which other groups' unions hold enough of a class's prefix
-    run, schema = _send(("grp",), buckets)
-    common = (full.select("cls", "grp", "prefix").mapInArrow(run, schema).groupBy("bucket")
+    blocks = lambda rows, tokens, name: F.greatest(
+        F.ceil(F.count(F.lit(1)) / rows), F.ceil(F.sum("n") / tokens)).cast("int").alias(name)
+
+    def compared(rows: DataFrame, name: str) -> DataFrame:
+        """Links (a, b) that the blocks of ``rows`` (node, grp, n, tokens, role, mb, vb) hold."""
+        bundles = n_groups(rows, F.col("n"), BUNDLE_TOKENS)
+        return store(rows.withColumn("bundle", F.pmod(F.xxhash64("grp", "mb", "vb"), F.lit(bundles)))
+                     .groupBy("bundle").applyInArrow(_compare(args), "a long, b long"), name)
+
+    def some(key: str, salt: int) -> DataFrame:
+        """Everyone in a block of those that share ``key``."""
+        # few keys have more than one block: at most one in NEAR classes, or in NEAR_TOKENS tokens
+        large = full.groupBy(F.col(key).alias("key")).agg(blocks(NEAR, NEAR_TOKENS, "nb")).filter("nb > 1")
+        return (full.join(F.broadcast(large), F.col(key) == F.col("key"), "left")
+                .select(F.col("cls").alias("node"), F.col(key).alias("grp"), "n", "tokens", F.lit(BOTH).alias("role"),
+                        F.pmod(F.xxhash64("cls", F.lit(salt)), F.coalesce("nb", F.lit(1))).cast("int").alias("mb"),
+                        F.lit(salt).alias("vb")))
+
+    near = compared(some("grp", 0).unionByName(some("least", 1)), "jac-near")
+    clusters = components(near)
+    cluster = store(full.select("cls", "grp", "n").join(clusters.select(F.col("node").alias("cls"), F.col("label").alias("node")), "cls", "left")
+                    .withColumn("node", F.coalesce("node", "cls")), "jac-clusters")
+    moved = store(cluster.groupBy("node").agg(F.min("grp").alias("grp")), "jac-moved")
+    moved = store(cluster.drop("grp").join(moved, "node"), "jac-members")
+    by_cluster = moved.groupBy("grp", "node").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    of_group = store(by_cluster.groupBy("grp").agg(
+        F.sum("c").alias("members"), F.max(F.struct("c", "node"))["node"].alias("main"),
+        F.greatest(F.ceil(F.sum("c") / MEMBERS), F.ceil(F.sum("n") / MEMBER_TOKENS)).cast("int").alias("nm")), "jac-sizes")
+    place = store(moved.join(of_group, "grp"), "jac-places")  # cls, grp, node, n, members, main, nm
+
+    # the matrix: which larger groups' unions hold enough of a class's prefix
+    run, schema = _send(("grp", "members"), buckets)
+    common = (full.select("cls", "prefix").join(place.select("cls", "grp", "members").hint("merge"), "cls")
+              .select("cls", "grp", "members", "prefix").mapInArrow(run, schema).groupBy("bucket")
               .applyInArrow(_overlaps(buckets), "part long, cls binary, grp binary, common binary").groupBy("part")
               .applyInArrow(_sum_overlaps, "cls long, grp long, common long"))
     least = F.ceil(F.col("n") * rule.num / F.lit(rule.den))
-    visits = store(store(common, "jac-common").join(full.select("cls", "n"), "cls")
-                   .filter(F.col("common") >= 1 + F.floor(least / 50)).select("cls", "grp", "n"), "jac-visits")
-    everyone = (visits.withColumn("own", F.lit(False))
-                .unionByName(full.select("cls", "grp", "n", F.lit(True).alias("own"))))  # a class visits its own group too
-    blocks = lambda rows, tokens, name: F.greatest(
-        F.ceil(F.count(F.lit(1)) / rows), F.ceil(F.sum("n") / tokens)).cast("int").alias(name)
-    members = full.groupBy("grp").agg(blocks(MEMBERS, MEMBER_TOKENS, "nm"))
-    groups = store(everyone.groupBy("grp").agg(F.count(F.lit(1)).alias("c"), blocks(VISITORS, VISITOR_TOKENS, "nv"))
-                   .filter("c > 1").join(members, "grp").select("grp", "nm", "nv"), "jac-groups")
+    visits = (store(common, "jac-common").join(place.select("cls", "node", "n"), "cls")
+              .filter(F.col("common") >= 1 + F.floor(least / 50)).select("cls", "node", "grp", "n", F.lit(False).alias("own")))
+    own = place.filter("node <> main").select("cls", "node", "grp", "n", F.lit(True).alias("own"))
+    visitors = store(visits.unionByName(own), "jac-visits")
+    groups = store(visitors.groupBy("grp").agg(blocks(VISITORS, VISITOR_TOKENS, "nv"), F.max("own").alias("several"))
+                   .join(of_group.select("grp", "nm"), "grp")
+                   # a group of one block: its members' rows serve as visitors too
+                   .withColumn("one", F.col("several") & (F.col("nm") == 1) & (F.col("nv") == 1)), "jac-groups")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    one = (F.col("nm") == 1) & (F.col("nv") == 1)  # a group of one block: its members' rows serve as visitors too
-    m = (full.select("cls", "grp", "n", "tokens").join(groups.hint("merge"), "grp")
-         .select("cls", "grp", "n", "tokens", F.when(one, BOTH).otherwise(MEMBER).alias("role"),
+    m = (place.select("cls", "node", "grp").join(groups, "grp")
+         .select("cls", "node", "grp", F.when(F.col("one"), BOTH).otherwise(MEMBER).alias("role"),
                  F.pmod(F.xxhash64("cls"), F.col("nm")).cast("int").alias("mb"), each("nv").alias("vb")))
-    v = (store(everyone.select("cls", "grp", "own").join(groups, "grp").filter(~(F.col("own") & one)), "jac-visitors").hint("merge")
-         .join(full.select("cls", "n", "tokens"), "cls")
-         .select("cls", "grp", "n", "tokens", F.lit(VISITOR).alias("role"), each("nm").alias("mb"),
+    v = (visitors.drop("n").join(groups, "grp").filter(~(F.col("own") & F.col("one")))
+         .select("cls", "node", "grp", F.lit(VISITOR).alias("role"), each("nm").alias("mb"),
                  F.pmod(F.xxhash64("cls", F.lit(1)), F.col("nv")).cast("int").alias("vb")))
-    bundles = n_groups(everyone, F.col("n"), BUNDLE_TOKENS)
-    work = m.unionByName(v).withColumn("bundle", F.pmod(F.xxhash64("grp", "mb", "vb"), F.lit(bundles)))
-    links = store(work.groupBy("bundle").applyInArrow(_compare(args), "a long, b long"), "jac-links")
+    seats = store(m.unionByName(v), "jac-seats").hint("merge")
+    links = near.unionByName(compared(seats.join(full.select("cls", "n", "tokens"), "cls"), "jac-links"))
 
     labels = components(links)
     ids = labels.join(classes.select(F.col("cls").alias("node"), "doc"), "node")
