@@ -161,13 +161,14 @@ def test_repaired_turns(spark):
 
 def test_hot_and_repeated(spark, tmp_path):
     """A third of all rows is one repeated row, another third one conversation of long texts."""
-    rows = [(1, 0, "user", "hello.")] * 3000 + [(2, k, "user" if k % 2 == 0 else "assistant", "w" * 2000 + ".") for k in range(3000)] + talks(9, 800)
+    rows = [(900, 0, "user", "hello.")] * 3000 + [(902, k, "user" if k % 2 == 0 else "assistant", "w" * 2000 + ".") for k in range(3000)] + talks(9, 800)
+    # 900 and 902 are ids that the other conversations do not have
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r["conv_id"]: r for r in QUERIES["op13_turn_repair"](spark, str(tmp_path)).collect()}
     assert len(got) == len({r[0] for r in rows})
-    assert zlib.crc32(b"1:0") % 20 > 4  # not damaged
-    assert (got[1]["duplicate"], got[1]["illegal"], got[1]["cost"], got[1]["audit"]) == (2999, 2999, 11_999, "K" + "D" * 2999 + "I")
-    assert len(got[2]["audit"]) >= 2000 and got[2]["gaps"] > 0
+    assert zlib.crc32(b"900:0") % 20 > 4  # not damaged
+    assert (got[900]["duplicate"], got[900]["illegal"], got[900]["cost"], got[900]["audit"]) == (2999, 2999, 11_999, "K" + "D" * 2999 + "I")
+    assert len(got[902]["audit"]) >= 2000 and got[902]["gaps"] > 0
 
 
 def test_empty(spark, empty_dir, edge_dir):
